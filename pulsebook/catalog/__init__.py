@@ -146,5 +146,6 @@ def split_form(name: str, rows: int = 40) -> None:
 def load() -> None:
     """Import the modules that register queries."""
     from pulsebook.catalog import (  # noqa: F401
-        boards, columns, histories, maintenance, quality, streams, texts,
+        boards, columns, histories, maintenance, quality, texts,
     )
+    from pulsebook.catalog import streams  # noqa: F401  (takes over statements of the others)

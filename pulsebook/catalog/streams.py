@@ -1 +1,215 @@
-"""Pending."""
+"""Streaming forms. The table lands in three stretches of time; the stream is restarted for each."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from pulsebook.catalog import ORACLES, QUERIES, query
+from pulsebook.functions.timecols import ntz
+from pulsebook.functions.values import state_word
+from pulsebook.plans import adapters as a
+from pulsebook.session import work_folder
+from pulsebook.sources import sinks
+from pulsebook.sources.registries import scan
+from pulsebook.streaming import keyed, tables
+from pulsebook.streaming.sources import run_stream, stream_table
+
+TIE = "event_id"
+CUTS = [None, datetime(2024, 1, 11), datetime(2024, 1, 21), None]
+
+
+def parts_of(df, time, order=(0, 1, 2)):
+    """The whole frame in three stretches of time."""
+    for i in order:
+        lo, hi = CUTS[i], CUTS[i + 1]
+        part = df.filter(F.col(time) >= ntz(lo)) if lo else df
+        yield part.filter(F.col(time) < ntz(hi)) if hi else part
+
+
+def fed(spark, df, time, start, order=(0, 1, 2)):
+    """Land the frame stretch by stretch and run the stream anew after each.
+
+    ``start`` makes the writer from the stream; every run goes on from the checkpoint.
+    """
+    folder = work_folder(spark, "stream")
+    for part in parts_of(df, time, order):
+        part.write.mode("append").parquet(f"{folder}/landed")
+        stream = stream_table(spark, f"{folder}/landed", df.schema)
+        run_stream(start(stream, folder), f"{folder}/checkpoint")
+    return folder
+
+
+def appended(spark, df, time, operator, order=(0, 1, 2)):
+    """What an append stream over the frame gives out."""
+    schema = []
+
+    def start(stream, folder):
+        out = operator(stream)
+        schema.append(out.schema)
+        return out.writeStream.format("parquet").option("path", f"{folder}/out")
+
+    folder = fed(spark, df, time, start, order)
+    return spark.read.schema(schema[-1]).parquet(f"{folder}/out")
+
+
+def events(spark, d):
+    return scan(spark, d, "events")
+
+
+def ping(base):
+    return base.select("ip", "time", TIE, (~a.is_type("error")).alias("state"))
+
+
+def temp(base):
+    return base.select("location", "time", TIE, F.col("t").alias("temperature"))
+
+
+def like(name: str, batch: str):
+    """Register a stream under the statement of its batch form."""
+
+    def register(fn):
+        QUERIES[name] = fn
+        ORACLES[name] = ORACLES[batch]
+        return fn
+
+    return register
+
+
+@like("x1_stream_states", "p1_state_words")
+def x1(spark, d):
+    def operator(stream):
+        state = F.when(~a.is_type("signup"), ~a.is_type("error"))
+        return a.with_base(stream).select(TIE, state_word(state).alias("state"))
+
+    return appended(spark, events(spark, d), "ts", operator)
+
+
+@like("x2_stream_latest", "u1_ping_current")
+def x2(spark, d):
+    def start(stream, folder):
+        return tables.stream_latest(ping(a.with_base(stream)), "ip", "time", f"{folder}/table", TIE)
+
+    folder = fed(spark, events(spark, d), "ts", start)
+    return tables.CurrentTable(spark, f"{folder}/table").read()
+
+
+def _journals(spark, d):
+    columns = []
+
+    def start(stream, folder):
+        found = keyed.stream_changes(ping(a.with_base(stream)), "ip", "time", ["state"], TIE)
+        columns[:] = found.columns
+        return tables.stream_journal(found, f"{folder}/hot", f"{folder}/archive", "time")
+
+    return fed(spark, events(spark, d), "ts", start), columns
+
+
+@like("x3_stream_changes", "w1_ping_changes")
+def x3(spark, d):
+    folder, columns = _journals(spark, d)
+    return sinks.read_journal(spark, f"{folder}/archive", columns)
+
+
+@query("x3_stream_hot_journal", "ping_changes",
+       "SELECT * FROM ping_changes WHERE time >= TIMESTAMP '2024-02-10' - INTERVAL 31 DAYS")
+def x3_hot(spark, d):
+    folder, columns = _journals(spark, d)
+    late = datetime(2024, 2, 10)
+    sinks.expire(spark, f"{folder}/hot", late)
+    return sinks.read_hot(spark, f"{folder}/hot", columns, "time", late)
+
+
+@like("x3_stream_plain_changes", "p13_plain_changes")
+def x3_plain(spark, d):
+    gaps = F.when(~a.is_type("signup"), F.col("t")).alias("temperature")
+
+    def operator(stream):
+        rows = a.with_base(stream).select("location", "time", TIE, gaps)
+        return keyed.stream_changes(rows, "location", "time", ["temperature"], TIE, null_safe=False)
+
+    return appended(spark, events(spark, d), "ts", operator)
+
+
+@like("x3_stream_within", "p15_exempt_source")
+def x3_within(spark, d):
+    def operator(stream):
+        rows = temp(a.with_base(stream))
+        return keyed.stream_changes_within(rows, "location", "time", "temperature", 5, a.EXEMPT, TIE)
+
+    return appended(spark, events(spark, d), "ts", operator)
+
+
+@like("x4_stream_accept", "w4_accept_within")
+def x4_accept(spark, d):
+    def operator(stream):
+        return keyed.stream_accept_within(temp(a.with_base(stream)), "location", "time", "temperature", 10, TIE)
+
+    return appended(spark, events(spark, d), "ts", operator)
+
+
+@like("x4_stream_latch", "w12_latch_with_commands")
+def x4_latch(spark, d):
+    def operator(stream):
+        rows = a.vent_rows(a.with_base(stream))
+        return keyed.stream_latch_with_commands(rows, "u", "time", "temp", "cmd", tie=TIE)
+
+    return appended(spark, events(spark, d), "ts", operator)
+
+
+@like("x4_stream_escalate", "w9_escalation")
+def x4_escalate(spark, d):
+    def operator(stream):
+        return keyed.stream_escalate(
+            stream, "controller", "time", "cell", "status", "cell", patience=1, waits=(5400, 10800)
+        )
+
+    return appended(spark, a.hourly_polls(spark, d), "time", operator)
+
+
+@query("x5_stream_cell_events", "cell_events", """SELECT controller, CAST(cell AS VARCHAR) AS cell,
+    arg_max(log_date, line_no) AS log_date, max(line_no) AS line_no, arg_max(event, line_no) AS event
+    FROM cell_events GROUP BY controller, cell""")
+def x5(spark, d):
+    def start(stream, folder):
+        lines = a.cell_lines(a.with_base(stream)).drop("time")
+        return tables.stream_cell_events(lines, f"{folder}/table")
+
+    folder = fed(spark, events(spark, d), "ts", start)
+    return tables.CurrentTable(spark, f"{folder}/table").read()
+
+
+@query(
+    "x6_late_rows", "ping",
+    """WITH taken AS (SELECT * FROM ping WHERE NOT (time >= TIMESTAMP '2024-01-11' AND time < TIMESTAMP '2024-01-21'
+      AND ip IN (SELECT ip FROM ping WHERE time >= TIMESTAMP '2024-01-21')))
+    SELECT * FROM taken WINDOW w AS (PARTITION BY ip ORDER BY time, event_id) QUALIFY state <> lag(state) OVER w""",
+)
+def x6(spark, d):
+    """The middle stretch lands last: it is late for every device already seen in the last one."""
+
+    def operator(stream):
+        return keyed.stream_changes(ping(a.with_base(stream)), "ip", "time", ["state"], TIE)
+
+    return appended(spark, events(spark, d), "ts", operator, order=(0, 2, 1))
+
+
+@query(
+    "x7_stream_sessions", "ping",
+    """WITH gaps AS (SELECT *, CASE WHEN time - lag(time) OVER w <= INTERVAL 12 HOURS THEN 0 ELSE 1 END AS opens
+      FROM ping WINDOW w AS (PARTITION BY ip ORDER BY time, event_id)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY ip ORDER BY time, event_id) AS n FROM gaps)
+    SELECT ip, min(time) AS first_read, max(time) AS last_read, count(*) AS reads FROM numbered GROUP BY ip, n
+    HAVING max(time) + INTERVAL 12 HOURS <= (SELECT max(time) FROM ping) - INTERVAL 1 HOUR""",
+)
+def x7_sessions(spark, d):
+    def operator(stream):
+        rows = ping(a.with_base(stream)).select("ip", F.col("time").cast("timestamp").alias("time"))
+        return keyed.stream_sessions(rows, "ip", "time", "12 hours", "1 hour")
+
+    out = appended(spark, events(spark, d), "ts", operator)
+    return out.select(
+        "ip", F.col("first_read").cast("timestamp_ntz").alias("first_read"),
+        F.col("last_read").cast("timestamp_ntz").alias("last_read"), "reads",
+    )

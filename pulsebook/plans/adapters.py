@@ -160,8 +160,12 @@ VENT_COMMANDS = ["auto_on", "auto_off", "v5_on", "v5_off", "v1_on", "v1_off"]
 
 
 def vent_events(spark, folder) -> DataFrame:
+    return vent_rows(polls_base(spark, folder))
+
+
+def vent_rows(base: DataFrame) -> DataFrame:
     command = F.get(F.array(*[F.lit(c) for c in VENT_COMMANDS]), F.col("k") % 6)
-    return polls_base(spark, folder).select(
+    return base.select(
         "u", "time", "event_id", F.when(~is_type("signup"), F.col("t") % 50).alias("temp"),
         F.when(is_type("signup"), command).alias("cmd"),
     )

@@ -1,0 +1,187 @@
+"""Order-dependent operators with their state kept per key between batches.
+
+A key's rows of one batch are put in order; rows not after the last one already taken
+are late and dropped. On input that arrives in order the answers are those of the
+batch operators. A batch holds what arrived since the last trigger, so the rows of one
+key in it are bounded by the trigger and by the files taken per batch.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
+
+from pulsebook.functions.bands import OFF, ON
+from pulsebook.operators.folds import Escalation, accept_batch
+from pulsebook.operators.latch import AUTO_OFF, AUTO_ON
+
+Step = Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]]
+
+
+def _value(v, kind: T.DataType):
+    """A plain Python value of the column's type, None for a missing one.
+
+    A whole-number column with gaps comes from Arrow as floats.
+    """
+    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+        return None
+    v = v.item() if isinstance(v, np.generic) else v
+    return int(v) if isinstance(kind, T.IntegralType) else v
+
+
+def keyed(stream: DataFrame, key, time: str, tie: str | None, step: Step, out: T.StructType,
+          state: T.StructType) -> DataFrame:
+    """Run ``step(rows in order, state)`` per key; it returns rows to emit and the new state."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [time] + ([tie] if tie else [])
+    full = T.StructType([T.StructField("last_us", T.LongType()), T.StructField("last_tie", T.LongType())])
+    full = T.StructType(full.fields + state.fields)
+    columns = out.names
+
+    def run(_key, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, ignore_index=True)
+        at = rows[time].astype("datetime64[us]").astype("int64")
+        ties = rows[tie] if tie else pd.Series(0, index=rows.index)
+        seen = held.get if held.exists else None
+        if seen is not None:
+            fresh = (at > seen[0]) | ((at == seen[0]) & (ties > seen[1]))
+            rows, at, ties = rows[fresh].reset_index(drop=True), at[fresh], ties[fresh]
+        if rows.empty:
+            return
+        emitted, new = step(rows, seen[2:] if seen is not None else None)
+        held.update((int(at.iloc[-1]), int(ties.iloc[-1]), *new))
+        if not emitted.empty:
+            yield emitted[columns]
+
+    return stream.groupBy(*keys).applyInPandasWithState(run, out, full, "append", "NoTimeout")
+
+
+def _with_previous(rows: pd.DataFrame, column: str, before) -> pd.Series:
+    old = rows[column].astype(object).shift(1)
+    old.iloc[0] = before
+    return old
+
+
+def stream_changes(stream: DataFrame, key, time: str, watched: list[str], tie: str | None = None,
+                   null_safe: bool = True) -> DataFrame:
+    """Rows in which a watched column differs from the key's previous row."""
+
+    held = T.StructType([stream.schema[c] for c in watched])
+
+    def step(rows: pd.DataFrame, state: tuple | None):
+        moved = np.zeros(len(rows), dtype=bool)
+        for i, c in enumerate(watched):
+            new, old = rows[c].astype(object), _with_previous(rows, c, state[i] if state else None)
+            both = new.notna() & old.notna()
+            differs = both & (new != old)
+            if null_safe:
+                differs |= new.notna() != old.notna()
+            moved |= differs.to_numpy(dtype=bool)
+        if state is None:
+            moved[0] = False
+        return rows[moved], tuple(_value(rows[f.name].iloc[-1], f.dataType) for f in held)
+
+    return keyed(stream, key, time, tie, step, stream.schema, held)
+
+
+def stream_changes_within(stream: DataFrame, key, time: str, value: str, limit: float = 5,
+                          exempt: str | None = None, tie: str | None = None) -> DataFrame:
+    """Changes smaller than ``limit`` against the raw predecessor; ``exempt`` names a key without the limit."""
+    name = key if isinstance(key, str) else key[0]
+    field = stream.schema[value]
+
+    def step(rows: pd.DataFrame, state: tuple | None):
+        new = rows[value].to_numpy(dtype=float, na_value=math.nan)
+        old = _with_previous(rows, value, state[0] if state else None).to_numpy(dtype=float, na_value=math.nan)
+        with np.errstate(invalid="ignore"):
+            keep = (new != old) & (np.abs(new - old) < limit)
+        if exempt is not None and rows[name].iloc[0] == exempt:
+            gone = np.isnan(new) != np.isnan(old)
+            keep = np.where(np.isnan(new) & np.isnan(old), False, (new != old) | gone)
+        if state is None:
+            keep[0] = False
+        return rows[keep], (_value(rows[value].iloc[-1], field.dataType),)
+
+    return keyed(stream, key, time, tie, step, stream.schema, T.StructType([field]))
+
+
+def stream_accept_within(stream: DataFrame, key, time: str, value: str, limit: float = 10,
+                         tie: str | None = None) -> DataFrame:
+    """Rows within ``limit`` of the key's last accepted value."""
+
+    def step(rows: pd.DataFrame, state: tuple | None):
+        last = state[0] if state else None
+        values = rows[value].to_numpy(dtype=float, na_value=math.nan).tolist()
+        keep, last = accept_batch(values, np.zeros(len(values), dtype=bool), None, last, limit)
+        return rows[keep], (last,)
+
+    return keyed(stream, key, time, tie, step, stream.schema, T.StructType().add("last", T.DoubleType()))
+
+
+def stream_latch_with_commands(stream: DataFrame, key, time: str, value: str, command: str, on: float = 26,
+                               off: float = 22, vent: str = "v5", initial: str = OFF, auto_initial: str = OFF,
+                               tie: str | None = None) -> DataFrame:
+    """State and mode after each row of a merged stream of readings and commands."""
+    kind = stream.schema[value].dataType
+    out = T.StructType([f for f in stream.schema if f.name != value])
+    out = out.add("auto", T.StringType()).add("temp", kind).add("state", T.StringType())
+
+    def held(found: pd.Series, before) -> pd.Series:
+        if pd.isna(found.iloc[0]):
+            found.iloc[0] = before
+        return found.ffill()
+
+    def step(rows: pd.DataFrame, state: tuple | None):
+        auto0, temp0, state0 = state if state else (auto_initial, None, initial)
+        cmd = rows[command]
+        auto = held(cmd.map({AUTO_ON: ON, AUTO_OFF: OFF}).astype(object), auto0)
+        temp = held(rows[value].astype(float), math.nan if temp0 is None else temp0)
+        asked = cmd.map({f"{vent}_on": ON, f"{vent}_off": OFF}).astype(object)
+        asked = asked.where(~((auto == ON) & (temp > on)), ON).where(~((auto == ON) & (temp < off)), OFF)
+        after = held(asked, state0)
+        emitted = rows.drop(columns=[value]).assign(auto=auto, temp=temp, state=after)
+        return emitted, (auto.iloc[-1], _value(temp.iloc[-1], T.DoubleType()), after.iloc[-1])
+
+    held_type = T.StructType().add("auto", T.StringType()).add("temp", T.DoubleType()).add("state", T.StringType())
+    return keyed(stream, key, time, tie, step, out, held_type)
+
+
+def stream_escalate(polls: DataFrame, key, time: str, cell: str, status: str, position: str, patience: int = 5,
+                    waits: tuple[int, int] = (100, 200), watch_only: bool = False) -> DataFrame:
+    """Restart and reboot decisions per controller. A poll's rows land in one batch."""
+    keys = [key] if isinstance(key, str) else list(key)
+    out = T.StructType([polls.schema[c] for c in [*keys, time, cell]])
+    out = out.add("action", T.StringType()).add("pause_s", T.IntegerType())
+
+    def step(rows: pd.DataFrame, state: tuple | None):
+        machine = Escalation(patience, waits, watch_only, state[0] if state else None)
+        names = tuple(rows[c].iloc[0] for c in keys)
+        bad = rows[rows[status] == "off"].sort_values([time, position]).groupby(time)[cell].first()
+        made = []
+        for t in rows[time].drop_duplicates():
+            decision = machine.poll(t, bad.get(t))
+            if decision:
+                made.append((*names, t, bad[t], *decision))
+        return pd.DataFrame(made, columns=out.names), (machine.text(),)
+
+    return keyed(polls, keys, time, None, step, out, T.StructType().add("machine", T.StringType()))
+
+
+def stream_sessions(stream: DataFrame, key, time: str, gap: str, delay: str) -> DataFrame:
+    """Stretches of readings without a longer gap, given out once a device has fallen silent.
+
+    Rows later than ``delay`` behind the newest are dropped.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    return (
+        stream.withWatermark(time, delay).groupBy(*keys, F.session_window(time, gap).alias("_w"))
+        .agg(F.min(time).alias("first_read"), F.max(time).alias("last_read"), F.count(F.lit(1)).alias("reads"))
+        .drop("_w")
+    )
