@@ -11,7 +11,6 @@ from pulsebook.functions import timecols as tc
 from pulsebook.functions import values as v
 from pulsebook.operators import changes
 from pulsebook.plans import adapters as a
-from pulsebook.sources.registries import scan
 
 TIE = "event_id"
 
@@ -56,7 +55,7 @@ def p7(spark, d):
         F.when(F.col("l_returnflag") == "A", "#").when(F.col("l_returnflag") == "N", "//").otherwise("/"),
         F.col("l_orderkey").cast("string"),
     )
-    rows = scan(spark, d, "lineitem").filter(~v.is_comment(line))
+    rows = a.table(spark, d, "lineitem").filter(~v.is_comment(line))
     return rows.select("l_orderkey", "l_linenumber")
 
 
@@ -144,7 +143,7 @@ def n_numbers(spark, d):
     CASE WHEN n_chars > 1000 THEN 'long' WHEN n_chars > 100 THEN 'middle' ELSE 'short' END AS g8_case FROM documents""")
 def g_text(spark, d):
     text = F.col("text")
-    return scan(spark, d, "documents").select(
+    return a.table(spark, d, "documents").select(
         "doc_id", F.coalesce(v.nth_field(text, " ", 3), F.lit("")).alias("g1_third"),
         v.without_spaces(text).alias("g2_no_spaces"), v.spaces_joined(text).alias("g2_joined"),
         text.contains("the").alias("g3_contains"), text.rlike("[0-9]{2}").alias("g3_pattern"),

@@ -12,7 +12,6 @@ from pulsebook.operators import cells, changes, current
 from pulsebook.plans import adapters as a
 from pulsebook.session import work_folder
 from pulsebook.sources import sinks
-from pulsebook.sources.registries import scan
 
 TIE = "event_id"
 LATE = datetime(2024, 2, 10)
@@ -45,7 +44,7 @@ def u1_dehydrator(spark, d):
 @query("a1_latest_order", "", """SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey
     ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
 def a1(spark, d):
-    return current.latest(scan(spark, d, "orders"), "o_custkey", "o_orderdate", "o_orderkey")
+    return current.latest(a.table(spark, d, "orders"), "o_custkey", "o_orderdate", "o_orderkey")
 
 
 TEMP_CHANGES = """WITH changes AS (SELECT * FROM temp WINDOW w AS (PARTITION BY location ORDER BY time, event_id)
@@ -194,7 +193,7 @@ def j7(spark, d):
 def j8(spark, d):
     from pulsebook.functions.values import text_or_null_word
 
-    elements = scan(spark, d, "supplier").select(
+    elements = a.table(spark, d, "supplier").select(
         F.concat(F.lit("Sheet."), F.col("s_suppkey").cast("string")).alias("title"), F.col("s_name").alias("element")
     )
     named = a.equipment(spark, d).select("ip", text_or_null_word("visio_name").alias("title"))
@@ -203,8 +202,8 @@ def j8(spark, d):
 
 @query("j9_registered", "", "SELECT * FROM events SEMI JOIN customer ON user_id = c_custkey")
 def j9(spark, d):
-    reg = scan(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
-    return current.registered(scan(spark, d, "events"), reg, "user_id")
+    reg = a.table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
+    return current.registered(a.table(spark, d, "events"), reg, "user_id")
 
 
 @query("j10_renamed", "ping", """SELECT coalesce('172.16.0.' || s.s_suppkey, p.ip) AS ip, p.time, p.event_id, p.state
@@ -212,7 +211,7 @@ def j9(spark, d):
     s_suppkey % 256)""")
 def j10(spark, d):
     s = F.col("s_suppkey")
-    renames = scan(spark, d, "supplier").select(
+    renames = a.table(spark, d, "supplier").select(
         a.address(s).alias("old"), F.concat(F.lit("172.16.0."), s.cast("string")).alias("new")
     )
     return current.renamed(a.ping(spark, d), renames, "ip")
@@ -321,7 +320,7 @@ def t9(spark, d):
 
 @query("s10_scan", "", "SELECT * FROM lineitem")
 def s10(spark, d):
-    return scan(spark, d, "lineitem")
+    return a.table(spark, d, "lineitem")
 
 
 @query(
@@ -353,7 +352,7 @@ def s12(spark, d):
     SELECT concat('loc-', o_custkey), o_orderdate, o_orderkey, CAST(floor(o_totalprice / 10000) AS INTEGER), 'orders'
     FROM orders""")
 def s13(spark, d):
-    orders = scan(spark, d, "orders").select(
+    orders = a.table(spark, d, "orders").select(
         a.location(F.col("o_custkey")).alias("location"), F.col("o_orderdate").alias("time"),
         F.col("o_orderkey").alias(TIE), F.floor(F.col("o_totalprice") / 10000).cast("int").alias("temperature"),
     )

@@ -12,7 +12,6 @@ from pulsebook.functions.values import state_word
 from pulsebook.plans import adapters as a
 from pulsebook.session import work_folder
 from pulsebook.sources import sinks
-from pulsebook.sources.registries import scan
 from pulsebook.streaming import keyed, tables
 from pulsebook.streaming.sources import run_stream, stream_table
 
@@ -55,7 +54,7 @@ def appended(spark, df, time, operator, order=(0, 1, 2)):
 
 
 def events(spark, d):
-    return scan(spark, d, "events")
+    return a.table(spark, d, "events")
 
 
 def ping(base):

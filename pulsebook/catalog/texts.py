@@ -8,7 +8,6 @@ from pulsebook.catalog import query
 from pulsebook.functions.timecols import dotted_date, clock, file_day, stamp
 from pulsebook.plans import adapters as a
 from pulsebook.sources import logs, registries, replies
-from pulsebook.sources.registries import scan
 
 TIE = "event_id"
 
@@ -95,7 +94,7 @@ def s6(spark, d):
     c = (F.col("page_id") % 60 - 30).cast("string")
     widget = F.concat(F.lit('{"temperature":{"air":{"C":'), c, F.lit('.7,"F":0}}}'))
     page = F.when(F.col("url").contains("ref=x"), F.concat(F.col("html"), widget)).otherwise(F.col("html"))
-    pages = scan(spark, d, "pages").select("page_id", "url", page.alias("html"))
+    pages = a.table(spark, d, "pages").select("page_id", "url", page.alias("html"))
     return replies.extract_weather(pages).drop("html")
 
 

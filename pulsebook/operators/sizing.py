@@ -17,11 +17,18 @@ def _number(df: DataFrame, name: str, default: int) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's own size estimate, or None where it is not to be had."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
+    """The optimizer's size estimate, but at most what its tables hold together.
+
+    For joins the estimate is the product of both sides; lookups by key, which is all
+    that is joined here, do not grow like that. None where no estimate is to be had.
+    """
+    inner = getattr(df, "_jdf", None)
+    if inner is None:
         return None
-    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes())
+    plan = inner.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    tables = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return min(int(plan.stats().sizeInBytes()), tables)
 
 
 def fits_one_task(df: DataFrame) -> bool:

@@ -18,6 +18,26 @@ AS_OF = datetime(2024, 1, 31)
 EXEMPT = "loc-0"
 
 
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return scan(spark, folder, name, SCHEMAS[name])
+
+
 def address(n: Column) -> Column:
     octets = [F.shiftright(n, 16), F.shiftright(n, 8).bitwiseAND(255), n.bitwiseAND(255)]
     return F.concat_ws(".", F.lit("10"), *[o.cast("string") for o in octets])
@@ -32,7 +52,7 @@ def controller(n: Column) -> Column:
 
 
 def polls_base(spark: SparkSession, folder: str) -> DataFrame:
-    return with_base(scan(spark, folder, "events"))
+    return with_base(table(spark, folder, "events"))
 
 
 def with_base(events: DataFrame) -> DataFrame:
@@ -58,8 +78,8 @@ def equipment(spark, folder) -> DataFrame:
     visio = F.when(c % 7 == 0, F.lit(None)).when(c % 7 == 1, "").otherwise(
         F.concat(F.lit("Sheet."), c.cast("string"))
     )
-    nation = scan(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return scan(spark, folder, "customer").join(nation, "c_nationkey").select(
+    nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return table(spark, folder, "customer").join(nation, "c_nationkey").select(
         address(c).alias("ip"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("description"),
         visio.alias("visio_name"), F.col("n_name").alias("location"),
     )
@@ -78,7 +98,7 @@ def temp_gaps(spark, folder) -> DataFrame:
 def thresholds(spark, folder) -> DataFrame:
     c = F.col("c_custkey")
     n = c.cast("int")
-    return scan(spark, folder, "customer").select(
+    return table(spark, folder, "customer").select(
         n.alias("id"), address(c).alias("ip"), location(c).alias("location"),
         F.when(n % 2 == 0, 22).otherwise(11).alias("type"), (n % 28).alias("gpio"),
         (n % 5 + 5).alias("blue"), (n % 10 + 40).alias("yellow"), (n % 20 + 80).alias("red"),
@@ -98,8 +118,8 @@ def electro(spark, folder) -> DataFrame:
 
 def power_sites(spark, folder) -> DataFrame:
     c = F.col("c_custkey")
-    nation = scan(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return scan(spark, folder, "customer").join(nation, "c_nationkey").select(
+    nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return table(spark, folder, "customer").join(nation, "c_nationkey").select(
         address(c).alias("ip"), location(c).alias("location"), F.col("n_name").alias("own")
     )
 
@@ -138,7 +158,7 @@ def cell_lines(base: DataFrame) -> DataFrame:
 
 def cell_registry(spark, folder) -> DataFrame:
     c = F.col("c_custkey")
-    return scan(spark, folder, "customer").select(
+    return table(spark, folder, "customer").select(
         controller(c).alias("controller"), c.cast("int").alias("cell"),
         F.when(c % 9 == 0, "not").otherwise("do").alias("check"),
     )

@@ -38,10 +38,7 @@ def hour_report(snapshots: DataFrame, registry: DataFrame, day: date, hours: tup
         first = [
             F.min_by(F.struct("temp_sys", "temp_akb"), F.when(hour == h, F.col("time"))).alias(f"h{h}") for h in hours
         ]
-        wide = rows.groupBy("location").agg(*first)
-        for h in hours:
-            wide = wide.filter(F.col(f"h{h}").isNotNull())
-        wide = wide.select(
+        wide = rows.groupBy("location").agg(*first).dropna(subset=[f"h{h}" for h in hours]).select(
             "location",
             *[F.col(f"h{h}.temp_{m}").alias(f"{m}_{h}") for h in hours for m in ("sys", "akb")],
         )
@@ -51,11 +48,9 @@ def hour_report(snapshots: DataFrame, registry: DataFrame, day: date, hours: tup
 
 def coloured_hour_report(report: DataFrame, hours: tuple[int, ...] = HOURS) -> DataFrame:
     """The hour report with the class of every cell and the colour of the owner's run."""
-    out = report
-    for h in hours:
-        out = out.withColumn(f"sys_{h}_class", metric_band(f"sys_{h}", "temp_sys"))
-        out = out.withColumn(f"akb_{h}_class", metric_band(f"akb_{h}", "temp_akb"))
-    out = run_index(out.withColumn("ip_order", ip_key("ip")), "ip_order", "own")
+    cells = [(f"{m}_{h}", f"temp_{m}") for h in hours for m in ("sys", "akb")]
+    classes = {f"{c}_class": metric_band(c, metric) for c, metric in cells}
+    out = run_index(report.withColumns({**classes, "ip_order": ip_key("ip")}), "ip_order", "own")
     return out.withColumn("run_colour", run_colour("run"))
 
 
@@ -76,12 +71,10 @@ def power_board(registry: DataFrame, current: DataFrame) -> DataFrame:
         from_tenths("out_volt", 10).alias("out_volt"), from_tenths("out_ampr", 10).alias("out_ampr"),
         from_tenths("out_watt", 10).alias("out_watt"),
     )
-    return (
-        scaled.withColumn("akb_class", metric_band("temp_akb", "temp_akb"))
-        .withColumn("sys_class", metric_band("temp_sys", "temp_sys"))
-        .withColumn("battery1_class", metric_band("battery1v", "battery"))
-        .withColumn("battery2_class", metric_band("battery2v", "battery"))
-    )
+    return scaled.withColumns({
+        "akb_class": metric_band("temp_akb", "temp_akb"), "sys_class": metric_band("temp_sys", "temp_sys"),
+        "battery1_class": metric_band("battery1v", "battery"), "battery2_class": metric_band("battery2v", "battery"),
+    })
 
 
 def recent_events(changes: DataFrame, registry: DataFrame, n: int = 10, tie: str | None = None) -> DataFrame:

@@ -34,6 +34,7 @@ def read_cell_registry(spark: SparkSession, path: str) -> DataFrame:
     return parse_cell_registry(spark.read.text(path).withColumn("folder", F.col("_metadata.file_path")))
 
 
-def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the given folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def scan(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A table of the given folder; with a schema no footer is read to find it out."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")

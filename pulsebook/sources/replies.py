@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsebook.functions.values import alarm_raised, nth_field, tenths
 
 ESCAPE = "\x1b"
 
-# Where a reply names each measure and each alarm.
+# The word that marks each measure's line in a reply and the form of its value.
 MEASURES = {
-    "c_life": r"life:\s+(\d+)",
-    "c_temp": r"temp\s*=\s*(-?[\d.]+)\s*C",
-    "c_high": r"high pressure\s*=\s*(-?[\d.]+)",
-    "c__low": r"low pressure\s*=\s*(-?[\d.]+)",
-    "c_humi": r"humidity\s*=\s*(-?[\d.]+)\s*%",
+    "c_life": ("life:", r"life:\s+(\d+)"),
+    "c_temp": ("temp", r"=\s*(-?[\d.]+)\s*C"),
+    "c_high": ("high pressure", r"=\s*(-?[\d.]+)"),
+    "c__low": ("low pressure", r"=\s*(-?[\d.]+)"),
+    "c_humi": ("humidity", r"=\s*(-?[\d.]+)\s*%"),
 }
+# The words that mark each alarm's line.
 ALARMS = {
     "a_summ": "SUMMARY",
     "a_exrt": "EXCESSIVE RUN",
@@ -30,21 +31,25 @@ SENSOR_OFFSET = -1
 PAGE_TEMPERATURE = r'\{"temperature":\{"air":\{"C":(-?[0-9]+)'
 
 
+def line_with(lines: str, word: str) -> Column:
+    """First line holding the word, null when none does."""
+    return F.get(F.filter(lines, lambda line: line.contains(word)), F.lit(0))
+
+
 def extract_dehydrator(df: DataFrame, text: str = "reply") -> DataFrame:
     """Five measures and six alarms of a reply; rows without hours are left out.
 
-    An alarm without its line counts as raised.
+    The reply is cut into lines once, so that patterns run over one short line and not
+    the reply. An alarm without its line counts as raised.
     """
-    out = df.withColumn("_t", F.replace(F.col(text), F.lit(ESCAPE), F.lit("\n")))
-    for name, pattern in MEASURES.items():
-        raw = F.nullif(F.regexp_extract("_t", pattern, 1), F.lit(""))
-        number = raw.try_cast("decimal(10,3)")
-        value = tenths(number) if name in IN_TENTHS else F.round(number).cast("smallint")
-        out = out.withColumn(name, value)
+    lines = df.withColumn("_lines", F.split(F.replace(F.col(text), F.lit(ESCAPE), F.lit("\n")), "\n"))
+    found = {}
+    for name, (word, form) in MEASURES.items():
+        number = F.regexp_extract(line_with("_lines", word), form, 1).try_cast("decimal(10,3)")
+        found[name] = tenths(number) if name in IN_TENTHS else F.round(number).cast("smallint")
     for name, word in ALARMS.items():
-        reply = F.nullif(F.regexp_extract("_t", rf"{word}[^\n=]*=([^\n]*)", 1), F.lit(""))
-        out = out.withColumn(name, alarm_raised(reply))
-    return out.filter(F.col("c_life").isNotNull()).drop("_t")
+        found[name] = alarm_raised(F.substring_index(line_with("_lines", word), "=", -1))
+    return lines.withColumns(found).filter(F.col("c_life").isNotNull()).drop("_lines")
 
 
 def extract_snmp(df: DataFrame, key: list[str], metric: str, line: str, metrics: list[str]) -> DataFrame:
