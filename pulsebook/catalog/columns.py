@@ -102,7 +102,7 @@ def f_time(spark, d):
     as_of = tc.ntz(a.AS_OF)
     return a.polls_base(spark, d).select(
         TIE, tc.to_second(t).alias("f1_second"), F.hour(t).alias("f2_hour"), F.to_date(t).alias("f3_date"),
-        F.date_format(t, "yyyy-MM-dd").alias("f3_text"), as_of.alias("f4_as_of"),
+        tc.dashed_date(t).alias("f3_text"), as_of.alias("f4_as_of"),
         F.timestamp_add("DAY", F.lit(-1), t).alias("f5_day_before"), tc.elapsed_us(t, as_of).alias("f5_age_us"),
         (tc.elapsed_us(t, as_of) / F.lit(float(tc.DAY_US))).alias("f6_days"), tc.dotted_date(t).alias("f7_long"),
         tc.dotted_date(t, short=True).alias("f7_short"), tc.clock(t).alias("f7_clock"),

@@ -204,11 +204,7 @@ def x6(spark, d):
 )
 def x7_sessions(spark, d):
     def operator(stream):
-        rows = ping(a.with_base(stream)).select("ip", F.col("time").cast("timestamp").alias("time"))
+        rows = ping(a.with_base(stream)).select("ip", "time")
         return keyed.stream_sessions(rows, "ip", "time", "12 hours", "1 hour")
 
-    out = appended(spark, events(spark, d), "ts", operator)
-    return out.select(
-        "ip", F.col("first_read").cast("timestamp_ntz").alias("first_read"),
-        F.col("last_read").cast("timestamp_ntz").alias("last_read"), "reads",
-    )
+    return appended(spark, events(spark, d), "ts", operator)

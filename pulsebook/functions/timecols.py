@@ -21,12 +21,19 @@ def ntz(moment: datetime) -> Column:
 
 
 def epoch_us(t: Column | str) -> Column:
-    """Microseconds since 1970 of a naive timestamp."""
-    return F.timestamp_diff("MICROSECOND", ntz(datetime(1970, 1, 1)), col(t))
+    """Microseconds since 1970 of a naive timestamp.
+
+    Put together from its fields: differences of timestamps would be taken in the
+    session zone and stumble over its clock changes.
+    """
+    c = col(t)
+    second_us = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    minutes = F.hour(c) * 60 + F.minute(c)
+    return F.unix_date(c.cast("date")) * F.lit(DAY_US) + minutes * F.lit(60_000_000).cast("bigint") + second_us
 
 
 def elapsed_us(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", col(start), col(end))
+    return epoch_us(end) - epoch_us(start)
 
 
 def to_second(t: Column | str) -> Column:
@@ -58,23 +65,46 @@ def day_hour(t: Column | str, day: date, hour: int) -> Column:
     return same_day(t, day) & (F.hour(col(t)) == hour)
 
 
+def _iso(t: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text; the cast of a naive time knows no zone."""
+    return F.rpad(F.substring(col(t).cast("string"), 1, 19), 19, " ")
+
+
 def dotted_date(t: Column | str, short: bool = False) -> Column:
-    return F.date_format(col(t), "dd.MM.yy" if short else "dd.MM.yyyy")
+    iso = _iso(t)
+    year = F.substring(iso, 3, 2) if short else F.substring(iso, 1, 4)
+    return F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), year)
+
+
+def dashed_date(t: Column | str) -> Column:
+    return F.substring(_iso(t), 1, 10)
 
 
 def clock(t: Column | str) -> Column:
-    return F.date_format(col(t), "HH:mm:ss")
+    return F.substring(_iso(t), 12, 8)
 
 
 def file_day(d: Column | str) -> Column:
     """Day as daily log files are named, ``yyMMdd``."""
-    return F.date_format(col(d), "yyMMdd")
+    iso = _iso(d)
+    return F.concat(F.substring(iso, 3, 2), F.substring(iso, 6, 2), F.substring(iso, 9, 2))
 
 
 def stamp(t: Column | str) -> Column:
-    return F.date_format(col(t), "yyyy-MM-dd_HH:mm:ss")
+    return F.translate(_iso(t), " ", "_")
+
+
+def parse_dotted(text: Column | str) -> Column:
+    """``dd.MM.yy HH:mm:ss`` as a naive timestamp; null where it is none."""
+    iso = F.regexp_replace(col(text), r"^(\d\d)\.(\d\d)\.(\d\d) ", "20$3-$2-$1 ")
+    return iso.try_cast("timestamp_ntz")
+
+
+def parse_stamp(text: Column | str) -> Column:
+    """``yyyy-MM-dd_HH:mm:ss`` as a naive timestamp; null where it is none."""
+    return F.translate(col(text), "_", " ").try_cast("timestamp_ntz")
 
 
-def parse_naive(text: Column | str, pattern: str) -> Column:
-    """Naive timestamp from text; null where it does not fit."""
-    return F.try_to_timestamp(col(text), F.lit(pattern)).cast("timestamp_ntz")
+def parse_file_day(text: Column | str) -> Column:
+    """``yyMMdd`` as a date; null where it is none."""
+    return F.regexp_replace(col(text), r"^(\d\d)(\d\d)(\d\d)$", "20$1-$2-$3").try_cast("date")

@@ -33,10 +33,10 @@ def check_range(df: DataFrame, *conditions: Column) -> DataFrame:
 
 
 def check_fk(df: DataFrame, parent: DataFrame, key, parent_key=None) -> DataFrame:
-    """Rows whose key has no parent."""
+    """Rows whose key has no parent; a key with a null in it passes."""
     keys, parents = _keys(key), _keys(parent_key or key)
     p = parent.select(*[F.col(b).alias(a) for a, b in zip(keys, parents)])
-    return df.join(p, keys, "left_anti")
+    return df.dropna(subset=keys).join(p, keys, "left_anti")
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

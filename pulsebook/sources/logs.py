@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsebook.functions.timecols import parse_naive
+from pulsebook.functions.timecols import parse_dotted, parse_file_day, parse_stamp
 
 # The layouts of the journals.
 ACTION_LINE = r"^(\d\d\.\d\d\.\d\d \d\d:\d\d:\d\d) - (?:(\d+) )?Отключилась Cell (\d+); (.+?)\s*$"
@@ -24,10 +24,19 @@ VENT_ON_WORD = "включена"
 def with_log_place(lines: DataFrame, path: str) -> DataFrame:
     """Controller from the folder and day from the file name ``yyMMdd.log``."""
     return lines.withColumn("controller", F.regexp_extract(path, r"([^/]+)/[^/]*$", 1)).withColumn(
-        "log_date", parse_naive(F.regexp_extract(path, r"(\d{6})\.log$", 1), "yyMMdd").cast("date")
+        "log_date", parse_file_day(F.regexp_extract(path, r"(\d{6})\.log$", 1))
     )
 
 
+def in_line_order(lines: DataFrame) -> DataFrame:
+    """``line_no`` from the file block a line was read from and its place in that block.
+
+    Only for rows as they come from the files, before anything moves them.
+    """
+    place = F.struct("block", F.monotonically_increasing_id().alias("place"))
+    return lines.withColumn("line_no", place).drop("block")
+
+
 def read_cell_log(spark: SparkSession, path: str) -> DataFrame:
     """Daily controller logs, one row per line, in an order that needs no whole file per row.
 
@@ -36,12 +45,9 @@ def read_cell_log(spark: SparkSession, path: str) -> DataFrame:
     over tasks.
     """
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")
-        ).alias("line_no"),
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
     )
-    return with_log_place(lines, "path").select(
+    return with_log_place(in_line_order(lines), "path").select(
         "controller", "log_date", "line_no", F.col("value").alias("line")
     )
 
@@ -56,7 +62,7 @@ def parse_action_log(lines: DataFrame, line: str = "line") -> DataFrame:
     def part(i: int):
         return F.regexp_extract(line, ACTION_LINE, i)
 
-    return lines.withColumn("time", parse_naive(_or_null(part(1)), "dd.MM.yy HH:mm:ss")).withColumn(
+    return lines.withColumn("time", parse_dotted(_or_null(part(1)))).withColumn(
         "cell", part(3).try_cast("int")
     ).withColumn("action", _or_null(part(4)))
 
@@ -66,7 +72,7 @@ def parse_process_log(lines: DataFrame, line: str = "line") -> DataFrame:
     old = F.regexp_extract(line, OLD_PROCESS_LINE, 1)
     new = F.regexp_extract(line, PROCESS_LINE, 1)
     return (
-        lines.withColumn("time", parse_naive(_or_null(old), "dd.MM.yy HH:mm:ss"))
+        lines.withColumn("time", parse_dotted(_or_null(old)))
         .withColumn("clock", F.coalesce(_or_null(new), _or_null(F.substring(old, 10, 8))))
         .withColumn("code_line", F.regexp_extract(line, OLD_PROCESS_LINE, 2).try_cast("int"))
         .withColumn(
@@ -89,7 +95,7 @@ def parse_vent_log(lines: DataFrame, line: str = "line") -> DataFrame:
 
     is_auto = auto(1) != ""
     return (
-        lines.withColumn("time", parse_naive(F.coalesce(_or_null(auto(1)), _or_null(hand(1))), "yyyy-MM-dd_HH:mm:ss"))
+        lines.withColumn("time", parse_stamp(F.coalesce(_or_null(auto(1)), _or_null(hand(1)))))
         .withColumn("v1", _or_null(hand(2)))
         .withColumn(
             "v5", F.when(is_auto, F.when(auto(2) == VENT_ON_WORD, "ON").otherwise("OFF")).otherwise(_or_null(hand(3)))

@@ -15,7 +15,7 @@ DAY = "day"
 
 def _append_by_day(df: DataFrame, path: str, time: str, run: str) -> None:
     (
-        df.withColumn(DAY, F.to_date(time)).withColumn("run", F.lit(run))
+        df.withColumn(DAY, F.to_date(time)).withColumn("run", F.lit(run)).hint("rebalance", F.col(DAY))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY, "run").parquet(path)
     )

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
 
 from pulsebook.functions.bands import OFF, ON
+from pulsebook.functions.timecols import epoch_us
 from pulsebook.operators.folds import Escalation, accept_batch
 from pulsebook.operators.latch import AUTO_OFF, AUTO_ON
 
@@ -177,11 +178,13 @@ def stream_escalate(polls: DataFrame, key, time: str, cell: str, status: str, po
 def stream_sessions(stream: DataFrame, key, time: str, gap: str, delay: str) -> DataFrame:
     """Stretches of readings without a longer gap, given out once a device has fallen silent.
 
-    Rows later than ``delay`` behind the newest are dropped.
+    Rows later than ``delay`` behind the newest are dropped. Watermarks want zoned times,
+    so a naive one is read as UTC for them.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    zoned = stream.withColumn("_at", F.timestamp_micros(epoch_us(time)))
     return (
-        stream.withWatermark(time, delay).groupBy(*keys, F.session_window(time, gap).alias("_w"))
+        zoned.withWatermark("_at", delay).groupBy(*keys, F.session_window("_at", gap).alias("_w"))
         .agg(F.min(time).alias("first_read"), F.max(time).alias("last_read"), F.count(F.lit(1)).alias("reads"))
         .drop("_w")
     )

@@ -26,6 +26,9 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per
 def stream_cell_log(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """New controller log files as lines; nothing already read is read again.
 
+    ``block`` says where a line comes from; :func:`stream_cell_events` makes the line
+    order of it within a batch, which a stream itself cannot do.
+
     The collector lands what is new as a new file ``<controller>/<yyMMdd>.log`` or, for
     later parts of a day, ``<controller>/<part>-<yyMMdd>.log``.
     """
@@ -33,14 +36,13 @@ def stream_cell_log(spark: SparkSession, path: str, files_per_batch: int | None
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     lines = reader.text(path).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("landed"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"),
-    )
-    return with_log_place(lines, "path").select(
-        "controller", "log_date",
-        F.struct(F.unix_micros("landed").alias("landed"), "path", "block", "place").alias("line_no"),
-        F.col("value").alias("line"),
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(
+            F.unix_micros(F.col("_metadata.file_modification_time")).alias("landed"),
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        ).alias("block"),
     )
+    return with_log_place(lines, "path").select("controller", "log_date", "block", F.col("value").alias("line"))
 
 
 def run_stream(writer: DataStreamWriter, checkpoint: str, once: bool = True) -> StreamingQuery:

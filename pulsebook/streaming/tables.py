@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from pulsebook.operators.cells import cell_events
 from pulsebook.operators.current import latest
+from pulsebook.sources.logs import in_line_order
 from pulsebook.sources.sinks import journal
 
 KEPT = 2
@@ -72,7 +73,8 @@ def stream_cell_events(lines: DataFrame, path: str, strict: bool = True) -> Data
     """Last logged event per station as a table; the state outlives the daily change of logs."""
 
     def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        found = cell_events(batch, strict).select("controller", "cell", "log_date", "line_no", "event")
+        lines = in_line_order(batch) if "block" in batch.columns else batch
+        found = cell_events(lines, strict).select("controller", "cell", "log_date", "line_no", "event")
         rows = found if old is None else old.unionByName(found)
         return latest(rows, ["controller", "cell"], "log_date", "line_no")
 
