@@ -10,13 +10,16 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulsebook.functions.values import differs
 from pulsebook.operators.timeline import SLICE, Timeline, _beside
@@ -29,15 +32,30 @@ def in_order(line: Timeline) -> DataFrame:
     return line.df.repartition(*line.parts).sortWithinPartitions(*line.parts, *line.order)
 
 
-def group_starts(pdf: pd.DataFrame, parts: list[str], last: tuple | None) -> tuple[np.ndarray, tuple]:
+def key_at(batch: pa.RecordBatch, parts: list[str], i: int) -> tuple:
+    return tuple(batch.column(c)[i].as_py() for c in parts)
+
+
+def group_starts(batch: pa.RecordBatch, parts: list[str], last: tuple | None) -> list[bool]:
     """Which rows of a sorted batch begin a new group, given the last group of the batch before."""
-    new = np.zeros(len(pdf), dtype=bool)
+    n = batch.num_rows
+    new = np.zeros(n, dtype=bool)
     for c in parts:
-        v = pdf[c]
-        new |= (v != v.shift()).to_numpy(dtype=bool, na_value=True)
-    first = tuple(pdf[c].iloc[0] for c in parts)
-    new[0] = last is None or first != last
-    return new, tuple(pdf[c].iloc[-1] for c in parts)
+        here, before = batch.column(c).slice(1), batch.column(c).slice(0, n - 1)
+        differs = pc.fill_null(pc.not_equal(here, before), False)
+        nulls = pc.xor(pc.is_null(here), pc.is_null(before))
+        new[1:] |= pc.or_(differs, nulls).to_numpy(zero_copy_only=False)
+    new[0] = last is None or key_at(batch, parts, 0) != last
+    return new.tolist()
+
+
+def floats(batch: pa.RecordBatch, name: str) -> list[float]:
+    """A column as floats, nan for null."""
+    return batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False).tolist()
+
+
+def record_batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=to_arrow_schema(schema))
 
 
 # -- acceptance against the last accepted value ------------------------------------
@@ -45,11 +63,11 @@ def group_starts(pdf: pd.DataFrame, parts: list[str], last: tuple | None) -> tup
 
 def accept_batch(values, new, starts, last, limit):
     """Which values lie within ``limit`` of the last accepted one; a first value seeds."""
-    keep = np.zeros(len(values), dtype=bool)
-    for i, v in enumerate(values):
-        if new[i]:
+    keep = [False] * len(values)
+    for i, (v, fresh) in enumerate(zip(values, new)):
+        if fresh:
             last = starts[i] if starts is not None and starts[i] == starts[i] else None
-        if v is None or v != v:
+        if v != v:
             continue
         if last is None or v - limit <= last <= v + limit:
             keep[i] = True
@@ -123,37 +141,33 @@ def _reach_schema(df: DataFrame, parts: list[str]) -> T.StructType:
 
 def _slice_starts(line: Timeline, value: str, limit: float) -> DataFrame:
     """The value each slice of a heavy key starts from; bounded by the number of slices."""
-    parts = line.parts
+    parts, key = line.parts, line.key
+    heavy = line.df.filter(F.col(SLICE) >= 0)
+    thin = Timeline(
+        heavy.select(*parts, *line.order, F.col(value).cast("double").alias("_v")), key, line.order, True
+    )
+    piece_type = _reach_schema(thin.df, parts)
 
-    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state, last = None, None
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, group = None, None
 
-        def flush():
-            rows = [(*last, *r) for r in state.rows()]
-            return pd.DataFrame(rows, columns=[*parts, "lo", "lo_in", "hi", "hi_in", "ends", "seed"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            if state is not None and state.live:
+                yield record_batch([(*group, *r) for r in state.rows()], piece_type)
 
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            new, _ = group_starts(pdf, parts, last)
-            values = pdf["_v"].to_numpy(dtype=float)
-            keys = list(pdf[parts].itertuples(index=False, name=None))
-            for i, v in enumerate(values):
-                if new[i]:
-                    if state is not None and state.live:
-                        yield flush()
-                    state, last = Reach(limit), keys[i]
+            new = group_starts(batch, parts, group)
+            for i, (v, fresh) in enumerate(zip(floats(batch, "_v"), new)):
+                if fresh:
+                    yield from flush()
+                    state, group = Reach(limit), key_at(batch, parts, i)
                 if v == v:
                     state.add(v)
-        if state is not None and state.live:
-            yield flush()
+        yield from flush()
 
-    heavy = line.filter(F.col(SLICE) >= 0)
-    thin = Timeline(
-        heavy.df.select(*parts, *line.order, F.col(value).cast("double").alias("_v")), line.key, line.order, True
-    )
-    pieces = in_order(thin).mapInPandas(reach, _reach_schema(thin.df, parts))
-    key = line.key
+    pieces = in_order(thin).mapInArrow(reach, piece_type)
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         state, rows = None, []
@@ -185,21 +199,19 @@ def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
         starts = _slice_starts(line, value, limit)
         line = Timeline(_beside(line.df, starts, line.parts), line.key, line.order, True)
     parts, has_start = line.parts, line.sliced
-    columns = [f.name for f in line.df.schema]
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, last = None, None
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            new, group = group_starts(pdf, parts, group)
-            starts = pdf[START].to_numpy(dtype=float) if has_start else None
-            values = pdf[value].to_numpy(dtype=float, na_value=math.nan).tolist()
-            keep, last = accept_batch(values, new, starts, last, limit)
-            yield pdf.loc[keep, columns]
+            new = group_starts(batch, parts, group)
+            starts = floats(batch, START) if has_start else None
+            keep, last = accept_batch(floats(batch, value), new, starts, last, limit)
+            group = key_at(batch, parts, batch.num_rows - 1)
+            yield batch.filter(pa.array(keep))
 
-    out = in_order(line).mapInPandas(fold, line.df.schema)
-    return out.select(*df.columns)
+    return in_order(line).mapInArrow(fold, line.df.schema).select(*df.columns)
 
 
 # -- patience and escalation -------------------------------------------------------
@@ -235,7 +247,7 @@ class Escalation:
         self.counts: dict[str, int] = s.get("counts", {})
         self.again: bool = s.get("again", False)
         self.lock: str | None = s.get("lock")
-        self.resume = pd.Timestamp(s["resume"]) if s.get("resume") else None
+        self.resume = datetime.fromisoformat(s["resume"]) if s.get("resume") else None
 
     def text(self) -> str:
         resume = self.resume.isoformat() if self.resume is not None else None
@@ -243,7 +255,7 @@ class Escalation:
             {"counts": self.counts, "again": self.again, "lock": self.lock, "resume": resume}, sort_keys=True
         )
 
-    def poll(self, time: pd.Timestamp, cell) -> tuple[str, int] | None:
+    def poll(self, time: datetime, cell) -> tuple[str, int] | None:
         """Take one poll; returns the decision and its pause when there is one."""
         if self.resume is not None:
             if time < self.resume:
@@ -296,33 +308,30 @@ def _run_escalation(line, time, cell, patience, waits, watch_only, schema, final
     parts, key = line.parts, line.key
     has_start = START in line.df.columns
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, group = None, None
-        names = [*parts, "final"] if finals else [*key, time, cell, "action", "pause_s"]
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            new, end = group_starts(pdf, parts, group)
-            groups = list(pdf[parts].itertuples(index=False, name=None))
-            starts = pdf[START].tolist() if has_start else None
-            cells = [None if pd.isna(c) else c for c in pdf[cell].tolist()]
+            new = group_starts(batch, parts, group)
+            times, cells = batch.column(time).to_pylist(), batch.column(cell).to_pylist()
             rows = []
-            for i, t in enumerate(pdf[time]):
-                if new[i]:
+            for i, (t, c, fresh) in enumerate(zip(times, cells, new)):
+                if fresh:
                     if finals and state is not None:
                         rows.append((*group, state.text()))
-                    begin = starts[i] if starts and isinstance(starts[i], str) else None
-                    state, group = Escalation(patience, waits, watch_only, begin), groups[i]
-                made = state.poll(t, cells[i])
-                if made and not finals:
-                    rows.append((*groups[i][: len(key)], t, cells[i], *made))
-            group = end
+                    group = key_at(batch, parts, i)
+                    begin = batch.column(START)[i].as_py() if has_start else None
+                    state = Escalation(patience, waits, watch_only, begin)
+                decision = state.poll(t, c)
+                if decision and not finals:
+                    rows.append((*group[: len(key)], t, c, *decision))
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield record_batch(rows, schema)
         if finals and state is not None:
-            yield pd.DataFrame([(*group, state.text())], columns=names)
+            yield record_batch([(*group, state.text())], schema)
 
-    return in_order(line).mapInPandas(fold, schema)
+    return in_order(line).mapInArrow(fold, schema)
 
 
 def _settled_starts(line: Timeline, time, cell, patience, waits, watch_only) -> DataFrame:

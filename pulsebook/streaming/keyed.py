@@ -120,7 +120,7 @@ def stream_accept_within(stream: DataFrame, key, time: str, value: str, limit: f
     def step(rows: pd.DataFrame, state: tuple | None):
         last = state[0] if state else None
         values = rows[value].to_numpy(dtype=float, na_value=math.nan).tolist()
-        keep, last = accept_batch(values, np.zeros(len(values), dtype=bool), None, last, limit)
+        keep, last = accept_batch(values, [False] * len(values), None, last, limit)
         return rows[keep], (last,)
 
     return keyed(stream, key, time, tie, step, stream.schema, T.StructType().add("last", T.DoubleType()))
