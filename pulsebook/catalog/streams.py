@@ -6,13 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from pulsebook.catalog import ORACLES, QUERIES, query
+from pulsebook.catalog import ORACLES, QUERIES, query, splitting
 from pulsebook.functions.timecols import ntz
 from pulsebook.functions.values import state_word
 from pulsebook.plans import adapters as a
 from pulsebook.session import work_folder
 from pulsebook.sources import sinks
-from pulsebook.streaming import keyed, tables
+from pulsebook.streaming import batched, keyed, tables
 from pulsebook.streaming.sources import run_stream, stream_table
 
 TIE = "event_id"
@@ -40,7 +40,7 @@ def fed(spark, df, time, start, order=(0, 1, 2)):
     return folder
 
 
-def appended(spark, df, time, operator, order=(0, 1, 2)):
+def appended(spark, df, time, operator):
     """What an append stream over the frame gives out."""
     schema = []
 
@@ -49,10 +49,19 @@ def appended(spark, df, time, operator, order=(0, 1, 2)):
         schema.append(out.schema)
         return out.writeStream.format("parquet").option("path", f"{folder}/out")
 
-    folder = fed(spark, df, time, start, order)
+    folder = fed(spark, df, time, start)
     return spark.read.schema(schema[-1]).parquet(f"{folder}/out")
 
 
+def batched_out(spark, df, time, start):
+    """What a batch-by-batch stream over the frame puts into its file sink."""
+    def begin(stream, folder):
+        return start(stream, f"{folder}/state", batched.file_sink(f"{folder}/out"))
+
+    folder = fed(spark, df, time, begin)
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
 def events(spark, d):
     return a.table(spark, d, "events")
 
@@ -95,14 +104,12 @@ def x2(spark, d):
 
 
 def _journals(spark, d):
-    columns = []
-
     def start(stream, folder):
-        found = keyed.stream_changes(ping(a.with_base(stream)), "ip", "time", ["state"], TIE)
-        columns[:] = found.columns
-        return tables.stream_journal(found, f"{folder}/hot", f"{folder}/archive", "time")
+        rows = ping(a.with_base(stream))
+        sink = tables.journal_sink(f"{folder}/hot", f"{folder}/archive", "time")
+        return batched.stream_changes(rows, "ip", "time", ["state"], TIE, f"{folder}/state", sink)
 
-    return fed(spark, events(spark, d), "ts", start), columns
+    return fed(spark, events(spark, d), "ts", start), ["ip", "time", TIE, "state"]
 
 
 @like("x3_stream_changes", "w1_ping_changes")
@@ -124,37 +131,49 @@ def x3_hot(spark, d):
 def x3_plain(spark, d):
     gaps = F.when(~a.is_type("signup"), F.col("t")).alias("temperature")
 
-    def operator(stream):
+    def start(stream, state, sink):
         rows = a.with_base(stream).select("location", "time", TIE, gaps)
-        return keyed.stream_changes(rows, "location", "time", ["temperature"], TIE, null_safe=False)
+        return batched.stream_changes(rows, "location", "time", ["temperature"], TIE, state, sink, null_safe=False)
 
-    return appended(spark, events(spark, d), "ts", operator)
+    return batched_out(spark, events(spark, d), "ts", start)
 
 
 @like("x3_stream_within", "p15_exempt_source")
 def x3_within(spark, d):
-    def operator(stream):
+    def start(stream, state, sink):
         rows = temp(a.with_base(stream))
-        return keyed.stream_changes_within(rows, "location", "time", "temperature", 5, a.EXEMPT, TIE)
+        free = F.col("location") == a.EXEMPT
+        return batched.stream_changes_within(rows, "location", "time", "temperature", TIE, state, sink, 5, free)
 
-    return appended(spark, events(spark, d), "ts", operator)
+    return batched_out(spark, events(spark, d), "ts", start)
+
+
+def _accept(spark, d):
+    def start(stream, state, sink):
+        rows = temp(a.with_base(stream))
+        return batched.stream_accept_within(rows, "location", "time", "temperature", TIE, state, sink, 10)
+
+    return batched_out(spark, events(spark, d), "ts", start)
 
 
 @like("x4_stream_accept", "w4_accept_within")
 def x4_accept(spark, d):
-    def operator(stream):
-        return keyed.stream_accept_within(temp(a.with_base(stream)), "location", "time", "temperature", 10, TIE)
+    return _accept(spark, d)
 
-    return appended(spark, events(spark, d), "ts", operator)
+
+@like("x4_stream_accept_split", "w4_accept_within")
+def x4_accept_split(spark, d):
+    with splitting(spark, 40):
+        return _accept(spark, d)
 
 
 @like("x4_stream_latch", "w12_latch_with_commands")
 def x4_latch(spark, d):
-    def operator(stream):
+    def start(stream, state, sink):
         rows = a.vent_rows(a.with_base(stream))
-        return keyed.stream_latch_with_commands(rows, "u", "time", "temp", "cmd", tie=TIE)
+        return batched.stream_latch_with_commands(rows, "u", "time", "temp", "cmd", TIE, state, sink)
 
-    return appended(spark, events(spark, d), "ts", operator)
+    return batched_out(spark, events(spark, d), "ts", start)
 
 
 @like("x4_stream_escalate", "w9_escalation")
@@ -188,10 +207,14 @@ def x5(spark, d):
 def x6(spark, d):
     """The middle stretch lands last: it is late for every device already seen in the last one."""
 
-    def operator(stream):
-        return keyed.stream_changes(ping(a.with_base(stream)), "ip", "time", ["state"], TIE)
 
-    return appended(spark, events(spark, d), "ts", operator, order=(0, 2, 1))
+    def start(stream, folder):
+        rows = ping(a.with_base(stream))
+        sink = batched.file_sink(f"{folder}/out")
+        return batched.stream_changes(rows, "ip", "time", ["state"], TIE, f"{folder}/state", sink)
+
+    folder = fed(spark, events(spark, d), "ts", start, order=(0, 2, 1))
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
 @query(

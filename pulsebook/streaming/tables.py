@@ -81,8 +81,8 @@ def stream_cell_events(lines: DataFrame, path: str, strict: bool = True) -> Data
     return lines.writeStream.foreachBatch(_merging(path, merge))
 
 
-def stream_journal(changes: DataFrame, hot_path: str, archive_path: str, time: str) -> DataStreamWriter:
-    """Each batch of changes into both journals, once however often it is run."""
+def journal_sink(hot_path: str, archive_path: str, time: str) -> Callable[[DataFrame, int], None]:
+    """Write a batch's changes into both journals, once however often it is run."""
 
     def write(batch: DataFrame, number: int) -> None:
         kept = batch.persist()
@@ -91,4 +91,9 @@ def stream_journal(changes: DataFrame, hot_path: str, archive_path: str, time: s
         finally:
             kept.unpersist()
 
-    return changes.writeStream.foreachBatch(write)
+    return write
+
+
+def stream_journal(changes: DataFrame, hot_path: str, archive_path: str, time: str) -> DataStreamWriter:
+    """Each batch of changes into both journals."""
+    return changes.writeStream.foreachBatch(journal_sink(hot_path, archive_path, time))
