@@ -7,6 +7,7 @@ and never holds a key's history.
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 from collections.abc import Iterator
@@ -16,13 +17,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulsebook.functions.values import differs
-from pulsebook.operators.timeline import SLICE, Timeline, _beside
+from pulsebook.operators.timeline import SLICE, Timeline, beside
+from pulsebook.session import work_folder
 
 START = "_start"
 
@@ -197,7 +199,7 @@ def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
     line = Timeline.of(df, key, time, tie)
     if line.sliced:
         starts = _slice_starts(line, value, limit)
-        line = Timeline(_beside(line.df, starts, line.parts), line.key, line.order, True)
+        line = Timeline(beside(line.df, starts, line.parts), line.key, line.order, True)
     parts, has_start = line.parts, line.sliced
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +237,7 @@ def patience(polls: DataFrame, key, time: str, cell: str, status: str, position:
     return counted.rows().drop("_resets")
 
 
+# The two actions.
 RESTART, REBOOT = "restart", "reboot"
 
 
@@ -291,14 +294,14 @@ def escalate(polls: DataFrame, key, time: str, cell: str, status: str, position:
     A heavy controller is cut into slices that first run as if nothing came before.
     Slices whose true start turns out different run again, until none does. Healthy
     polls, actions and the day lock wipe the past, so this settles in a round or two;
-    it is exact however many it takes. The driver sees one short text per slice.
+    it is exact however many it takes.
     """
     keys = [key] if isinstance(key, str) else list(key)
     seen = first_failing(polls, keys, time, cell, status, position)
     line = Timeline.of(seen, keys, time)
     if line.sliced:
         starts = _settled_starts(line, time, cell, patience, waits, watch_only)
-        line = Timeline(_beside(line.df, starts, line.parts), line.key, line.order, True)
+        line = Timeline(beside(line.df, starts, line.parts), line.key, line.order, True)
     out = T.StructType([line.df.schema[c] for c in [*keys, time, cell]])
     out = out.add("action", T.StringType()).add("pause_s", T.IntegerType())
     return _run_escalation(line, time, cell, patience, waits, watch_only, out, finals=False)
@@ -335,32 +338,37 @@ def _run_escalation(line, time, cell, patience, waits, watch_only, schema, final
 
 
 def _settled_starts(line: Timeline, time, cell, patience, waits, watch_only) -> DataFrame:
+    """The state each slice of a heavy controller starts from: one row per slice, kept on disk.
+
+    Round after round, slices that ran from another state than the one before them
+    ended in run again.
+    """
     spark = line.df.sparkSession
+    folder = work_folder(spark, "escalation")
     parts, key = line.parts, line.key
-    part_type = T.StructType([line.df.schema[c] for c in parts])
-    heavy = line.filter(F.col(SLICE) >= 0)
-    final_type = T.StructType(part_type.fields[:]).add("final", T.StringType())
-    start_type = T.StructType(part_type.fields[:]).add(START, T.StringType())
-    width = len(key)
-
-    def run(some: Timeline) -> dict[tuple, str]:
-        got = _run_escalation(some, time, cell, patience, waits, watch_only, final_type, finals=True)
-        return {tuple(r)[:-1]: r["final"] for r in got.collect()}
-
-    finals = run(heavy)
-    order = sorted(finals, key=lambda p: (str(p[:width]), p[width]))
-    used: dict[tuple, str | None] = dict.fromkeys(order)
-    while True:
-        wrong = {}
-        for before, now in zip(order, order[1:]):
-            if before[:width] == now[:width] and used[now] != finals[before]:
-                wrong[now] = finals[before]
-        if not wrong:
-            break
-        again = spark.createDataFrame([(*p, s) for p, s in wrong.items()], start_type)
-        finals.update(run(Timeline(_beside(heavy.df, again, parts, "inner"), key, line.order, True)))
-        used.update(wrong)
-    return spark.createDataFrame([(*p, s) for p, s in used.items()], start_type)
+    heavy = line.df.filter(F.col(SLICE) >= 0)
+    final_type = T.StructType([line.df.schema[c] for c in parts]).add("final", T.StringType())
+    before = F.lag("final").over(Window.partitionBy(*key).orderBy(SLICE))
+
+    def finals(rows: DataFrame) -> DataFrame:
+        some = Timeline(rows, key, line.order, True)
+        return _run_escalation(some, time, cell, patience, waits, watch_only, final_type, finals=True)
+
+    done = finals(heavy).withColumn(START, F.lit(None).cast("string"))
+    for turn in itertools.count():
+        done.write.parquet(f"{folder}/{turn}")
+        settled = spark.read.parquet(f"{folder}/{turn}")
+        wrong = settled.withColumn("_due", before).filter(
+            F.col("_due").isNotNull() & differs("_due", START)
+        ).select(*parts, F.col("_due").alias(START))
+        if wrong.isEmpty():
+            return settled.select(*parts, START)
+        again = finals(beside(heavy, wrong, parts, "inner")).withColumnRenamed("final", "_final")
+        fixed = beside(again, wrong.withColumnRenamed(START, "_due"), parts)
+        joined = beside(settled, fixed, parts)
+        done = joined.select(
+            *parts, F.coalesce("_final", "final").alias("final"), F.coalesce("_due", START).alias(START)
+        )
 
 
 # -- run index ---------------------------------------------------------------------

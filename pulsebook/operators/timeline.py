@@ -38,7 +38,7 @@ class HeavyKeys:
     step: int
 
 
-def _beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left") -> DataFrame:
+def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left") -> DataFrame:
     """Join a small side frame on null-safe equality. Only ever called with bounded sides."""
     renamed = side.select(*[F.col(c).alias(f"_side_{c}") if c in names else F.col(c) for c in side.columns])
     cond = F.lit(True)
@@ -70,7 +70,7 @@ def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int) -> HeavyK
     )
     grid = [i / parts for i in range(1, parts)]
     marks = (
-        _beside(df.select(*key, F.col(by).alias("_by")), heavy, key, "inner")
+        beside(df.select(*key, F.col(by).alias("_by")), heavy, key, "inner")
         .groupBy(*key, "_parts").agg(F.percentile_approx("_by", grid, 10_000).alias("_grid"))
         .select(
             *key,
@@ -109,7 +109,7 @@ class Timeline:
         heavy = find_heavy_keys(df, key, time, split_rows(df))
         if heavy is None:
             return cls(df, key, order, False)
-        joined = _beside(df, heavy.frame, key)
+        joined = beside(df, heavy.frame, key)
         group = F.size(F.filter("_coarse", lambda c: c <= F.col(time)))
         place = joined.withColumn("_group", F.coalesce(group, F.lit(0)))
         fine = F.size(F.filter(F.get("_fine", F.col("_group")), lambda c: c <= F.col(time)))
@@ -142,7 +142,7 @@ class Timeline:
         return self.df.filter(F.col(SLICE) >= 0).groupBy(*self.key, SLICE).agg(*aggs)
 
     def _join_border(self, df: DataFrame, border: DataFrame) -> DataFrame:
-        return _beside(df, border, [*self.key, SLICE])
+        return beside(df, border, [*self.key, SLICE])
 
     def _slices(self):
         return Window.partitionBy(*self.key).orderBy(SLICE)
