@@ -7,31 +7,29 @@ from pyspark.sql import functions as F
 
 from pulsebook.operators.timeline import Timeline
 
-# How a log line reports a station.
-OFF_LINE = r"cell (\d+)  off"
-ON_LINE = r"cell (\d+)  on"
-ANY_ON_LINE = r"(\d+)  on"
+# How a log line reports a station. The loose form takes any number before an ``on``.
+STATUS = r"cell \d+  (?:off|on)"
+LOOSE_STATUS = r"cell \d+  off|\d+  on"
 
 
 def cell_events(lines: DataFrame, strict: bool = True) -> DataFrame:
-    """Log lines that switch a station, as (cell, event).
+    """What log lines say about stations, as (cell, event).
 
     With ``strict=False`` an ``on`` line switches every station whose number its
     number ends with, so a number is spelled out into its endings and the match
-    stays an equality.
+    stays an equality. Most lines are dropped by a plain search before any pattern.
     """
-    off = F.regexp_extract("line", OFF_LINE, 1)
-    on = F.regexp_extract("line", ON_LINE if strict else ANY_ON_LINE, 1)
-    found = lines.withColumn(
-        "event", F.when(off != "", "off").when(on != "", "on")
-    ).filter(F.col("event").isNotNull())
-    number = F.when(F.col("event") == "off", off).otherwise(on)
+    likely = lines.filter(F.col("line").contains("  off") | F.col("line").contains("  on"))
+    pattern = F.lit(STATUS if strict else LOOSE_STATUS)
+    said = likely.withColumn("said", F.explode(F.regexp_extract_all("line", pattern, F.lit(0)))).drop("line")
+    event = F.when(F.col("said").endswith("off"), "off").otherwise("on")
+    found = said.withColumns({"event": event, "cell": F.regexp_extract("said", r"\d+", 0)}).drop("said")
     if strict:
-        cells = F.array(number)
-    else:
-        endings = F.transform(F.sequence(F.lit(1), F.length(number)), lambda i: F.substr(number, i))
-        cells = F.when(F.col("event") == "off", F.array(number)).otherwise(endings)
-    return found.withColumn("cell", F.explode(cells)).drop("line")
+        return found
+    endings = F.transform(F.sequence(F.lit(1), F.length("cell")), lambda i: F.substr("cell", i))
+    return found.withColumn(
+        "cell", F.explode(F.when(F.col("event") == "off", F.array("cell")).otherwise(endings))
+    )
 
 
 def last_event(events: DataFrame, position: list[str]) -> DataFrame:
@@ -68,11 +66,11 @@ def daily_status(lines: DataFrame, registry: DataFrame, position: str = "line_no
 
     Yesterday's off holds until an on is logged.
     """
-    numbered = lines.withColumn("cell", F.regexp_extract("line", r"cell (\d+)", 1)).filter(F.col("cell") != "")
-    off = F.regexp_extract("line", OFF_LINE, 1) != ""
-    on = F.regexp_extract("line", ON_LINE, 1) != ""
-    event = F.when(off, "off").when(on, "on")
-    days = numbered.withColumn("event", event).groupBy("controller", "cell", "log_date").agg(
+    about = lines.withColumns({
+        "cell": F.regexp_extract("line", r"cell (\d+)", 1),
+        "event": F.nullif(F.regexp_extract("line", r"cell \d+  (off|on)", 1), F.lit("")),
+    }).filter(F.col("cell") != "")
+    days = about.groupBy("controller", "cell", "log_date").agg(
         F.max_by("event", F.when(F.col("event").isNotNull(), F.col(position))).alias("event")
     )
     reg = registry.select("controller", F.col("cell").cast("string").alias("cell"))

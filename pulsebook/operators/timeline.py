@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsebook.functions.timecols import epoch_us
 from pulsebook.operators.sizing import fits_one_task, split_rows
 
 SLICE = "_slice"
@@ -32,10 +33,16 @@ MAX_SLICES_PER_KEY = 4_096
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Heavy keys with their cuts: ``coarse`` cuts and, between them, ``fine`` ones."""
+    """Heavy keys and their cuts, as two side tables.
 
-    frame: DataFrame
-    step: int
+    A key's span is divided into equal cells, one per cut. ``spans`` holds where a key's
+    cells begin and how wide they are; ``cells`` holds for each cell how many cuts come
+    before it and the cuts in it. So a row carries the few cuts of its own cell and
+    never the whole list.
+    """
+
+    spans: DataFrame
+    cells: DataFrame
 
 
 def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left") -> DataFrame:
@@ -47,8 +54,24 @@ def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left")
     return df.join(F.broadcast(renamed), cond, how).drop(*[f"_side_{c}" for c in names])
 
 
+def position(df: DataFrame, by: str) -> Column:
+    """The order column as a number that never falls where the column rises."""
+    kind = df.schema[by].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return epoch_us(by).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(by).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(by).cast("double")
+    return F.col(by).cast("double")
+
+
+def cell_of(x: float, lo: float, width: float, cells: int) -> int:
+    return min(max(math.floor((x - lo) / width), 0), cells - 1)
+
+
 def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int) -> HeavyKeys | None:
-    """Keys above ``rows`` rows and the times at which to cut them.
+    """Keys above ``rows`` rows and the places at which to cut them.
 
     At most ``MAX_HEAVY_KEYS`` keys are taken, the largest first. A key left out
     therefore holds under 1/MAX_HEAVY_KEYS of the table, or under ``rows`` rows.
@@ -64,14 +87,15 @@ def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int) -> HeavyK
     total = sum(r["_n"] for r in top)
     per_slice = max(rows, math.ceil(total / MAX_SLICES), math.ceil(top[0]["_n"] / MAX_SLICES_PER_KEY))
     parts = max(2, math.ceil(top[0]["_n"] / per_slice))
-    heavy_type = df.select(*key).schema.add("_parts", T.IntegerType())
+    key_type = df.select(*key).schema
     heavy = spark.createDataFrame(
-        [(*[r[c] for c in key], max(2, math.ceil(r["_n"] / per_slice))) for r in top], heavy_type
+        [(*[r[c] for c in key], max(2, math.ceil(r["_n"] / per_slice))) for r in top],
+        T.StructType(key_type.fields[:]).add("_parts", T.IntegerType()),
     )
     grid = [i / parts for i in range(1, parts)]
     marks = (
-        beside(df.select(*key, F.col(by).alias("_by")), heavy, key, "inner")
-        .groupBy(*key, "_parts").agg(F.percentile_approx("_by", grid, 10_000).alias("_grid"))
+        beside(df.select(*key, position(df, by).alias("_at")), heavy, key, "inner")
+        .groupBy(*key, "_parts").agg(F.percentile_approx("_at", grid, 10_000).alias("_grid"))
         .select(
             *key,
             F.array_distinct(
@@ -83,15 +107,40 @@ def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int) -> HeavyK
         )
         .collect()
     )
-    step = max(1, math.isqrt(parts))
-    rows_out = []
+    spans, cells = [], []
     for r in marks:
-        cuts = sorted(r["_cuts"])
-        groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-        rows_out.append((*[r[c] for c in key], [g[0] for g in groups[1:]], groups))
-    cut_list = T.ArrayType(df.schema[by].dataType)
-    cut_type = df.select(*key).schema.add("_coarse", cut_list).add("_fine", T.ArrayType(cut_list))
-    return HeavyKeys(spark.createDataFrame(rows_out, cut_type), step)
+        name, cuts = tuple(r[c] for c in key), sorted(r["_cuts"])
+        lo, n = cuts[0], len(cuts)
+        width = (cuts[-1] - lo) / n or 1.0
+        spans.append((*name, lo, width, n))
+        inside: list[list[float]] = [[] for _ in range(n)]
+        for c in cuts:
+            inside[cell_of(c, lo, width, n)].append(c)
+        before = 0
+        for i, here in enumerate(inside):
+            cells.append((*name, i, before, here))
+            before += len(here)
+    span_type = T.StructType(key_type.fields[:]).add("_lo", T.DoubleType()).add("_width", T.DoubleType())
+    cell_type = T.StructType(key_type.fields[:]).add("_cell", T.IntegerType()).add("_before", T.IntegerType())
+    return HeavyKeys(
+        spark.createDataFrame(spans, span_type.add("_cells", T.IntegerType())),
+        spark.createDataFrame(cells, cell_type.add("_cuts", T.ArrayType(T.DoubleType()))),
+    )
+
+
+def with_slices(df: DataFrame, key: list[str], by: str, heavy: HeavyKeys) -> DataFrame:
+    """Each row's slice: the number of its key's cuts up to it, -1 for keys left whole."""
+    at = beside(df, heavy.spans, key).withColumn(
+        "_at", F.when(F.col("_cells").isNotNull(), position(df, by))
+    )
+    cell = F.floor((F.col("_at") - F.col("_lo")) / F.col("_width"))
+    inside = F.least(F.greatest(cell, F.lit(0)), F.col("_cells") - 1).cast("int")
+    placed = beside(at.withColumn("_cell", inside), heavy.cells, [*key, "_cell"])
+    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
+    found = placed.withColumn(
+        SLICE, F.when(F.col("_cuts").isNull(), -1).otherwise(F.col("_before") + passed)
+    )
+    return found.drop("_lo", "_width", "_cells", "_at", "_cell", "_before", "_cuts")
 
 
 class Timeline:
@@ -109,14 +158,7 @@ class Timeline:
         heavy = find_heavy_keys(df, key, time, split_rows(df))
         if heavy is None:
             return cls(df, key, order, False)
-        joined = beside(df, heavy.frame, key)
-        group = F.size(F.filter("_coarse", lambda c: c <= F.col(time)))
-        place = joined.withColumn("_group", F.coalesce(group, F.lit(0)))
-        fine = F.size(F.filter(F.get("_fine", F.col("_group")), lambda c: c <= F.col(time)))
-        cut = place.withColumn(
-            SLICE, F.when(F.col("_coarse").isNull(), -1).otherwise(F.col("_group") * heavy.step + fine)
-        )
-        return cls(cut.drop("_coarse", "_fine", "_group"), key, order, True)
+        return cls(with_slices(df, key, time, heavy), key, order, True)
 
     # -- windows ---------------------------------------------------------------
 
