@@ -28,7 +28,7 @@ def s1(spark, d):
 def s2(spark, d):
     lines = a.cell_registry(spark, d).select(
         F.concat(F.col("cell").cast("string"), F.lit("\t"), F.col("check")).alias("value"),
-        F.concat(F.lit("/srv/"), F.col("controller"), F.lit("/kbs_config.txt")).alias("folder"),
+        F.concat(F.lit("/srv/"), F.col("controller"), F.lit("/cells.txt")).alias("folder"),
     )
     return registries.parse_cell_registry(lines)
 
