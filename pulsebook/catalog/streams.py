@@ -163,7 +163,7 @@ def x4_accept(spark, d):
 
 @like("x4_stream_accept_split", "w4_accept_within")
 def x4_accept_split(spark, d):
-    with splitting(spark, 40):
+    with splitting(spark, 15):
         return _accept(spark, d)
 
 
