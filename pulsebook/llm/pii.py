@@ -29,7 +29,6 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 REACH, SUPPORT, SHARE = 40, 3, 1.0
-CELLS = 1 << 20
 PROTECTED = ("email", "phone")
 TERM = r"[\p{L}][\p{L}\p{N}'-]{3,}+"
 
@@ -103,10 +102,6 @@ def _terms(part: Column, at: Column) -> Column:
     ))
 
 
-def _cell(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(CELLS)).cast("int")
-
-
 def detect(
     df: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH, support: int = SUPPORT, share: float = SHARE,
 ) -> tuple[DataFrame, DataFrame]:
@@ -141,12 +136,8 @@ def detect(
     )
     n_entity = protected.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    # A byte for each of CELLS hash cells, whatever the data: only words in a candidate's cell are counted.
-    cells = bytearray(CELLS)
-    for r in both.select(_cell(F.col("term")).alias("c")).distinct().toLocalIterator():
-        cells[r["c"]] = 1
-    in_cell = F.substring(F.lit(bytes(cells)), _cell(F.col("term")) + 1, F.lit(1)) == F.lit(b"\x01")
-    n_term = rows.select(F.explode(words).alias("term")).where(in_cell).groupBy("term").agg(F.count("*").alias("n_term"))
+    # Counted in the tasks that read the texts; one row per task and different word moves.
+    n_term = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     # One row.
     n_all = found.agg(F.count("*").alias("n_all"))
     telling = both.join(n_entity, "entity").join(n_term, "term").join(F.broadcast(n_all)).where(
