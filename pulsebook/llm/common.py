@@ -29,6 +29,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -37,9 +40,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
+    STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        STAGED.remove(p)
+
+
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
