@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsebook.llm.common import mix, query, stage, table
+from pulsebook.llm.common import mix, query, slices, stage, table
 
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
 SMALLEST, LARGEST = 256, 8192
@@ -57,7 +57,7 @@ _OUT = pa.schema([("n_points", pa.int64()), ("digest", pa.binary()), ("chunks",
 
 
 def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         points, digests, lists = [], [], []
         for raw in batch.column("text").to_pylist():
             points.append(len(raw) if raw else 0)

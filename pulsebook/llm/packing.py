@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulsebook.llm.common import query, stage, table
+from pulsebook.llm.common import query, slices, stage, table
 
 ROOM = 2048
 SPECIAL = "<|endoftext|>"
@@ -135,7 +135,7 @@ def best_fit_runs(counts: dict[int, int], room: int) -> tuple[list[tuple[int, in
 def _tokenised(room: int, end_id: int, files: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, seen = encoder(*files), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             counts, ordinals, whole, sums = [], [], [], []
             for text in batch.column("text").to_pylist():
                 ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")

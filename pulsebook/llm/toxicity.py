@@ -25,10 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulsebook.llm.common import mix, query, stage, table
+from pulsebook.llm.common import mix, query, slices, stage, table
 
 ORDER = 5
-SLOTS = 1 << 22
+SLOTS = 1 << 21
 MOST_LABELS = 50_000
 THRESHOLD = 0.3
 DISCOUNT = 0.75
@@ -86,7 +86,7 @@ def _strings(letters: np.ndarray, of: np.ndarray) -> tuple[list[np.ndarray], np.
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the batches with about ``_PIECE`` characters, or one text if that is longer."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").to_pylist()
         start = size = 0
         for i, t in enumerate(texts):
