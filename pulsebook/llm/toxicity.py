@@ -131,21 +131,20 @@ class Model:
         # Shared counts, from the shortest strings up: in how many ways a string continues one to its left.
         shared = np.full(len(slot), 1 / 65536)
         for width in range(2, ORDER):
-            own, context = _hash(chars[-width:], slots), _hash(chars[-width:-1], slots)
-            ways = np.bincount(own, minlength=slots)
-            total = np.bincount(context, minlength=slots)
-            kinds = np.bincount(context[np.unique(own, return_index=True)[1]], minlength=slots)
+            _, once, own = np.unique(_hash(chars[-width:], slots), return_index=True, return_inverse=True)
+            _, context = np.unique(_hash(chars[-width:-1], slots), return_inverse=True)
+            ways, total, kinds = np.bincount(own), np.bincount(context), np.bincount(context[once])
             shared = (ways[own] - DISCOUNT + DISCOUNT * kinds[context] * shared) / total[context]
-        context = _hash(chars[:-1], slots)
+        names, context = np.unique(_hash(chars[:-1], slots), return_inverse=True)
         logs, rests = [], []
         for name in ("n_toxic", "n_other"):
             n = seen[name] + (0 if without_fit else seen[f"{name}_fit"])
-            total = np.bincount(context, n, slots)
-            kinds = np.bincount(context, n > 0, slots)
+            total, kinds = np.bincount(context, n, len(names)), np.bincount(context, n > 0, len(names))
             rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
             logs.append(np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1) + rest[context] * shared))
             rests.append(np.log(rest))
-        self.unseen = (rests[0] - rests[1]).astype(np.float32)
+        self.unseen = np.zeros(slots, np.float32)
+        self.unseen[names] = rests[0] - rests[1]
         self.seen = np.full(slots, np.nan, np.float32)
         self.seen[slot] = logs[0] - logs[1]
 
@@ -216,15 +215,18 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
         "string-counts",
     ).toArrow()
     seen = {c: counts.column(c).to_numpy() for c in counts.column_names}
-    apart = Model(slots, seen, without_fit=True)
-    found = scored(rows.where("fold = 3 and mark is not null"), apart, (1.0, 0.0)).select("mean", "mark").toArrow()
+    apart = df.sparkSession.sparkContext.broadcast(Model(slots, seen, without_fit=True))
+    found = _scored(rows.where("fold = 3 and mark is not null"), apart, (1.0, 0.0)).select("mean", "mark").toArrow()
+    apart.destroy()
     return Model(slots, seen), curve(np.log(found.column("mean").to_numpy() + FLOOR), found.column("mark").to_numpy().astype(float))
 
 
 def scored(rows: DataFrame, model: Model, line: tuple[float, float]) -> DataFrame:
     """``rows`` with a column ``text``: all other columns, ``mean`` and ``score``."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
+    return _scored(rows, rows.sparkSession.sparkContext.broadcast(model), line)
 
+
+def _scored(rows: DataFrame, held, line: tuple[float, float]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _pieces(batches):
             means = held.value.means(texts)
