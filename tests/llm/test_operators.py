@@ -239,10 +239,10 @@ def test_pipeline(spark):
 
 
 def test_stages_keep_columns(spark, docs, nothing, tmp_path):
-    for frame in (docs, nothing):
+    for name, frame in (("odd", docs), ("nothing", nothing)):
         for i, (_, step) in enumerate(corpus_pipeline.STAGES[:-1]):
             out = step(spark, frame, FOLDER)
             assert out.columns == frame.columns
-            path = str(tmp_path / f"{frame is docs}{i}")
+            path = str(tmp_path / f"{name}{i}")
             out.write.parquet(path)
             frame = spark.read.schema(frame.schema).parquet(path)
