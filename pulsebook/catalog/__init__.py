@@ -41,7 +41,7 @@ VIEWS = {
         k + 450 AS battery2v FROM ev""",
     "power_sites": """SELECT concat('10.', c_custkey // 65536, '.', (c_custkey // 256) % 256, '.', c_custkey % 256) AS ip,
         concat('loc-', c_custkey) AS location, n_name AS own FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "dehydrator": """SELECT CAST(1 + (row_number() OVER (PARTITION BY u ORDER BY time, event_id) - 1) // 5 AS SMALLINT)
+    "dehydrator": """SELECT 1 + (row_number() OVER (PARTITION BY ip ORDER BY time, event_id) - 1) // 5
         AS c_life, CAST(t % 45 AS SMALLINT) AS c_temp, CAST(t % 20 AS SMALLINT) AS c_high,
         CAST(CASE WHEN k % 10 <> 0 THEN t END AS SMALLINT) AS c__low, CAST(k AS SMALLINT) AS c_humi, ip, time, event_id,
         event_type = 'error' AS a_summ, event_type = 'click' AS a_exrt, event_type = 'view' AS a_high,

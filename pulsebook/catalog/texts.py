@@ -84,8 +84,8 @@ def s5(spark, d):
     line = F.when(lost, "Timeout: No Response from 1.2.3.4").otherwise(
         F.concat(F.lit("iso.3.6.1.4.1 = INTEGER: "), F.col("value").cast("string"))
     )
-    lines = long.select("location", "time", "metric", line.alias("line"))
-    return replies.extract_snmp(lines, ["location", "time"], "metric", "line", METRICS)
+    lines = long.select("location", "time", TIE, "metric", line.alias("line"))
+    return replies.extract_snmp(lines, ["location", "time", TIE], "metric", "line", METRICS).drop(TIE)
 
 
 @query("s6_weather_page", "", """SELECT page_id, url, CAST(page_id % 60 - 30 AS INTEGER) AS temperature FROM pages

@@ -13,7 +13,7 @@ LOOSE_STATUS = r"cell \d+  off|\d+  on"
 
 
 def cell_events(lines: DataFrame, strict: bool = True) -> DataFrame:
-    """What log lines say about stations, as (cell, event).
+    """What log lines say about stations, as (cell, event), with ``nth``: which report of its line it is.
 
     With ``strict=False`` an ``on`` line switches every station whose number its
     number ends with, so a number is spelled out into its endings and the match
@@ -21,7 +21,8 @@ def cell_events(lines: DataFrame, strict: bool = True) -> DataFrame:
     """
     likely = lines.filter(F.col("line").contains("  off") | F.col("line").contains("  on"))
     pattern = F.lit(STATUS if strict else LOOSE_STATUS)
-    said = likely.withColumn("said", F.explode(F.regexp_extract_all("line", pattern, F.lit(0)))).drop("line")
+    reports = F.posexplode(F.regexp_extract_all("line", pattern, F.lit(0))).alias("nth", "said")
+    said = likely.select("*", reports).drop("line")
     event = F.when(F.col("said").endswith("off"), "off").otherwise("on")
     found = said.withColumns({"event": event, "cell": F.regexp_extract("said", r"\d+", 0)}).drop("said")
     if strict:
@@ -45,7 +46,7 @@ def cell_status(lines: DataFrame, registry: DataFrame, strict: bool = True, prev
 
     A station without an event keeps its previous status, and is on without one.
     """
-    last = last_event(cell_events(lines, strict), list(position))
+    last = last_event(cell_events(lines, strict), [*position, "nth"])
     key = ["controller", "cell"]
     reg = registry.withColumn("cell", F.col("cell").cast("string"))
     out = reg.join(last, key, "left")

@@ -75,7 +75,7 @@ def monitored(df: DataFrame, registry: DataFrame, key, flag: str = "check") -> D
 
 def registered(df: DataFrame, registry: DataFrame, key) -> DataFrame:
     """Rows whose key is in the registry: what a cascading delete leaves."""
-    return df.join(registry.select(*_list(key)).distinct(), _list(key), "left_semi")
+    return df.join(registry.select(*_list(key)), _list(key), "left_semi")
 
 
 def renamed(df: DataFrame, renames: DataFrame, key: str, old: str = "old", new: str = "new") -> DataFrame:

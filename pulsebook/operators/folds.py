@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import json
 import math
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 
@@ -77,51 +78,63 @@ def accept_batch(values, new, starts, last, limit):
     return keep, last
 
 
+class Starts:
+    """Intervals of starting values that go on alike, put in order when they have doubled."""
+
+    def __init__(self) -> None:
+        self.pieces: list[tuple] = []
+        self.tidy = 64
+
+    def take(self, more: list[tuple]) -> None:
+        self.pieces.extend(more)
+        if len(self.pieces) > self.tidy:
+            self.pieces = joined(self.pieces)
+            self.tidy = max(64, 2 * len(self.pieces))
+
+
 class Reach:
     """What a slice does to every value it could start from.
 
     All starting values that accept the same reading go on alike, so the slice is
     described by a few intervals of starting values, each with the value it ends at.
-    Values in no interval accept nothing and stay.
+    Values in no interval accept nothing and stay. Groups are kept in the order of
+    their current values, which are more than the limit apart, and open intervals in
+    theirs, so a reading finds the few it touches by bisection.
     """
 
     def __init__(self, limit: float) -> None:
         self.limit = limit
-        self.free = [(-math.inf, math.inf)]  # open intervals that accepted nothing so far
-        self.live: list[list] = []  # [current value, [(lo, lo closed, hi, hi closed), ...]]
-        self.seeded: float | None = None
-        self.seed_group: list | None = None
+        # Open intervals that accepted nothing so far.
+        self.free_from, self.free_to = [-math.inf], [math.inf]
+        self.at: list[float] = []
+        self.groups: list[Starts] = []
+        self.seed: Starts | None = None
 
     def add(self, x: float) -> None:
         lo, hi = x - self.limit, x + self.limit
-        pieces, rest, seed = [], [], self.seed_group is None
-        for group in self.live:
-            if lo <= group[0] <= hi:
-                pieces.extend(group[1])
-                seed = seed or group is self.seed_group
-            else:
-                rest.append(group)
-        free = []
-        for a, b in self.free:
-            if b < lo or a > hi or (a == hi or b == lo):
-                free.append((a, b))
-                continue
-            left, right = max(a, lo), min(b, hi)
-            pieces.append((left, lo > a, right, hi < b))
-            if a < lo:
-                free.append((a, lo))
-            if hi < b:
-                free.append((hi, b))
-        self.free = free
-        if pieces:
-            group = [x, joined(pieces)]
-            rest.append(group)
-            if seed:
-                self.seed_group = group
-        self.live = rest
+        i, j = bisect_left(self.at, lo), bisect_right(self.at, hi)
+        f, g = bisect_right(self.free_to, lo), bisect_left(self.free_from, hi)
+        if i == j and f == g:
+            return
+        met = self.groups[i:j]
+        group = max(met, key=lambda s: len(s.pieces), default=None) or Starts()
+        for other in met:
+            if other is not group:
+                group.take(other.pieces)
+        free = list(zip(self.free_from[f:g], self.free_to[f:g]))
+        if free:
+            group.take([(max(a, lo), lo > a, min(b, hi), hi < b) for a, b in free])
+            left = [(a, lo) for a, _ in free[:1] if a < lo] + [(hi, b) for _, b in free[-1:] if hi < b]
+            self.free_from[f:g], self.free_to[f:g] = [a for a, _ in left], [b for _, b in left]
+        if self.seed is None or any(s is self.seed for s in met):
+            self.seed = group
+        self.at[i:j], self.groups[i:j] = [x], [group]
 
     def rows(self) -> list[tuple]:
-        return [(lo, lc, hi, hc, g[0], g is self.seed_group) for g in self.live for lo, lc, hi, hc in g[1]]
+        return [
+            (lo, lc, hi, hc, x, group is self.seed)
+            for x, group in zip(self.at, self.groups) for lo, lc, hi, hc in joined(group.pieces)
+        ]
 
 
 def joined(pieces: list[tuple]) -> list[tuple]:
@@ -154,7 +167,7 @@ def _slice_starts(line: Timeline, value: str, limit: float) -> DataFrame:
         state, group = None, None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if state is not None and state.live:
+            if state is not None and state.groups:
                 yield record_batch([(*group, *r) for r in state.rows()], piece_type)
 
         for batch in batches:

@@ -20,20 +20,27 @@ def first_seen(df: DataFrame, key, counter: str, time: str) -> DataFrame:
 def hours_per_day(journal: DataFrame, key, counter: str, time: str) -> DataFrame:
     """Average running hours per day at each hour reached: 1 / days between two hours.
 
-    Hour n meets hour n-1 by an equality join on (key, counter), so a busy device
-    spreads over its counter values. A figure that does not fit numeric(3,2), or a
-    zero duration, gives null.
+    Each hour is listed under itself and under the next one and the two meet in a group
+    of (key, counter), so a busy device spreads over its counter values and the journal
+    is read once. Hours without a key or number, or without the hour before, give no row.
+    A figure that does not fit numeric(3,2), or a zero duration, gives null.
     """
     keys = _keys(key)
-    seen = first_seen(journal, keys, counter, time)
-    now = seen.select(*keys, F.col(counter).alias("last_hour"), F.col(time).alias("last_time"))
-    before = seen.select(
-        *keys, (F.col(counter) + 1).cast(seen.schema[counter].dataType).alias("last_hour"),
-        F.col(time).alias("before_time"),
+    seen = first_seen(journal, keys, counter, time).dropna(subset=[*keys, counter])
+    hour = F.col(counter).cast("bigint")
+    listed = seen.select(*keys, time, F.inline(F.array(
+        F.struct(hour.alias("last_hour"), F.lit(True).alias("_own")),
+        F.struct(F.try_add(hour, F.lit(1)).alias("last_hour"), F.lit(False).alias("_own")),
+    )))
+    own, at = F.col("_own"), F.col(time)
+    met = listed.groupBy(*keys, "last_hour").agg(
+        F.max(F.when(own, at)).alias("last_time"), F.max(F.when(~own, at)).alias("before_time"),
+        (F.count(F.lit(1)) == 2).alias("_both"),
     )
     days = elapsed_us("before_time", "last_time") / F.lit(float(DAY_US))
-    return now.join(before, [*keys, "last_hour"]).withColumn(
-        "average", F.try_divide(F.lit(1.0), days).try_cast("decimal(3,2)")
+    return met.filter("_both").select(
+        *keys, F.col("last_hour").cast(journal.schema[counter].dataType).alias("last_hour"), "last_time", "before_time",
+        F.try_divide(F.lit(1.0), days).try_cast("decimal(3,2)").alias("average"),
     )
 
 

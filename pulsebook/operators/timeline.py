@@ -7,10 +7,12 @@ one task and ruinous when a single key holds a third of a large table. So:
 * input that fits one task (by the optimizer's estimate) uses the window as it is;
 * otherwise rows are counted per key and only the heavy keys are cut into time
   slices of about equal size. The window then runs per (key, slice), and what crosses
-  a slice border - one row per slice - is worked out on the side and joined back.
+  a slice border - one row per slice - is worked out on the side and joined back;
+* a slice that is one single time and still too large is cut again by the tie.
 
-The side table has one row per slice of a heavy key. Its size is bounded by the
-constants below whatever the data, which is why it may be broadcast.
+The side table has one row per slice of a heavy key. Its size is bounded by
+``MAX_SLICES`` whatever the data, which is why it may be broadcast. Nulls come first
+in the order, NaN last, as in a window.
 """
 
 from __future__ import annotations
@@ -26,9 +28,12 @@ from pulsebook.functions.timecols import epoch_us
 from pulsebook.operators.sizing import fits_one_task, split_rows
 
 SLICE = "_slice"
-MAX_HEAVY_KEYS = 5_000
-MAX_SLICES = 20_000
-MAX_SLICES_PER_KEY = 4_096
+# A slice holds about ``split_rows`` rows, or this share of all rows of heavy keys where that is more.
+MAX_SLICES = 100_000
+# Beyond any time or number that orders readings.
+FAR = 1e300
+# Bytes of a text that make its position: as many as a double holds exactly.
+TEXT_BYTES = 6
 
 
 @dataclass(frozen=True)
@@ -43,6 +48,7 @@ class HeavyKeys:
 
     spans: DataFrame
     cells: DataFrame
+    repeats: bool  # some position fills a slice alone
 
 
 def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left") -> DataFrame:
@@ -55,61 +61,77 @@ def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left")
 
 
 def position(df: DataFrame, by: str) -> Column:
-    """The order column as a number that never falls where the column rises."""
+    """The order column as a finite number that never falls where the column rises."""
     kind = df.schema[by].dataType
     if isinstance(kind, T.TimestampNTZType):
-        return epoch_us(by).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(by).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(by).cast("double")
-    return F.col(by).cast("double")
+        at = epoch_us(by)
+    elif isinstance(kind, T.TimestampType):
+        at = F.unix_micros(by)
+    elif isinstance(kind, T.DateType):
+        at = F.unix_date(by)
+    elif isinstance(kind, (T.StringType, T.BinaryType)):
+        head = F.hex(F.substring(F.col(by).cast("binary"), 1, TEXT_BYTES))
+        at = F.conv(F.rpad(head, 2 * TEXT_BYTES, "0"), 16, 10)
+    else:
+        at = F.col(by)
+    return F.least(F.greatest(at.cast("double"), F.lit(-FAR)), F.lit(FAR))
 
 
 def cell_of(x: float, lo: float, width: float, cells: int) -> int:
     return min(max(math.floor((x - lo) / width), 0), cells - 1)
 
 
-def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int) -> HeavyKeys | None:
+def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int, one: str | None = None) -> HeavyKeys | None:
     """Keys above ``rows`` rows and the places at which to cut them.
 
-    At most ``MAX_HEAVY_KEYS`` keys are taken, the largest first. A key left out
-    therefore holds under 1/MAX_HEAVY_KEYS of the table, or under ``rows`` rows.
-    What reaches the driver is bounded by that and by ``MAX_SLICES`` cuts.
+    At most ``MAX_SLICES`` keys are taken, the largest first, so a key left out holds
+    under ``rows`` rows or under 1/MAX_SLICES of the table. What reaches the driver is
+    bounded by that and by as many cuts, from one key or from all together. With
+    ``one`` only keys that hold a single value of that column count.
     """
     spark = df.sparkSession
-    top = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
-        .orderBy(F.col("_n").desc(), *key).limit(MAX_HEAVY_KEYS).collect()
-    )
+    counts = [F.count(F.lit(1)).alias("_n")]
+    if one is not None:
+        set_rows = F.count(one)
+        counts.append(
+            ((set_rows == 0) | ((set_rows == F.count(F.lit(1))) & (F.min(one) == F.max(one)))).alias("_one")
+        )
+    counted = df.groupBy(*key).agg(*counts).filter(F.col("_n") > rows)
+    if one is not None:
+        counted = counted.filter("_one")
+    top = counted.orderBy(F.col("_n").desc(), *key).limit(MAX_SLICES).collect()
     if not top:
         return None
     total = sum(r["_n"] for r in top)
-    per_slice = max(rows, math.ceil(total / MAX_SLICES), math.ceil(top[0]["_n"] / MAX_SLICES_PER_KEY))
+    per_slice = max(rows, math.ceil(total / MAX_SLICES))
     parts = max(2, math.ceil(top[0]["_n"] / per_slice))
     key_type = df.select(*key).schema
     heavy = spark.createDataFrame(
         [(*[r[c] for c in key], max(2, math.ceil(r["_n"] / per_slice))) for r in top],
         T.StructType(key_type.fields[:]).add("_parts", T.IntegerType()),
     )
-    grid = [i / parts for i in range(1, parts)]
+    # One text instead of one literal per mark keeps the plan small.
+    grid = F.split(F.lit(",".join(f"{i / parts:.9g}" for i in range(1, parts))), ",").cast("array<double>")
     marks = (
         beside(df.select(*key, position(df, by).alias("_at")), heavy, key, "inner")
-        .groupBy(*key, "_parts").agg(F.percentile_approx("_at", grid, 10_000).alias("_grid"))
+        .groupBy(*key, "_parts").agg(F.percentile_approx("_at", grid, max(10_000, 4 * parts)).alias("_grid"))
         .select(
             *key,
-            F.array_distinct(
-                F.expr(
-                    f"transform(sequence(1, _parts - 1), i -> "
-                    f"_grid[least(cast(round(i * {parts} / _parts) as int), {parts - 1}) - 1])"
-                )
-            ).alias("_cuts"),
+            F.expr(
+                f"transform(sequence(1, _parts - 1), i -> "
+                f"_grid[least(cast(round(i * {parts} / _parts) as int), {parts - 1}) - 1])"
+            ).alias("_marks"),
+        )
+        .select(
+            *key, F.array_distinct("_marks").alias("_cuts"),
+            F.expr("array_distinct(filter(_marks, (x, i) -> i > 0 and x = _marks[i - 1]))").alias("_full"),
         )
         .collect()
     )
     spans, cells = [], []
     for r in marks:
-        name, cuts = tuple(r[c] for c in key), sorted(r["_cuts"])
+        # A position that takes up a slice or more gets one of its own.
+        name, cuts = tuple(r[c] for c in key), sorted({*r["_cuts"], *(math.nextafter(x, math.inf) for x in r["_full"])})
         lo, n = cuts[0], len(cuts)
         width = (cuts[-1] - lo) / n or 1.0
         spans.append((*name, lo, width, n))
@@ -125,10 +147,11 @@ def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int) -> HeavyK
     return HeavyKeys(
         spark.createDataFrame(spans, span_type.add("_cells", T.IntegerType())),
         spark.createDataFrame(cells, cell_type.add("_cuts", T.ArrayType(T.DoubleType()))),
+        any(r["_full"] or len(r["_cuts"]) == 1 for r in marks),
     )
 
 
-def with_slices(df: DataFrame, key: list[str], by: str, heavy: HeavyKeys) -> DataFrame:
+def with_slices(df: DataFrame, key: list[str], by: str, heavy: HeavyKeys, out: str = SLICE) -> DataFrame:
     """Each row's slice: the number of its key's cuts up to it, -1 for keys left whole."""
     at = beside(df, heavy.spans, key).withColumn(
         "_at", F.when(F.col("_cells").isNotNull(), position(df, by))
@@ -138,11 +161,25 @@ def with_slices(df: DataFrame, key: list[str], by: str, heavy: HeavyKeys) -> Dat
     placed = beside(at.withColumn("_cell", inside), heavy.cells, [*key, "_cell"])
     passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
     found = placed.withColumn(
-        SLICE, F.when(F.col("_cuts").isNull(), -1).otherwise(F.col("_before") + passed)
+        out, F.when(F.col("_cuts").isNull(), -1).otherwise(F.col("_before") + passed).cast("bigint")
     )
     return found.drop("_lo", "_width", "_cells", "_at", "_cell", "_before", "_cuts")
 
 
+def with_tie_slices(df: DataFrame, key: list[str], time: str, tie: str, rows: int) -> DataFrame:
+    """Slices of a single time and more than ``rows`` rows cut again by the tie."""
+    within = [*key, SLICE]
+    heavy = find_heavy_keys(df.filter(F.col(SLICE) >= 0), within, tie, rows, time)
+    if heavy is None:
+        return df
+    cut = with_slices(df, within, tie, heavy, "_part")
+    # Numbers of slices and of parts both stay far below 2^24.
+    number = F.when(F.col(SLICE) < 0, F.col(SLICE)).otherwise(
+        F.shiftleft(SLICE, 24) + F.greatest(F.col("_part"), F.lit(0))
+    )
+    return cut.withColumn(SLICE, number).drop("_part")
+
+
 class Timeline:
     """One frame, its key and its order; each method adds a column and returns a new one."""
 
@@ -155,10 +192,14 @@ class Timeline:
         order = [time] + ([tie] if tie else [])
         if fits_one_task(df):
             return cls(df, key, order, False)
-        heavy = find_heavy_keys(df, key, time, split_rows(df))
+        rows = split_rows(df)
+        heavy = find_heavy_keys(df, key, time, rows)
         if heavy is None:
             return cls(df, key, order, False)
-        return cls(with_slices(df, key, time, heavy), key, order, True)
+        cut = with_slices(df, key, time, heavy)
+        if tie and heavy.repeats:
+            cut = with_tie_slices(cut, key, time, tie, rows)
+        return cls(cut, key, order, True)
 
     # -- windows ---------------------------------------------------------------
 

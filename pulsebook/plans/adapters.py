@@ -125,14 +125,15 @@ def power_sites(spark, folder) -> DataFrame:
 
 
 def dehydrator(spark, folder) -> DataFrame:
-    base = Timeline.of(polls_base(spark, folder), "u", "time", "event_id").running(n=F.lit(1)).rows()
+    """Five polls of an address make an hour; a busy one has more hours than a small integer holds."""
+    base = Timeline.of(polls_base(spark, folder), "ip", "time", "event_id").running(n=F.lit(1)).rows()
     t, k = F.col("t"), F.col("k")
 
     def small(c: Column) -> Column:
         return c.cast("smallint")
 
     return base.select(
-        small(F.floor((F.col("n") - 1) / 5) + 1).alias("c_life"), small(t % 45).alias("c_temp"),
+        (F.floor((F.col("n") - 1) / 5) + 1).alias("c_life"), small(t % 45).alias("c_temp"),
         small(t % 20).alias("c_high"), small(F.when(k % 10 != 0, t)).alias("c__low"), small(k).alias("c_humi"),
         "ip", "time", "event_id", is_type("error").alias("a_summ"), is_type("click").alias("a_exrt"),
         is_type("view").alias("a_high"), is_type("purchase").alias("a__low"), is_type("signup").alias("a_humi"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from pulsebook.operators.cells import cell_events
@@ -74,7 +75,9 @@ def stream_cell_events(lines: DataFrame, path: str, strict: bool = True) -> Data
 
     def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
         lines = in_line_order(batch) if "block" in batch.columns else batch
-        found = cell_events(lines, strict).select("controller", "cell", "log_date", "line_no", "event")
+        line = F.struct("log_date", "line_no", "event")
+        last = F.max_by(line, F.struct("log_date", "line_no", "nth")).alias("_last")
+        found = cell_events(lines, strict).groupBy("controller", "cell").agg(last).select("controller", "cell", "_last.*")
         rows = found if old is None else old.unionByName(found)
         return latest(rows, ["controller", "cell"], "log_date", "line_no")
 

@@ -2,10 +2,12 @@
 
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from pulsebook import catalog
 from pulsebook.functions import bands, timecols, values
 from pulsebook.operators import cells, changes, current, folds, latch, quality, runtime, snapshot
 from pulsebook.plans import reports
@@ -228,3 +230,25 @@ def test_mains_and_alarm_words(spark):
     assert got(df, "m") == ["Есть 380", "Нет  380", None, None]
     df = series(spark, [" OK", " FAULT", None], "string").select("id", values.alarm_raised("v").alias("a"))
     assert got(df, "a") == [False, True, True]
+
+
+BUSY = """w2_dehydrator_changes w14_counter_transitions a2_first_seen a7_hours_per_day a8_archived_hours u6_attach_metric
+u1_dehydrator_current r5_dehydrator_board r5_average_journal j5_current_with_average j6_latest_lookup""".split()
+
+
+def test_busy_address(spark, tmp_path):
+    """200 000 polls of one address: more hours than a small integer counts."""
+    source = Path("/root/testdata/sf0.001")
+    for file in source.iterdir():
+        if file.name != "events.parquet":
+            (tmp_path / file.name).symlink_to(file)
+    spark.range(200_000).select(
+        F.col("id").alias("event_id"), F.timestamp_add("MINUTE", "id", F.lit(T0).cast("timestamp_ntz")).alias("ts"),
+        F.lit(7).cast("bigint").alias("user_id"), F.lit("click").alias("event_type"), F.lit(5.5).alias("value"),
+        F.lit('{"k": 12}').alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    catalog.load()
+    counts = {name: catalog.QUERIES[name](spark, str(tmp_path)).count() for name in BUSY}
+    assert counts["w14_counter_transitions"] == 39_999
+    # The first hour opens the history and is no change.
+    assert counts["a7_hours_per_day"] == counts["a2_first_seen"] - 1 == 39_998

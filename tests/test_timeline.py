@@ -1,6 +1,7 @@
 """Split and unsplit plans must agree, row for row."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -61,6 +62,46 @@ def test_split_equals_plain(spark, frame):
     assert not Timeline.of(frame, "k", "time", "id").sliced
 
 
+def sizes(line):
+    return [r["count"] for r in line.df.groupBy(*line.parts).count().collect()]
+
+
+def test_one_time_is_cut_by_its_tie(spark, split):
+    df = spark.range(600).select(
+        F.lit("k").alias("k"), F.when(F.col("id") >= 50, F.lit(T0)).cast("timestamp_ntz").alias("time"), "id",
+        (F.col("id") % 7).alias("v"), (F.col("id") % 3 == 0).alias("up"),
+    )
+    line = Timeline.of(df, "k", "time", "id")
+    assert line.sliced and max(sizes(line)) <= 30
+    got = {r["id"]: r["p"] and r["p"]["id"] for r in line.previous("p", "id").rows().collect()}
+    assert got == {i: i - 1 if i else None for i in range(600)}
+
+
+def test_every_heavy_key_is_cut(spark, split):
+    df = spark.range(40_000).select((F.col("id") % 400).alias("k"), "id", F.hash("id").alias("time"))
+    line = Timeline.of(df, "k", "time", "id")
+    assert max(sizes(line)) <= 30
+
+
+def test_text_order(spark, split):
+    df = spark.range(500).select(F.lit(1).alias("k"), F.format_string("2024-%04d", "id").alias("time"), "id")
+    line = Timeline.of(df, "k", "time", "id").previous("p", "id").running(n=F.lit(1))
+    assert line.sliced
+    assert all(r["n"] == r["id"] + 1 and (r["p"] is None if not r["id"] else r["p"]["id"] == r["id"] - 1)
+               for r in line.rows().collect())
+
+
+def test_null_and_nan_positions(spark, split):
+    df = spark.createDataFrame(
+        [(1, None if i % 9 == 0 else float("nan") if i % 11 == 0 else float(i), i) for i in range(300)],
+        "k int, time double, id int",
+    )
+    sliced = Timeline.of(df, "k", "time", "id")
+    assert sliced.sliced
+    plain = Timeline(df, ["k"], ["time", "id"], False)
+    assert rows(sliced.previous("p", "id").rows().select("id", "p")) == rows(plain.previous("p", "id").rows().select("id", "p"))
+
+
 def test_plain_against_python(frame):
     want = []
     by_key = {}
@@ -100,6 +141,15 @@ def test_reach_describes_every_start(limit):
             assert (hit[0] if hit else s) == state
 
 
+def test_reach_of_wide_spread_values():
+    rnd = random.Random(5)
+    reach, start = folds.Reach(4.0), time.perf_counter()
+    for _ in range(300_000):
+        reach.add(rnd.uniform(0, 1e6))
+    assert len(reach.rows()) > 10_000
+    assert time.perf_counter() - start < 30
+
+
 def polls(n=300, seed=3):
     rnd = random.Random(seed)
     rows = []
