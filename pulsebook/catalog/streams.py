@@ -20,11 +20,11 @@ CUTS = [None, datetime(2024, 1, 11), datetime(2024, 1, 21), None]
 
 
 def parts_of(df, time, order=(0, 1, 2)):
-    """The whole frame in three stretches of time."""
+    """The whole frame in three stretches of time; rows without a time are in the first."""
     for i in order:
         lo, hi = CUTS[i], CUTS[i + 1]
         part = df.filter(F.col(time) >= ntz(lo)) if lo else df
-        yield part.filter(F.col(time) < ntz(hi)) if hi else part
+        yield part.filter((F.col(time) < ntz(hi)) | F.col(time).isNull()) if hi else part
 
 
 def fed(spark, df, time, start, order=(0, 1, 2)):
@@ -206,15 +206,27 @@ def x5(spark, d):
 )
 def x6(spark, d):
     """The middle stretch lands last: it is late for every device already seen in the last one."""
+    return spark.read.parquet(f"{out_of_order(spark, d)}/out").drop("batch")
 
 
+@query(
+    "x6_refused_rows", "ping",
+    """SELECT * FROM ping WHERE time >= TIMESTAMP '2024-01-11' AND time < TIMESTAMP '2024-01-21'
+    AND ip IN (SELECT ip FROM ping WHERE time >= TIMESTAMP '2024-01-21')""",
+)
+def x6_refused(spark, d):
+    return spark.read.parquet(f"{out_of_order(spark, d)}/late").drop("batch")
+
+
+def out_of_order(spark, d):
+    """The folder of a stream of changes whose middle stretch lands last."""
+
     def start(stream, folder):
         rows = ping(a.with_base(stream))
-        sink = batched.file_sink(f"{folder}/out")
-        return batched.stream_changes(rows, "ip", "time", ["state"], TIE, f"{folder}/state", sink)
+        sink, late = batched.file_sink(f"{folder}/out"), batched.file_sink(f"{folder}/late")
+        return batched.stream_changes(rows, "ip", "time", ["state"], TIE, f"{folder}/state", sink, late=late)
 
-    folder = fed(spark, events(spark, d), "ts", start, order=(0, 2, 1))
-    return spark.read.parquet(f"{folder}/out").drop("batch")
+    return fed(spark, events(spark, d), "ts", start, order=(0, 2, 1))
 
 
 @query(

@@ -6,7 +6,8 @@ front of the new ones and runs the batch operator over both, so the answers are
 batch operator's and a key that fills a third of a batch is cut into slices by it.
 The remembered rows live in a :class:`CurrentTable`.
 
-Rows not after the last one taken for their key are late and dropped.
+Rows not after the last one taken for their key are late: they are refused, and go to
+the late sink where one is given. A batch is evaluated once and held while it is used.
 """
 
 from __future__ import annotations
@@ -33,16 +34,16 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def not_late(batch: DataFrame, last: DataFrame, key, time: str, tie: str) -> DataFrame:
-    """Rows after the last one taken for their key."""
+def not_late(batch: DataFrame, last: DataFrame, key, time: str, tie: str, late: bool = False) -> DataFrame:
+    """Rows after the last one taken for their key, or with ``late`` the others."""
     seen = last.select(*_keys(key), F.struct(F.col(time), F.col(tie)).alias("_last"))
     fresh = F.col("_last").isNull() | (F.struct(time, tie) > F.col("_last"))
-    return batch.join(seen, _keys(key), "left").filter(fresh).drop("_last")
+    return batch.join(seen, _keys(key), "left").filter(~fresh if late else fresh).drop("_last")
 
 
 def _run(stream: DataFrame, key, time: str, tie: str, path: str, sink: Sink,
          operator: Callable[[DataFrame], DataFrame], seeds: Callable[[DataFrame], DataFrame],
-         remember: Callable[[DataFrame, DataFrame], DataFrame]) -> DataStreamWriter:
+         remember: Callable[[DataFrame, DataFrame], DataFrame], late: Sink | None = None) -> DataStreamWriter:
     """``seeds`` makes operator input of what is remembered; ``remember`` takes rows and output."""
 
     def write(batch: DataFrame, number: int) -> None:
@@ -53,23 +54,30 @@ def _run(stream: DataFrame, key, time: str, tie: str, path: str, sink: Sink,
         else:
             old = seeds(last).select(*batch.columns).withColumn(SEED, F.lit(True))
             rows = old.unionByName(not_late(batch, last, key, time, tie).withColumn(SEED, F.lit(False)))
-        out = operator(rows)
-        sink(out.filter(~F.col(SEED)).drop(SEED), number)
-        kept = remember(rows, out)
-        kept = kept if last is None else latest(last.unionByName(kept.select(*last.columns)), key, time, tie)
-        table.replace(kept, number)
+            if late is not None:
+                late(not_late(batch, last, key, time, tie, late=True), number)
+        rows = rows.persist()
+        out = operator(rows).persist()
+        try:
+            sink(out.filter(~F.col(SEED)).drop(SEED), number)
+            kept = remember(rows, out)
+            kept = kept if last is None else latest(last.unionByName(kept.select(*last.columns)), key, time, tie)
+            table.replace(kept, number)
+        finally:
+            out.unpersist()
+            rows.unpersist()
 
     return stream.writeStream.foreachBatch(write)
 
 
 def stream_changes(stream: DataFrame, key, time: str, watched: list[str], tie: str, path: str, sink: Sink,
-                   null_safe: bool = True) -> DataStreamWriter:
+                   null_safe: bool = True, late: Sink | None = None) -> DataStreamWriter:
     """Changes against the key's previous row, across batches."""
     return _run(
         stream, key, time, tie, path, sink,
         operator=lambda rows: changes(rows, key, time, watched, tie, null_safe),
         seeds=lambda last: last,
-        remember=lambda rows, out: latest(rows.drop(SEED), key, time, tie),
+        remember=lambda rows, out: latest(rows.drop(SEED), key, time, tie), late=late,
     )
 
 
