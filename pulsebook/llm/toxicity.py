@@ -10,16 +10,18 @@ toxic one has over the ordinary one beyond ``MARGIN``, summed over all windows a
 below the margin differences are mostly those of style and of few counts, which in a long ordinary text would
 add up to more than a few toxic words in a toxic one. A logistic curve makes the score of it.
 
-The counts are kept in ``slots`` numbers whatever the corpus: an n-gram is hashed to a slot, and a slot that
-two n-grams share adds their counts and speaks, for the shorter strings, for the greater of them. This is the
-bound of all that is gathered or broadcast: ``slots`` rows of 36 bytes to the driver, two 4-byte tables of
-``slots`` back. Every text is counted; labels are taken from at most ``most_labels`` rows of each class, the
-ones whose hash of the id is smallest, which bounds the broadcast that marks them.
+Counts are Spark tables keyed by the whole string, and the continuation counts are made of all different strings of
+the corpus by grouping them by their endings, so nothing of it has a fixed size. Where neither class has a string the
+shared counts cancel out and what is left depends on its first four characters alone; so scoring needs the strings and
+contexts of the labelled texts only, with their values. These are what is gathered and broadcast: labels are taken from
+at most ``most_labels`` rows of each class, the ones whose hash of the id is smallest, which also bounds the broadcast
+that marks them. Every text is counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pulsebook.llm.common import mix, query, slices, stage, table
 
 ORDER = 5
-SLOTS = 1 << 21
 MOST_LABELS = 50_000
 THRESHOLD = 0.3
 DISCOUNT = 0.75
@@ -37,8 +38,11 @@ SHORT_TEXT = 100
 WINDOW, MARGIN = 4, 2.0
 FLOOR = 1e-3
 _PIECE = 500_000
-# Occurrences in all texts; in texts labelled 1 and 0; in those of them that the curve is fitted on.
-COUNTS = ("n", "n_toxic", "n_other", "n_toxic_fit", "n_other_fit")
+# Different strings that a counting task holds before it hands them on.
+_HELD = 500_000
+# Occurrences in texts labelled 0 and 1; in those of them that the curve is fitted on.
+COUNTS = ("n_other", "n_toxic", "n_other_fit", "n_toxic_fit")
+_CHAR = 21
 
 
 def _letters() -> np.ndarray:
@@ -69,19 +73,26 @@ def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return letters[keep], of[keep]
 
 
-def _hash(columns: list[np.ndarray], slots: int) -> np.ndarray:
-    """Slots of the strings whose characters stand in ``columns``."""
-    h = np.full(len(columns[0]), len(columns), np.uint64)
-    for c in columns:
-        h = h * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64)
-    return (mix(h) & np.uint64(slots - 1)).astype(np.int64)
+def _print(head: np.ndarray, tail: np.ndarray, salt: int = 0) -> np.ndarray:
+    """64-bit prints of strings."""
+    return mix(mix(head.astype(np.uint64) + np.uint64(salt)) + tail.astype(np.uint64))
 
 
-def _strings(letters: np.ndarray, of: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """All strings of ORDER characters within a text, as columns, and their texts."""
+def _grouped(head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different string is first, and every string's number among these."""
+    for salt in count():
+        _, first, own = np.unique(_print(head, tail, salt), return_index=True, return_inverse=True)
+        # Different strings with one print, which is hardly ever, are parted by another salt.
+        if (head[first][own] == head).all() and (tail[first][own] == tail).all():
+            return first, own
+
+
+def _strings(letters: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings of ORDER characters within a text, as their first three characters and the others, and their texts."""
     n = max(0, len(letters) - ORDER + 1)
     inside = np.flatnonzero(of[:n] == of[len(of) - n :]) if n else np.zeros(0, np.int64)
-    return [letters[inside + i] for i in range(ORDER)], of[inside]
+    a, b, c, d, e = (letters[inside + i].astype(np.int64) for i in range(ORDER))
+    return a << 2 * _CHAR | b << _CHAR | c, d << _CHAR | e, of[inside]
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -96,65 +107,137 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
                 start, size = i + 1, 0
 
 
-def _counted(slots: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(COUNTS), slots), np.int32)
-        spoken = np.zeros((2, slots), np.int64)
-        for batch, texts in _pieces(batches):
-            columns, of = _strings(*characters(texts))
-            slot = _hash(columns, slots)
-            a, b, c, d, e = (x.astype(np.int64) for x in columns)
-            for half, value in zip(spoken, (a << 42 | b << 21 | c, d << 21 | e)):
-                half[slot] = value
-            marks = np.array([-1 if m is None else m for m in batch.column("mark").to_pylist()])[of]
-            for i, mark in enumerate((None, 1, 0, 3, 2)):
-                chosen = slot if mark is None else slot[marks == mark]
-                np.add.at(counts[i], chosen, np.int32(1))
-        full = np.flatnonzero(counts[0])
-        for start in range(0, len(full), 200_000):
-            part = full[start : start + 200_000]
+def _summed(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    head, tail, counts = (np.concatenate(x) for x in zip(*parts))
+    first, own = _grouped(head, tail)
+    total = [np.bincount(own, counts[:, i], len(first)).astype(np.int64) for i in range(len(COUNTS))]
+    return head[first], tail[first], np.column_stack(total)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every different string with its counts; one that a task has handed on may come again."""
+    parts: list[tuple] = []
+
+    def packed() -> Iterator[pa.RecordBatch]:
+        head, tail, counts = parts[0]
+        for start in range(0, len(head), 200_000):
+            end = start + 200_000
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), *(pa.array(x[part]) for x in spoken),
-                 *(pa.array(x[part].astype(np.int64)) for x in counts)],
-                names=["slot", "head", "tail", *COUNTS],
+                [pa.array(head[start:end]), pa.array(tail[start:end]), *(pa.array(counts[start:end, i]) for i in range(len(COUNTS)))],
+                names=["head", "tail", *COUNTS],
             )
 
-    return run
+    for batch, texts in _pieces(batches):
+        head, tail, of = _strings(*characters(texts))
+        if not len(of):
+            continue
+        first, own = _grouped(head, tail)
+        marks = np.array([-1 if m is None else m for m in batch.column("mark").to_pylist()])[of]
+        width = len(COUNTS) + 1
+        counts = np.bincount(own * width + marks + 1, minlength=len(first) * width).reshape(-1, width)[:, 1:]
+        parts.append((head[first], tail[first], counts))
+        if sum(len(p[0]) for p in parts) > 2 * _HELD:
+            parts = [_summed(parts)]
+            if len(parts[0][0]) > _HELD:
+                yield from packed()
+                parts = []
+    if parts:
+        parts = [_summed(parts)]
+        yield from packed()
+
+
+def _low(chars: int):
+    """The last ``chars`` characters of a string's head."""
+    return F.col("head").bitwiseAND(F.lit((1 << chars * _CHAR) - 1))
+
+
+def _valued(strings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The labelled strings and their contexts, with the differences ``whole`` of the two log-likelihoods, and ``apart``
+    by models that have not seen the texts the curve is fitted on."""
+    before = F.shiftright("tail", _CHAR)
+    labelled = stage(strings.where(" + ".join(COUNTS) + " > 0"), "labelled-strings")
+    # In how many ways each shorter string continues one to its left.
+    ways = {4: stage(strings.groupBy(_low(2).alias("head"), "tail").agg(F.count("*").alias("ways")), "endings")}
+    for width in (3, 2):
+        ways[width] = ways[width + 1].groupBy(_low(width - 2).alias("head"), "tail").agg(F.sum("ways").alias("ways"))
+    # Shared counts, from the shortest strings up.
+    shared = None
+    for width in (2, 3, 4):
+        contexts = ways[width].groupBy("head", before.alias("before")).agg(F.sum("ways").alias("total"), F.count("*").alias("kinds"))
+        own = ways[width]
+        if width == 4:
+            own = own.join(labelled.select(_low(2).alias("head"), "tail").distinct(), ["head", "tail"], "left_semi")
+        own = own.withColumn("before", before).join(contexts, ["head", "before"])
+        own = own.withColumn("lower", F.lit(1 / 65536)) if shared is None else (
+            own.withColumn("end", _low(width - 3)).join(shared.select(F.col("head").alias("end"), "tail", F.col("shared").alias("lower")), ["end", "tail"])
+        )
+        shared = own.select("head", "tail", ((F.col("ways") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("lower")) / F.col("total")).alias("shared"))
+    sums = {}
+    for name in ("n_toxic", "n_other"):
+        sums[f"{name}_whole"], sums[f"{name}_apart"] = F.col(name) + F.col(f"{name}_fit"), F.col(name)
+    contexts = labelled.groupBy("head", before.alias("before")).agg(*(
+        x for k, n in sums.items() for x in (F.sum(n).alias(f"total_{k}"), F.sum((n > 0).cast("long")).alias(f"kinds_{k}"))
+    ))
+    contexts = stage(contexts.select("head", "before", *(f"total_{k}" for k in sums), *(
+        F.when(F.col(f"total_{k}") > 0, DISCOUNT * F.col(f"kinds_{k}") / F.col(f"total_{k}")).otherwise(1.0).alias(f"rest_{k}") for k in sums
+    )), "contexts")
+
+    def log(k: str):
+        return F.log(F.greatest(sums[k] - DISCOUNT, F.lit(0.0)) / F.greatest(f"total_{k}", F.lit(1)) + F.col(f"rest_{k}") * F.col("shared"))
+
+    def differences(of):
+        return [(of(f"n_toxic_{k}") - of(f"n_other_{k}")).cast("float").alias(k) for k in ("whole", "apart")]
+
+    known = labelled.withColumn("before", before).withColumn("end", _low(2)).join(
+        shared.withColumnRenamed("head", "end"), ["end", "tail"]
+    ).join(contexts, ["head", "before"])
+    return known.select("head", "tail", *differences(log)), contexts.select(
+        "head", F.col("before").alias("tail"), *differences(lambda k: F.log(f"rest_{k}"))
+    )
+
+
+class Strings:
+    """Strings in a table that is looked up by many at a time and compares whole strings."""
+
+    def __init__(self, head: np.ndarray, tail: np.ndarray):
+        self.head, self.tail = head, tail
+        self.places = np.full(2 << len(head).bit_length(), -1, np.int32)
+        last = np.uint64(len(self.places) - 1)
+        at, todo = (_print(head, tail) & last).astype(np.int64), np.arange(len(head))
+        while len(todo):
+            free = todo[self.places[at[todo]] < 0]
+            self.places[at[free]] = free
+            todo = todo[self.places[at[todo]] != todo]
+            at[todo] = at[todo] + 1 & int(last)
+
+    def find(self, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """Numbers of the strings, -1 for those that are not in the table."""
+        last = len(self.places) - 1
+        at = (_print(head, tail) & np.uint64(last)).astype(np.int64)
+        out = self.places[at]
+        todo = np.flatnonzero(out >= 0)
+        while len(todo := todo[(self.head[out[todo]] != head[todo]) | (self.tail[out[todo]] != tail[todo])]):
+            at[todo] = at[todo] + 1 & last
+            out[todo] = self.places[at[todo]]
+            todo = todo[out[todo] >= 0]
+        return out
 
 
 class Model:
-    """Differences of the two log-likelihoods: by string, and by its first characters for strings not seen."""
-
-    def __init__(self, slots: int, seen: dict[str, np.ndarray], without_fit: bool = False):
-        slot, head, tail = seen["slot"], seen["head"], seen["tail"]
-        chars = [head >> 42, head >> 21 & 0x1FFFFF, head & 0x1FFFFF, tail >> 21, tail & 0x1FFFFF]
-        # Shared counts, from the shortest strings up: in how many ways a string continues one to its left.
-        shared = np.full(len(slot), 1 / 65536)
-        for width in range(2, ORDER):
-            _, once, own = np.unique(_hash(chars[-width:], slots), return_index=True, return_inverse=True)
-            _, context = np.unique(_hash(chars[-width:-1], slots), return_inverse=True)
-            ways, total, kinds = np.bincount(own), np.bincount(context), np.bincount(context[once])
-            shared = (ways[own] - DISCOUNT + DISCOUNT * kinds[context] * shared) / total[context]
-        names, context = np.unique(_hash(chars[:-1], slots), return_inverse=True)
-        logs, rests = [], []
-        for name in ("n_toxic", "n_other"):
-            n = seen[name] + (0 if without_fit else seen[f"{name}_fit"])
-            total, kinds = np.bincount(context, n, len(names)), np.bincount(context, n > 0, len(names))
-            rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-            logs.append(np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(total[context], 1) + rest[context] * shared))
-            rests.append(np.log(rest))
-        self.unseen = np.zeros(slots, np.float32)
-        self.unseen[names] = rests[0] - rests[1]
-        self.seen = np.full(slots, np.nan, np.float32)
-        self.seen[slot] = logs[0] - logs[1]
+    """Differences of the two log-likelihoods: by string, and by its first characters for strings not labelled."""
+
+    def __init__(self, strings: Strings, seen: np.ndarray, contexts: Strings, unseen: np.ndarray):
+        self.strings, self.contexts = strings, contexts
+        # The last is found by the number -1.
+        self.seen, self.unseen = np.append(seen, np.float32(np.nan)), np.append(unseen, np.float32(0))
 
     def means(self, texts: list[str | None]) -> np.ndarray:
-        columns, of = _strings(*characters(texts))
+        head, tail, of = _strings(*characters(texts))
         if not len(of):
             return np.zeros(len(texts))
-        value = self.seen[_hash(columns, len(self.seen))]
+        value = self.seen[self.strings.find(head, tail)]
         new = np.flatnonzero(np.isnan(value))
-        value[new] = self.unseen[_hash([c[new] for c in columns[:-1]], len(self.unseen))]
+        value[new] = self.unseen[self.contexts.find(head[new], tail[new] >> _CHAR)]
         window = value.astype(np.float64)
         for i in range(1, WINDOW):
             window[:-i] += np.where(of[i:] == of[:-i], value[i:], 0)
@@ -200,25 +283,26 @@ def fold_of(key: str):
 
 
 def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        slots: int = SLOTS, most_labels: int = MOST_LABELS) -> tuple[Model, tuple[float, float]]:
+        most_labels: int = MOST_LABELS) -> tuple[Model, tuple[float, float]]:
     """Count strings over all texts and fit the curve.
 
     All labels train the models. The curve is fitted on the texts of fold 3, scored by models that have not
     seen these.
     """
     rows = marked(df.select(F.col(key).alias("key"), F.col(text).alias("text")), labels, key, label, most_labels)
-    counts = stage(
+    strings = stage(
         rows.select("text", (F.col("mark") + F.when(F.col("fold") == 3, 2).otherwise(0)).cast("int").alias("mark"))
-        .mapInArrow(_counted(slots), "slot int, head long, tail long, " + ", ".join(f"{c} long" for c in COUNTS))
-        .groupBy("slot").agg(F.max(F.struct("head", "tail")).alias("spoken"), *(F.sum(c).alias(c) for c in COUNTS))
-        .select("slot", "spoken.*", *COUNTS[1:]),
-        "string-counts",
-    ).toArrow()
-    seen = {c: counts.column(c).to_numpy() for c in counts.column_names}
-    apart = df.sparkSession.sparkContext.broadcast(Model(slots, seen, without_fit=True))
+        .mapInArrow(_counted, "head long, tail long, " + ", ".join(f"{c} long" for c in COUNTS))
+        .groupBy("head", "tail").agg(*(F.sum(c).alias(c) for c in COUNTS)),
+        "strings",
+    )
+    known, contexts = ({n: t.column(n).to_numpy() for n in t.column_names} for t in (x.toArrow() for x in _valued(strings)))
+    tables = Strings(known["head"], known["tail"]), Strings(contexts["head"], contexts["tail"])
+    model, without_fit = (Model(tables[0], known[k], tables[1], contexts[k]) for k in ("whole", "apart"))
+    apart = df.sparkSession.sparkContext.broadcast(without_fit)
     found = _scored(rows.where("fold = 3 and mark is not null"), apart, (1.0, 0.0)).select("mean", "mark").toArrow()
     apart.destroy()
-    return Model(slots, seen), curve(np.log(found.column("mean").to_numpy() + FLOOR), found.column("mark").to_numpy().astype(float))
+    return model, curve(np.log(found.column("mean").to_numpy() + FLOOR), found.column("mark").to_numpy().astype(float))
 
 
 def scored(rows: DataFrame, model: Model, line: tuple[float, float]) -> DataFrame:

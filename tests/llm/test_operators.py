@@ -230,6 +230,38 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.toxicity(nothing, labels).count() == 0
 
 
+def test_toxicity_tells_whole_strings_apart(spark):
+    rng = random.Random(5)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 300)]
+    texts = ["".join(rng.choices(letters[: 20 if i % 3 else 300], k=120)) for i in range(3000)]
+    labels = {i: int(i % 7 == 0) for i in range(0, 3000, 2)}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    model, _ = toxicity.fit(frame, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    strings = lambda t: [f"\0{t}\0"[i : i + 5] for i in range(len(t) - 2)]
+    corpus, shared = {s for t in texts for s in strings(t)}, defaultdict(lambda: 1 / 65536)
+    for width in (2, 3, 4):
+        ways = Counter(s[-width:] for s in corpus)
+        total, kinds = Counter(), Counter(s[:-1] for s in ways)
+        for s, n in ways.items():
+            total[s[:-1]] += n
+        shared |= {s: (n - 0.75 + 0.75 * kinds[s[:-1]] * shared[s[1:]]) / total[s[:-1]] for s, n in ways.items()}
+    logs = []
+    for mark in (1, 0):
+        n = Counter(s for i, m in labels.items() if m == mark and zlib.crc32(str(i).encode()) % 4 != 2 for s in strings(texts[i]))
+        total, kinds = Counter(), Counter(s[:-1] for s in n)
+        for s, c in n.items():
+            total[s[:-1]] += c
+        logs.append(lambda s, n=n, total=total, kinds=kinds: np.log(
+            max(n[s] - 0.75, 0) / max(total[s[:-1]], 1) + (0.75 * kinds[s[:-1]] / total[s[:-1]] if total[s[:-1]] else 1) * shared[s[1:]]
+        ))
+    want = []
+    for t in texts[:200]:
+        value = [logs[0](s) - logs[1](s) for s in strings(t)]
+        over = sum(max(sum(value[i : i + 4]) - toxicity.MARGIN, 0) for i in range(len(value)))
+        want.append(over / (len(value) + toxicity.SHORT_TEXT))
+    assert len(corpus) > 50_000 and np.allclose(model.means(texts[:200]), want, rtol=1e-3, atol=1e-5)
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
