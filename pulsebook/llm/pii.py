@@ -3,12 +3,12 @@
 Base kinds (email, ip, card, phone) are patterns. Their matches' places come from ``split`` and
 ``regexp_extract_all``, which find the same matches: a match starts where the parts and matches before it end.
 
-A term is sanitised when it discloses a protected entity, which is the value of a base span of kind email or
-phone. An entity's information is IC(e) = -log p(e) and what a term tells of it is the pointwise mutual information
-PMI(t; e) = log(p(t, e) / (p(t) p(e))), with p the share of all documents that hold the one, or both with the term
-within ``reach`` characters of the entity. Near the entity a term is generalised when PMI reaches ``share`` of
-IC: at a share of 1 it occurs with that entity only, so it names it as well as the entity itself. Pairs found in
-fewer than ``support`` different texts tell nothing, since in one text any rare word occurs with one entity only.
+A term is sanitised when it discloses a protected entity, which is the value of a base span of any kind. An entity's
+information is IC(e) = -log p(e) and what a term tells of it is the pointwise mutual information
+PMI(t; e) = log(p(t, e) / (p(t) p(e))), with p the share of all documents that hold the one, or both. A term is telling
+when PMI reaches ``share`` of IC; at a share of 1 it would have to occur with that entity only, below it a few mentions
+elsewhere do not hide it. Pairs found in fewer than ``support`` different texts tell nothing, since in one text any rare
+word occurs with one entity only. In the documents that hold the entity every occurrence of a telling term is sanitised.
 
 Everything is DataFrame functions; all frequencies are counted over all documents.
 """
@@ -28,8 +28,7 @@ KINDS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-REACH, SUPPORT, SHARE = 40, 3, 1.0
-PROTECTED = ("email", "phone")
+SUPPORT, SHARE = 2, 0.9
 TERM = r"[\p{L}][\p{L}\p{N}'-]{3,}+"
 
 
@@ -63,47 +62,44 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-MATCH = "array<struct<kind:string,i:int,gap:int,value:string,left:string,right:string>>"
+MATCH = "array<struct<kind:string,i:int,gap:int,value:string>>"
 
 
-def _matches(text: Column, kind: str, reach: int) -> Column:
-    """All matches of a kind in order, each with the length of the gap before it and the ends of both gaps."""
-    values = F.regexp_extract_all(text, F.lit(KINDS[kind]), F.lit(0))
-    gaps = F.split(text, KINDS[kind], -1)
-    shapes = F.transform(gaps, lambda g: F.struct(
-        F.char_length(g).alias("n"), F.substring(g, F.lit(1), F.lit(reach)).alias("head"),
-        F.when(F.char_length(g) <= reach, g).otherwise(F.substring(g, -reach, reach)).alias("tail"),
-    ))
-    n = F.size(values)
-    steps = F.arrays_zip(values.alias("value"), F.slice(shapes, F.lit(1), n).alias("a"), F.slice(shapes, F.lit(2), n).alias("b"))
-    return F.transform(steps, lambda x, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("i"), x["a"]["n"].alias("gap"), x["value"].alias("value"),
-        x["a"]["tail"].alias("left"), x["b"]["head"].alias("right"),
+def _found(text: Column, pattern: str) -> tuple[Column, Column]:
+    """All matches in order, and the lengths of the gaps before them."""
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return values, F.slice(F.transform(F.split(text, pattern, -1), F.char_length), F.lit(1), F.size(values))
+
+
+def _matches(text: Column, kind: str) -> Column:
+    """All matches of a kind in order, each with the length of the gap before it."""
+    values, gaps = _found(text, KINDS[kind])
+    return F.transform(F.arrays_zip(values.alias("value"), gaps.alias("gap")), lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("i"), x["gap"].alias("gap"), x["value"].alias("value"),
     ))
 
 
-def matches(text: Column, reach: int) -> Column:
+def matches(text: Column) -> Column:
     """The matches of all kinds. What most texts lack is looked for first."""
     need = {
         "email": text.contains("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(KINDS["card"]), "phone": text.contains("+"),
     }
-    return F.concat(*(F.when(need[k], _matches(text, k, reach)).otherwise(F.array().cast(MATCH)) for k in KINDS))
-
-
-def _terms(part: Column, at: Column) -> Column:
-    """The terms of a part of a text that starts at ``at``, with their places."""
-    values = F.regexp_extract_all(part, F.lit(TERM), F.lit(0))
-    gaps = F.transform(F.split(part, TERM, -1), F.char_length)
-    # A part is short, so the sums over what comes before are cheap.
-    lengths = F.transform(values, F.char_length)
-    total = lambda xs, n: F.aggregate(F.slice(xs, F.lit(1), n), F.lit(0), lambda s, x: s + x)
-    return F.transform(values, lambda v, i: F.struct(
-        F.lower(v).alias("term"), (at + total(gaps, i + 1) + total(lengths, i)).cast("long").alias("start"), F.char_length(v).alias("n")
-    ))
+    return F.concat(*(F.when(need[k], _matches(text, k)).otherwise(F.array().cast(MATCH)) for k in KINDS))
+
+
+def _placed(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with a match, ``i``, ``gap`` and ``value``, with its ``start`` and ``end``."""
+    length, order = F.char_length("value"), Window.partitionBy(*by).orderBy("i")
+    return df.withColumn("end", F.sum(F.col("gap") + length).over(order)).withColumn("start", F.col("end") - length)
+
+
+def _terms(text: Column) -> Column:
+    """The different terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def detect(
-    df: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH, support: int = SUPPORT, share: float = SHARE,
+    df: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, share: float = SHARE,
 ) -> tuple[DataFrame, DataFrame]:
     """The input rows as ``key``, ``row``; and their spans: ``row``, ``kind``, ``start``, ``end`` (code points, end exclusive).
 
@@ -112,41 +108,51 @@ def detect(
     repeated rows are rows of their own. An empty table gives empty results; other columns are ignored.
     """
     rows = df.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = stage(rows.select("key", "row", F.xxhash64("text").alias("same"), matches(F.col("text"), reach).alias("m")), "matches")
-    order = Window.partitionBy("row", "kind").orderBy("i")
-    length = F.char_length("value")
+    found = stage(
+        rows.select("key", "row", "text", matches(F.col("text")).alias("m"))
+        # The texts without any match are not needed again.
+        .select("key", "row", F.xxhash64("text").alias("same"), "m", F.when(F.size("m") > 0, F.col("text")).alias("text")),
+        "matches",
+    )
     base = stage(
-        found.select("row", "same", F.explode("m").alias("m")).select("row", "same", "m.*")
-        .withColumn("end", F.sum(F.col("gap") + length).over(order)).withColumn("start", F.col("end") - length)
+        _placed(found.select("row", "same", F.explode("m").alias("m")).select("row", "same", "m.*"), ["row", "kind"])
         .where(F.coalesce(*(F.when(F.col("kind") == k, _valid(k, F.col("value"))) for k in KINDS))),
         "base-spans",
     )
-    protected = base.where(F.col("kind").isin(*PROTECTED)).withColumn("entity", F.lower("value"))
-    around = protected.select("row", "same", "entity", F.explode(F.concat(
-        _terms(F.col("left"), F.col("start") - F.char_length("left")), _terms(F.col("right"), F.col("end"))
-    )).alias("t")).select("row", "same", "entity", "t.term", "t.start", (F.col("t.start") + F.col("t.n")).alias("end"))
-    terms = stage(around.join(
-        base.select("row", F.col("start").alias("s"), F.col("end").alias("e")),
-        (around["row"] == base["row"]) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti",
-    ), "terms")
-    both = stage(
-        terms.groupBy("entity", "term", "same").agg(F.countDistinct("row").alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("texts")).where(F.col("texts") >= support),
-        "pairs",
-    )
-    n_entity = protected.groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    # Counted in the tasks that read the texts; one row per task and different word moves.
-    n_term = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    plain = F.when(F.col("kind").isin("card", "phone"), _digits(F.col("value"))).otherwise(F.lower("value"))
+    holders = base.select("row", "same", F.concat_ws(":", "kind", plain).alias("entity")).distinct()
     # One row.
     n_all = found.agg(F.count("*").alias("n_all"))
-    telling = both.join(n_entity, "entity").join(n_term, "term").join(F.broadcast(n_all)).where(
-        F.log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-        >= share * F.log(F.col("n_all") / F.col("n_entity")) - 1e-9
+    # What a pair of n_both = n_entity and support documents can't reach, no pair does.
+    entities = holders.groupBy("entity", "same").agg(F.count("*").alias("n")).groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count("*").alias("texts")
+    ).where(F.col("texts") >= support).crossJoin(F.broadcast(n_all)).select(
+        "entity", "n_entity", (F.pow("n_entity", F.lit(share)) * F.pow("n_all", F.lit(1 - share)) * (1 + 1e-9)).alias("most")
     )
-    added = terms.join(telling.select("entity", "term"), ["entity", "term"], "left_semi").select(
-        "row", F.lit("term").alias("kind"), "start", "end"
-    ).distinct()
+    holders = stage(holders.join(entities, "entity"), "holders")
+    most = holders.agg(F.max("most").alias("limit"))
+    # Counted in the tasks that read the texts; one row per task and different word moves.
+    n_term = rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    rare = n_term.join(F.broadcast(most), (F.col("n_term") >= support) & (F.col("n_term") <= F.col("limit"))).select("term", "n_term")
+    held = found.join(holders.select("row").distinct(), "row", "left_semi").select("row", F.explode(_terms(F.col("text"))).alias("term"))
+    pairs = stage(held.join(rare, "term").join(holders, "row").where("n_term <= most").select("row", "same", "entity", "n_entity", "term", "n_term"), "pairs")
+    telling = (
+        pairs.groupBy("entity", "term", "same").agg(F.count("*").alias("n"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
+        .groupBy("entity", "term").agg(
+            F.sum("n").alias("n_both"), F.count("*").alias("texts"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
+        ).where(F.col("texts") >= support).crossJoin(F.broadcast(n_all)).where(
+            F.log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+            >= share * F.log(F.col("n_all") / F.col("n_entity")) - 1e-9
+        )
+    )
+    marks = stage(pairs.join(telling.select("entity", "term"), ["entity", "term"], "left_semi").select("row", "term").distinct(), "marks")
+    values, gaps = _found(F.col("text"), TERM)
+    words = found.join(marks.select("row").distinct(), "row", "left_semi").select("row", F.posexplode(F.arrays_zip(values.alias("value"), gaps.alias("gap"))).alias("i", "w"))
+    places = _placed(words.select("row", "i", "w.*"), ["row"]).withColumn("term", F.lower("value")).join(marks, ["row", "term"], "left_semi")
+    added = places.join(
+        base.select("row", F.col("start").alias("s"), F.col("end").alias("e")),
+        (places["row"] == base["row"]) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti",
+    ).select("row", F.lit("term").alias("kind"), "start", "end")
     return found.select("key", "row"), base.select("row", "kind", "start", "end").unionByName(added)
 
 

@@ -162,6 +162,21 @@ def test_terms_that_disclose(spark):
     assert all("Zebulon" not in t and "[term]" in t and "[email]" in t and "weather" in t for t in out[:4]) and out[4:] == texts[4:]
 
 
+@pytest.mark.parametrize("entity, other", [
+    ("zeb@mail.example.com", "qu@mail.example.com"), ("+1 (132) 555-1352", "+1 (132) 555-1353"),
+    ("10.0.0.255", "10.0.0.254"), ("4111 1111 1111 1111", "4000 0000 0000 0002"),
+])
+def test_terms_anywhere_in_the_document(spark, entity, other):
+    texts = [f"Zebulon greets you{i}. " + "weather about written " * 20 + f"reach us{i}: {entity}. " + "others note " * 20 + "zebulon" for i in range(6)]
+    # In one text it is a word of its own, once; the other name is seen in two texts only.
+    texts += ["zebulon once", f"Quillon says this {other}", f"that Quillon says {other}"]
+    texts += [f"weather about written others note greets reach says this that number{i}" for i in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in pii.sanitised(frame).orderBy("key").collect()]
+    assert all("ebulon" not in t and t.count("[term]") == 2 and "weather" in t for t in out[:6])
+    assert out[6] == texts[6] and all("Quillon" not in t and "[term]" in t for t in out[7:9]) and out[9:] == texts[9:]
+
+
 def test_mixing(docs, nothing):
     rows = mixing.mixed(docs, block_rows=2, cycle=10).collect()
     assert len(rows) == docs.count() == len({r.place for r in rows}) and mixing.mixed(nothing).count() == 0
