@@ -10,7 +10,7 @@ them, empty tables pass through empty.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from pulsebook.llm import exact, mixing, neardup, packing, toxicity
 from pulsebook.llm.common import STAGED, discard, stage, table
@@ -52,6 +52,21 @@ def _kept(docs: DataFrame, operator) -> DataFrame:
     return rows.join(kept.where("kept").select("key.id"), "id", "left_semi").select("row.*")
 
 
+def _in_order(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the ``place`` of each row in the order of the files' names and their rows."""
+    own = [F.col("doc_id"), F.col("text")]
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("number")]
+    try:
+        rows = docs.select(*own, *at)
+    except AnalysisException:
+        rows = stage(docs.select(*own), "ordered").select(*own, *at)
+    # One row per file.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("file").agg(F.max("number").alias("last"))
+    bases = sizes.select("file", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("base"))
+    return rows.join(F.broadcast(bases), "file").select("doc_id", "text", (F.col("base") + F.col("number")).alias("place"))
+
+
 @_Stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; scored in one pass without moving texts between tasks."""
@@ -81,8 +96,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_Stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece's place in the sequences."""
-    return packing.named(packing.pack(docs))
+    """Every piece's place in the sequences, which are numbered in the order of the rows, that of the mixture."""
+    return packing.named(packing.pack(_in_order(docs), place="place"))
 
 
 STAGES = [

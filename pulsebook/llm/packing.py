@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pulsebook.llm.common import query, slices, stage, table
 
 ROOM = 2048
+# Places that are numbered together where the order counts.
+SPAN = 1 << 16
 SPECIAL = "<|endoftext|>"
 # Characters whose classes are the same in all versions of Unicode that the two libraries may follow.
 _SETTLED = re.compile("[^\x00-ɏ‐-‧€]")
@@ -150,9 +152,9 @@ def _tokenised(room: int, end_id: int, files: tuple[str, ...]):
                     seen[short] += 1
                 seen["whole"] += n // room
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("part"), *(pa.array(x, pa.int64()) for x in (counts, ordinals, whole)),
+                [batch.column("key"), batch.column("place"), batch.column("part"), *(pa.array(x, pa.int64()) for x in (counts, ordinals, whole)),
                  pa.array(sums, pa.list_(pa.int64()))],
-                names=["key", "part", "n", "ordinal", "whole_before", "sums"],
+                names=["key", "place", "part", "n", "ordinal", "whole_before", "sums"],
             )
 
     return run
@@ -181,10 +183,11 @@ def _placed(room: int, runs: list, opened: int):
                         row = (short + k * room, room, opened + whole_base + whole_before + k, 0)
                     for name, value in zip(out, (i, piece, row[0], row[1], crc, row[2], row[3])):
                         out[name].append(value)
-            taken = batch.column("key").take(pa.array(out.pop("of"), pa.int64()))
+            of = pa.array(out.pop("of"), pa.int64())
+            taken = [batch.column(c).take(of) for c in ("key", "place")]
             kinds = [pa.int32(), *[pa.int64()] * 5]
             yield pa.RecordBatch.from_arrays(
-                [taken, *(pa.array(v, t) for v, t in zip(out.values(), kinds))], names=["key", *out]
+                [*taken, *(pa.array(v, t) for v, t in zip(out.values(), kinds))], names=["key", "place", *out]
             )
 
     return run
@@ -192,7 +195,7 @@ def _placed(room: int, runs: list, opened: int):
 
 def pack(
     df: DataFrame, key: str = "doc_id", text: str = "text", room: int = ROOM, end_id: int = 0,
-    files: tuple[str, ...] | None = None,
+    files: tuple[str, ...] | None = None, place: str | None = None,
 ) -> DataFrame:
     """One row per piece: key, piece, start, length, crc, bin, offset.
 
@@ -200,17 +203,28 @@ def pack(
     longer than ``room`` is cut, into pieces of ``room`` after a first one that takes the remainder. Rows with
     the same key, null keys and equal texts are packed as separate documents. An empty table gives no rows;
     other columns are ignored.
+
+    With ``place``, a column of different whole numbers, the packing keeps that order: pieces of one length are taken by
+    it, and sequences are numbered by the place of their longest piece, which is the one at offset 0.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.spark_partition_id().alias("part"))
+    rows = df.select(
+        F.col(key).alias("key"), F.col(text).alias("text"), F.lit(None).cast("long").alias("place") if place is None else F.col(place).cast("long").alias("place"),
+    ).withColumn("part", F.spark_partition_id().cast("long") if place is None else F.floor(F.col("place") / SPAN))
     kind = dict(rows.dtypes)["key"]
     tokens = stage(
         rows.mapInArrow(
             _tokenised(room, end_id, files or public_files()),
-            f"key {kind}, part int, n long, ordinal long, whole_before long, sums array<long>",
+            f"key {kind}, place long, part long, n long, ordinal long, whole_before long, sums array<long>",
         ),
         "pieces",
     )
     short = (F.col("n") % room).alias("short")
+    if place is not None:
+        # At most SPAN documents in a part.
+        alike, earlier = Window.partitionBy("part", short).orderBy("place"), Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        tokens = tokens.withColumn("ordinal", (F.row_number().over(alike) - 1).cast("long")).withColumn(
+            "whole_before", F.coalesce(F.sum(F.floor(F.col("n") / room)).over(earlier), F.lit(0))
+        )
     counted = tokens.groupBy("part", short).agg(F.count("*").alias("n"))
     before = Window.partitionBy("short").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counted.select("part", "short", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -221,14 +235,26 @@ def pack(
     )
     histogram = {r["short"]: r["n"] for r in counted.groupBy("short").agg(F.sum("n").alias("n")).where("short > 0").collect()}
     runs, opened = best_fit_runs(histogram, room)
-    return (
+    placed = (
         tokens.withColumn("short", short).join(bases.join(wholes, "part"), ["part", "short"])
-        .select("key", "n", "ordinal", "whole_before", "sums", "base", "whole_base")
+        .select("key", "place", "n", "ordinal", "whole_before", "sums", "base", "whole_base")
         .mapInArrow(
             _placed(room, runs, opened),
-            f"key {kind}, piece int, start long, length long, crc long, bin long, offset long",
+            f"key {kind}, place long, piece int, start long, length long, crc long, bin long, offset long",
         )
     )
+    return placed.drop("place") if place is None else _renumbered(stage(placed, "placed")).drop("place")
+
+
+def _renumbered(placed: DataFrame) -> DataFrame:
+    """The bins numbered by the place of their longest piece."""
+    firsts = placed.where("offset = 0").select("bin", "place", "piece", F.floor(F.col("place") / SPAN).alias("part"))
+    # One row per SPAN documents.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = firsts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    number = (F.col("base") + F.row_number().over(Window.partitionBy("part").orderBy("place", "piece")) - 1).alias("number")
+    numbers = firsts.join(bases, "part").select("bin", number)
+    return placed.join(numbers, "bin").select("key", "place", "piece", "start", "length", "crc", F.col("number").alias("bin"), "offset")
 
 
 @query("op1_best_fit_packing")

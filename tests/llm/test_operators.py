@@ -285,6 +285,19 @@ def test_pipeline(spark):
     assert 0 < len(kept) < len(docs) and len(set(plain)) == len(plain)
 
 
+def test_packing_keeps_the_mixture(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(i, "word " * rng.randint(300, 900), "b" if i % 5 == 0 else "a") for i in range(4000)]
+    path = str(tmp_path / "mixed")
+    corpus_pipeline.mix(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), FOLDER).write.parquet(path)
+    out = corpus_pipeline.pack(spark, spark.read.parquet(path), FOLDER).collect()
+    n = max(r.sequence_id for r in out) + 1
+    assert {r.sequence_id for r in out} == set(range(n)) and Counter(r.doc_id for r in out) == Counter(range(4000))
+    first = [r for r in out if r.sequence_id < n // 4]
+    # By the roots of the sizes a third, where the rows have a fifth.
+    assert 0.29 < sum(r.length for r in first if r.doc_id % 5 == 0) / sum(r.length for r in first) < 0.38
+
+
 def test_stages_keep_columns(spark, docs, nothing, tmp_path):
     for name, frame in (("odd", docs), ("nothing", nothing)):
         for i, (_, step) in enumerate(corpus_pipeline.STAGES[:-1]):
