@@ -222,6 +222,15 @@ def test_pages(spark):
     assert sorted(out) == want
 
 
+@pytest.mark.parametrize("attributes, kept", [
+    ('style="overflow:hidden"', True), ('title="hidden gems"', True), ('data-id="nav-1"', True), ("data-role=navigation", True),
+    ("data-hidden", True), ('title="class=menu"', True), ('aria-hidden="false"', True), ("alt='x' hidden", False), ('aria-hidden = "true"', False),
+    ("role=navigation", False), ("ID='nav-1'", False), ('data-x="1" class="menu"', False),
+])
+def test_attributes_by_whole_name(attributes, kept):
+    assert wrapper.main_text(f"<div {attributes}><p>Text</p></div>", None) == ("Text" if kept else "")
+
+
 def test_pages_of_the_table(spark):
     rows = QUERIES["op2_wrapper_extraction"](spark, FOLDER).join(spark.read.parquet(f"{FOLDER}/pages.parquet").drop("url"), "page_id").collect()
     for r in rows:
