@@ -68,11 +68,20 @@ VIEWS = {
     "cell_status": """SELECT r.controller, r.cell, r."check", coalesce(e.event, 'on') AS status FROM cell_registry r
         LEFT JOIN (SELECT controller, cell, arg_max(event, line_no) AS event FROM cell_events GROUP BY ALL) e
         ON r.controller = e.controller AND r.cell = e.cell""",
-    "polls": """SELECT controller, date_trunc('hour', time) AS time, u AS cell,
-        CASE WHEN bool_or(event_type = 'error') THEN 'off' ELSE 'on' END AS status FROM ev
-        GROUP BY controller, date_trunc('hour', time), u""",
-    "first_failing": """SELECT controller, time, min(CASE WHEN status = 'off' THEN cell END) AS cell FROM polls
-        GROUP BY controller, time""",
+    "watch_log": """SELECT concat('ks', u % 64) AS controller, u AS cell, CAST(time AS DATE) AS log_date, time,
+        event_type = 'error' AS off FROM ev WHERE event_type IN ('error', 'view')""",
+    "watch_registry": """SELECT concat('ks', c_custkey % 64) AS controller, CAST(c_custkey AS INTEGER) AS cell,
+        CAST(c_nationkey AS BIGINT) * 1000000000 + c_custkey AS position FROM customer WHERE c_custkey % 9 <> 0""",
+    "watch_polls": """SELECT controller, unnest(range(first, last + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) + INTERVAL 50 MINUTE AS time
+        FROM (SELECT concat('ks', u % 64) AS controller, date_trunc('hour', min(time)) AS first,
+          date_trunc('hour', max(time)) AS last FROM ev GROUP BY 1)""",
+    "watch_read": """SELECT l.* FROM watch_log l JOIN (SELECT controller, CAST(time AS DATE) AS log_date, max(time) AS last
+        FROM watch_polls GROUP BY 1, 2) p ON l.controller = p.controller AND l.log_date = p.log_date AND l.time <= p.last""",
+    "watch_off": """SELECT a.controller, a.time, list({'since': e.log_date, 'position': a.position, 'cell': a.cell} ORDER BY a.position)
+        FILTER (e.off) AS off FROM (SELECT p.controller, p.time, r.cell, r.position FROM watch_polls p LEFT JOIN (SELECT r.* FROM
+          watch_registry r SEMI JOIN watch_read USING (controller, cell)) r ON r.controller = p.controller) a
+        ASOF LEFT JOIN watch_read e ON a.controller = e.controller AND a.cell = e.cell AND a.time >= e.time
+        GROUP BY a.controller, a.time""",
     "vent_events": """SELECT u, time, event_id, CASE WHEN event_type <> 'signup' THEN t % 50 END AS temp,
         CASE WHEN event_type = 'signup' THEN ['auto_on', 'auto_off', 'v5_on', 'v5_off', 'v1_on', 'v1_off'][k % 6 + 1]
         END AS cmd FROM ev""",
@@ -81,8 +90,9 @@ NEEDS = {
     "ping": ["ev"], "ping_prev": ["ping"], "ping_changes": ["ping_prev"], "temp": ["ev"], "temp_gaps": ["ev"],
     "electro": ["ev"], "dehydrator": ["ev"], "dehydrator_changes": ["dehydrator"],
     "hours_seen": ["dehydrator_changes"], "averages": ["hours_seen"], "cell_log": ["ev"],
-    "cell_events": ["cell_log"], "cell_status": ["cell_registry", "cell_events"], "polls": ["ev"],
-    "first_failing": ["polls"], "vent_events": ["ev"],
+    "cell_events": ["cell_log"], "cell_status": ["cell_registry", "cell_events"], "vent_events": ["ev"],
+    "watch_log": ["ev"], "watch_polls": ["ev"], "watch_read": ["watch_log", "watch_polls"],
+    "watch_off": ["watch_polls", "watch_registry", "watch_read"],
 }
 
 

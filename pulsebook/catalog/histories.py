@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pulsebook.catalog import query, split_form
 from pulsebook.functions.values import ip_key, state_word
-from pulsebook.operators import cells, changes, current, folds, latch, runtime, snapshot
+from pulsebook.operators import cells, changes, current, escalation, folds, latch, runtime, snapshot, watch
 from pulsebook.plans import adapters as a
 
 TIE = "event_id"
@@ -121,46 +121,55 @@ def a9(spark, d):
     return folds.run_index(power_report_rows(spark, d), "ip_order", "own", wrap=False)
 
 
+def watched(spark, d):
+    """Every poll with its failing stations, from the log lines."""
+    polls = a.watch_polls(spark, d)
+    read = watch.seen_events(cells.cell_events(a.watch_log(spark, d)), polls)
+    return watch.first_failing_steps(read, a.watch_registry(spark, d), polls)
+
+
 @query(
-    "w8_patience", "first_failing",
-    """WITH marked AS (SELECT *, sum(CASE WHEN cell IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY controller
+    "w8_patience", "watch_off",
+    """WITH first_failing AS (SELECT controller, time, off[1].cell AS cell FROM watch_off),
+    marked AS (SELECT *, sum(CASE WHEN cell IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY controller
       ORDER BY time) AS resets FROM first_failing)
     SELECT controller, time, cell, CAST(row_number() OVER (PARTITION BY controller, resets, cell ORDER BY time)
       AS BIGINT) AS counter FROM marked WHERE cell IS NOT NULL""",
 )
 def w8(spark, d):
-    return folds.patience(a.hourly_polls(spark, d), "controller", "time", "cell", "status", "cell")
+    first = watched(spark, d).select("controller", "time", watch.first_failing_cell().alias("cell"))
+    return escalation.patience_counters(first, "controller", "time", "cell")
 
 
-ESCALATION = """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY controller ORDER BY time) AS rn
-      FROM first_failing),
+ESCALATION = """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY controller ORDER BY time) AS rn FROM watch_off),
     step AS (
-      SELECT controller, CAST(0 AS BIGINT) AS rn, CAST(NULL AS TIMESTAMP) AS time, CAST(NULL AS BIGINT) AS cell,
-        MAP([CAST(-1 AS BIGINT)], [0]) AS counts, false AS again, CAST(NULL AS DATE) AS lock,
+      SELECT controller, CAST(0 AS BIGINT) AS rn, CAST(NULL AS TIMESTAMP) AS time, CAST(NULL AS INTEGER) AS cell,
+        MAP([CAST(-1 AS INTEGER)], [0]) AS counts, false AS again, CAST(NULL AS DATE) AS lock, CAST(NULL AS DATE) AS floor,
         CAST(NULL AS TIMESTAMP) AS resume, CAST(NULL AS VARCHAR) AS action
-      FROM (SELECT DISTINCT controller FROM first_failing)
+      FROM (SELECT DISTINCT controller FROM watch_off)
       UNION ALL
       SELECT controller, rn, time, cell,
-        CASE WHEN paused THEN counts WHEN cell IS NULL OR fires THEN MAP([CAST(-1 AS BIGINT)], [0])
+        CASE WHEN paused THEN counts WHEN cell IS NULL OR fires THEN MAP([CAST(-1 AS INTEGER)], [0])
           ELSE map_concat(counts, MAP([cell], [n])) END,
         CASE WHEN paused THEN again WHEN cell IS NULL THEN false WHEN fires THEN NOT again ELSE again END,
         CASE WHEN fires AND again THEN CAST(time AS DATE) ELSE lock END,
+        CASE WHEN paused THEN floor WHEN fires THEN NULL WHEN cell IS NULL THEN CAST(time AS DATE) ELSE memory END,
         CASE WHEN paused THEN resume WHEN fires AND again THEN time + INTERVAL 10800 SECOND
           WHEN fires THEN time + INTERVAL 5400 SECOND ELSE NULL END,
         CASE WHEN fires AND again THEN 'reboot' WHEN fires THEN 'restart' END
-      FROM (SELECT *, NOT paused AND cell IS NOT NULL AND n > 1 AND lock IS DISTINCT FROM CAST(time AS DATE) AS fires
-        FROM (SELECT s.controller, p.rn, p.time, p.cell, s.counts, s.again, s.lock, s.resume,
-            coalesce(p.time < s.resume, false) AS paused, coalesce(s.counts[p.cell], 0) + 1 AS n
-          FROM step s JOIN numbered p ON p.controller = s.controller AND p.rn = s.rn + 1)))
+      FROM (SELECT *, NOT paused AND cell IS NOT NULL AND n > 2 AND lock IS DISTINCT FROM CAST(time AS DATE) AS fires
+        FROM (SELECT *, coalesce(counts[cell], 0) + 1 AS n
+          FROM (SELECT *, list_filter(off, lambda x: x.since >= memory)[1].cell AS cell
+            FROM (SELECT s.controller, p.rn, p.time, p.off, s.counts, s.again, s.lock, s.resume, s.floor,
+                coalesce(s.floor, CAST(p.time AS DATE)) AS memory, coalesce(p.time < s.resume, false) AS paused
+              FROM step s JOIN numbered p ON p.controller = s.controller AND p.rn = s.rn + 1)))))
     SELECT controller, time, cell, action, CASE action WHEN 'reboot' THEN 10800 ELSE 5400 END AS pause_s
     FROM step WHERE action IS NOT NULL"""
 
 
-@query("w9_escalation", "first_failing", ESCALATION, recursive=True)
+@query("w9_escalation", "watch_off", ESCALATION, recursive=True)
 def w9(spark, d):
-    return folds.escalate(
-        a.hourly_polls(spark, d), "controller", "time", "cell", "status", "cell", patience=1, waits=(5400, 10800)
-    )
+    return escalation.escalate_watch(watched(spark, d), "controller", "time", patience=2, waits=(5400, 10800))
 
 
 @query(

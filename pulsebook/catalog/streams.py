@@ -6,13 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from pulsebook.catalog import ORACLES, QUERIES, query, splitting
+from pulsebook.catalog import ORACLES, QUERIES, histories, query, splitting
 from pulsebook.functions.timecols import ntz
 from pulsebook.functions.values import state_word
 from pulsebook.plans import adapters as a
 from pulsebook.session import work_folder
 from pulsebook.sources import sinks
-from pulsebook.streaming import batched, keyed, tables
+from pulsebook.streaming import batched, tables
 from pulsebook.streaming.sources import run_stream, stream_table
 
 TIE = "event_id"
@@ -27,15 +27,16 @@ def parts_of(df, time, order=(0, 1, 2)):
         yield part.filter((F.col(time) < ntz(hi)) | F.col(time).isNull()) if hi else part
 
 
-def fed(spark, df, time, start, order=(0, 1, 2)):
+def fed(spark, df, time, start, order=(0, 1, 2), parts=None, files=None):
     """Land the frame stretch by stretch and run the stream anew after each.
 
-    ``start`` makes the writer from the stream; every run goes on from the checkpoint.
+    ``start`` makes the writer from the stream; every run goes on from the checkpoint. A batch takes all that has
+    landed, or ``files`` files.
     """
     folder = work_folder(spark, "stream")
-    for part in parts_of(df, time, order):
+    for part in parts or parts_of(df, time, order):
         part.write.mode("append").parquet(f"{folder}/landed")
-        stream = stream_table(spark, f"{folder}/landed", df.schema)
+        stream = stream_table(spark, f"{folder}/landed", df.schema, files)
         run_stream(start(stream, folder), f"{folder}/checkpoint")
     return folder
 
@@ -53,12 +54,12 @@ def appended(spark, df, time, operator):
     return spark.read.schema(schema[-1]).parquet(f"{folder}/out")
 
 
-def batched_out(spark, df, time, start):
+def batched_out(spark, df, time, start, parts=None, files=None):
     """What a batch-by-batch stream over the frame puts into its file sink."""
     def begin(stream, folder):
         return start(stream, f"{folder}/state", batched.file_sink(f"{folder}/out"))
 
-    folder = fed(spark, df, time, begin)
+    folder = fed(spark, df, time, begin, parts=parts, files=files)
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
@@ -176,14 +177,21 @@ def x4_latch(spark, d):
     return batched_out(spark, events(spark, d), "ts", start)
 
 
-@like("x4_stream_escalate", "w9_escalation")
+LATEST = """SELECT max(time) FROM (SELECT time FROM ev UNION ALL SELECT time FROM watch_polls)"""
+
+
+@query("x4_stream_escalate", "watch_off", histories.ESCALATION + f" AND time < ({LATEST}) - INTERVAL 6 HOURS", recursive=True)
 def x4_escalate(spark, d):
-    def operator(stream):
-        return keyed.stream_escalate(
-            stream, "controller", "time", "cell", "status", "cell", patience=1, waits=(5400, 10800)
-        )
+    """Lines come up to five hours late, by chance, and polls are cut by the borders of files and stretches."""
+    rows = batched.watch_rows(a.watch_log(spark, d), a.watch_polls(spark, d))
+    landed = F.timestamp_add("MINUTE", F.pmod(F.coalesce("line_no", F.lit(0)) * 37, F.lit(300)), "time")
+    files = [part.drop("_at") for part in parts_of(rows.withColumn("_at", landed), "_at")]
+
+    def start(stream, state, sink):
+        registry = a.watch_registry(spark, d)
+        return batched.stream_watch(stream, registry, state, sink, delay=6 * 3600, patience=2, waits=(5400, 10800))
 
-    return appended(spark, a.hourly_polls(spark, d), "time", operator)
+    return batched_out(spark, rows, "time", start, parts=files)
 
 
 @query("x5_stream_cell_events", "cell_events", """SELECT controller, CAST(cell AS VARCHAR) AS cell,
@@ -229,6 +237,89 @@ def out_of_order(spark, d):
     return fed(spark, events(spark, d), "ts", start, order=(0, 2, 1))
 
 
+# -- allowed lateness --------------------------------------------------------------
+
+LATE_HOURS = 30
+
+
+def landings(time):
+    """Ten landings of three days. Most rows land within 25 hours of their time, one in forty lands up to a week late."""
+    number = F.col(TIE)
+    hours = F.when(F.pmod(number, F.lit(40)) == 7, F.pmod(number, F.lit(168))).otherwise(F.pmod(number * 7, F.lit(25)))
+    day = F.unix_date(F.to_date(F.timestamp_add("HOUR", hours, time))) - F.unix_date(F.lit("2024-01-01").cast("date"))
+    return F.least(F.greatest(F.floor(day / 3), F.lit(0)), F.lit(9)).cast("int")
+
+
+def lands(df, time="time"):
+    numbered = df.withColumn("_landing", landings(time))
+    return [numbered.filter(F.col("_landing") == i).drop("_landing") for i in range(10)]
+
+
+# The mark before each landing, and what had not passed it.
+LANDED = f"""WITH landed AS (SELECT *, least(greatest(date_diff('day', DATE '2024-01-01', CAST(time + to_hours(
+      CASE WHEN event_id % 40 = 7 THEN event_id % 168 ELSE event_id * 7 % 25 END) AS DATE)) // 3, 0), 9) AS landing FROM ping),
+    marks AS (SELECT landing, max(max(time)) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      - INTERVAL {LATE_HOURS} HOUR AS mark FROM landed GROUP BY landing),
+    judged AS (SELECT ip, time, event_id, state, coalesce(time < mark, false) AS late FROM landed JOIN marks USING (landing)),
+    taken AS (SELECT ip, time, event_id, state FROM judged WHERE NOT late
+      AND time < (SELECT max(time) FROM ping) - INTERVAL {LATE_HOURS} HOUR)
+    """
+
+
+def _lately(spark, d):
+    """The folder of a stream of changes whose rows come out of order."""
+
+    def start(stream, folder):
+        sink, late = batched.file_sink(f"{folder}/out"), batched.file_sink(f"{folder}/late")
+        return batched.stream_changes(
+            stream, "ip", "time", ["state"], TIE, f"{folder}/state", sink, late=late, delay=LATE_HOURS * 3600
+        )
+
+    rows = a.ping(spark, d)
+    return fed(spark, rows, "time", start, parts=lands(rows))
+
+
+@query(
+    "x6_lateness_changes", "ping",
+    LANDED + "SELECT * FROM taken WINDOW w AS (PARTITION BY ip ORDER BY time, event_id) QUALIFY state <> lag(state) OVER w",
+)
+def x6_lateness(spark, d):
+    """Rows within the allowed lateness give the answer of the batch operator over all rows taken."""
+    return spark.read.parquet(f"{_lately(spark, d)}/out").drop("batch")
+
+
+@query("x6_lateness_refused", "ping", LANDED + "SELECT ip, time, event_id, state FROM judged WHERE late")
+def x6_lateness_refused(spark, d):
+    """Rows later than allowed are handed out."""
+    return spark.read.parquet(f"{_lately(spark, d)}/late").drop("batch")
+
+
+@query(
+    "x6_lateness_accept", "temp",
+    """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY location ORDER BY time, event_id) AS rn FROM temp),
+    walk AS (
+      SELECT location, time, event_id, temperature, rn, temperature AS last, true AS keep FROM numbered WHERE rn = 1
+      UNION ALL
+      SELECT n.location, n.time, n.event_id, n.temperature, n.rn,
+        CASE WHEN abs(n.temperature - w.last) <= 10 THEN n.temperature ELSE w.last END,
+        abs(n.temperature - w.last) <= 10
+      FROM walk w JOIN numbered n ON n.location = w.location AND n.rn = w.rn + 1)
+    SELECT location, time, event_id, temperature FROM walk WHERE keep
+    AND time < (SELECT max(time) FROM temp) - INTERVAL 200 HOUR""",
+    recursive=True,
+)
+def x6_lateness_accept(spark, d):
+    """All rows are within the allowed lateness, so those up to the mark give the batch answer."""
+
+    def start(stream, state, sink):
+        return batched.stream_accept_within(
+            stream, "location", "time", "temperature", TIE, state, sink, 10, delay=200 * 3600
+        )
+
+    rows = a.temp(spark, d)
+    return batched_out(spark, rows, "time", start, parts=lands(rows))
+
+
 @query(
     "x7_stream_sessions", "ping",
     """WITH gaps AS (SELECT *, CASE WHEN time - lag(time) OVER w <= INTERVAL 12 HOURS THEN 0 ELSE 1 END AS opens
@@ -238,8 +329,14 @@ def out_of_order(spark, d):
     HAVING max(time) + INTERVAL 12 HOURS <= (SELECT max(time) FROM ping) - INTERVAL 1 HOUR""",
 )
 def x7_sessions(spark, d):
-    def operator(stream):
+    def start(stream, state, sink):
         rows = ping(a.with_base(stream)).select("ip", "time")
-        return keyed.stream_sessions(rows, "ip", "time", "12 hours", "1 hour")
+        return batched.stream_sessions(rows, "ip", "time", 12 * 3600, state, sink, delay=3600)
 
-    return appended(spark, events(spark, d), "ts", operator)
+    return batched_out(spark, events(spark, d), "ts", start)
+
+
+@like("x7_stream_sessions_split", "x7_stream_sessions")
+def x7_sessions_split(spark, d):
+    with splitting(spark, 40):
+        return x7_sessions(spark, d)

@@ -7,60 +7,23 @@ and never holds a key's history.
 
 from __future__ import annotations
 
-import itertools
-import json
 import math
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from datetime import datetime, timedelta
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulsebook.functions.values import differs
+from pulsebook.operators.passes import floats, group_starts, in_order, key_at, record_batch
 from pulsebook.operators.timeline import SLICE, Timeline, beside
-from pulsebook.session import work_folder
 
 START = "_start"
 
 
-def in_order(line: Timeline) -> DataFrame:
-    """Rows of each (key, slice) in one partition, in order."""
-    return line.df.repartition(*line.parts).sortWithinPartitions(*line.parts, *line.order)
-
-
-def key_at(batch: pa.RecordBatch, parts: list[str], i: int) -> tuple:
-    return tuple(batch.column(c)[i].as_py() for c in parts)
-
-
-def group_starts(batch: pa.RecordBatch, parts: list[str], last: tuple | None) -> list[bool]:
-    """Which rows of a sorted batch begin a new group, given the last group of the batch before."""
-    n = batch.num_rows
-    new = np.zeros(n, dtype=bool)
-    for c in parts:
-        here, before = batch.column(c).slice(1), batch.column(c).slice(0, n - 1)
-        differs = pc.fill_null(pc.not_equal(here, before), False)
-        nulls = pc.xor(pc.is_null(here), pc.is_null(before))
-        new[1:] |= pc.or_(differs, nulls).to_numpy(zero_copy_only=False)
-    new[0] = last is None or key_at(batch, parts, 0) != last
-    return new.tolist()
-
-
-def floats(batch: pa.RecordBatch, name: str) -> list[float]:
-    """A column as floats, nan for null."""
-    return batch.column(name).cast(pa.float64()).to_numpy(zero_copy_only=False).tolist()
-
-
-def record_batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=to_arrow_schema(schema))
-
-
 # -- acceptance against the last accepted value ------------------------------------
 
 
@@ -183,22 +146,37 @@ def _slice_starts(line: Timeline, value: str, limit: float) -> DataFrame:
         yield from flush()
 
     pieces = in_order(thin).mapInArrow(reach, piece_type)
+    begins = T.StructType([thin.df.schema[c] for c in parts]).add(START, T.DoubleType())
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, rows = None, []
-        for s, group in pdf.sort_values(SLICE).groupby(SLICE, sort=True):
-            rows.append((*[pdf[c].iloc[0] for c in key], s, math.nan if state is None else state))
-            if state is None:
-                state = group.loc[group["seed"], "ends"].iloc[0]
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Slices of a key in order; what is held is one value, whatever their intervals."""
+        state, ends, group = math.nan, math.nan, None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            after = (group["lo"] < state) | ((group["lo"] == state) & group["lo_in"])
-            before = (group["hi"] > state) | ((group["hi"] == state) & group["hi_in"])
-            hit = group.loc[after & before, "ends"]
-            state = hit.iloc[0] if len(hit) else state
-        return pd.DataFrame(rows, columns=[*key, SLICE, START])
-
-    schema = T.StructType([thin.df.schema[c] for c in parts]).add(START, T.DoubleType())
-    return pieces.groupBy(*key).applyInPandas(chain, schema)
+            new = group_starts(batch, parts, group)
+            starts = [i for i, fresh in enumerate(new) if fresh or not i]
+            lo, hi, end = (batch.column(c).to_numpy() for c in ("lo", "hi", "ends"))
+            lo_in, hi_in, seed = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lo_in", "hi_in", "seed"))
+            out = []
+            for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+                if new[a]:
+                    before, group = group, key_at(batch, parts, a)
+                    state = ends if before is not None and before[:-1] == group[:-1] else math.nan
+                    ends = state
+                    out.append((*group, state))
+                if math.isnan(state):
+                    hit = seed[a:b]
+                else:
+                    hit = (lo[a:b] < state) | ((lo[a:b] == state) & lo_in[a:b])
+                    hit &= (hi[a:b] > state) | ((hi[a:b] == state) & hi_in[a:b])
+                found = np.flatnonzero(hit)
+                if len(found):
+                    ends = float(end[a + found[0]])
+            if out:
+                yield record_batch(out, begins)
+
+    return pieces.repartition(*key).sortWithinPartitions(*parts, "lo").mapInArrow(chain, begins)
 
 
 def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
@@ -229,161 +207,6 @@ def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
     return in_order(line).mapInArrow(fold, line.df.schema).select(*df.columns)
 
 
-# -- patience and escalation -------------------------------------------------------
-
-
-def first_failing(polls: DataFrame, key, time: str, cell: str, status: str, position: str) -> DataFrame:
-    """Per poll the first failing cell in list order, null when all are on."""
-    keys = [key] if isinstance(key, str) else list(key)
-    bad = F.when(F.col(status) == "off", F.col(position))
-    return polls.groupBy(*keys, time).agg(F.min_by(cell, bad).alias(cell))
-
-
-def patience(polls: DataFrame, key, time: str, cell: str, status: str, position: str) -> DataFrame:
-    """Patience counter of the cell counted at each failing poll; a healthy poll resets all."""
-    keys = [key] if isinstance(key, str) else list(key)
-    seen = first_failing(polls, keys, time, cell, status, position)
-    healthy = F.when(F.col(cell).isNull(), 1).otherwise(0)
-    line = Timeline.of(seen, keys, time).running(_resets=healthy)
-    failing = line.rows().filter(F.col(cell).isNotNull())
-    counted = Timeline.of(failing, [*keys, "_resets", cell], time).running(counter=F.lit(1))
-    return counted.rows().drop("_resets")
-
-
-# The two actions.
-RESTART, REBOOT = "restart", "reboot"
-
-
-class Escalation:
-    """The state of one controller between polls."""
-
-    def __init__(self, patience: int, waits: tuple[int, int], watch_only: bool, text: str | None = None) -> None:
-        self.patience, self.waits, self.watch_only = patience, waits, watch_only
-        s = json.loads(text) if text else {}
-        self.counts: dict[str, int] = s.get("counts", {})
-        self.again: bool = s.get("again", False)
-        self.lock: str | None = s.get("lock")
-        self.resume = datetime.fromisoformat(s["resume"]) if s.get("resume") else None
-
-    def text(self) -> str:
-        resume = self.resume.isoformat() if self.resume is not None else None
-        return json.dumps(
-            {"counts": self.counts, "again": self.again, "lock": self.lock, "resume": resume}, sort_keys=True
-        )
-
-    def poll(self, time: datetime, cell) -> tuple[str, int] | None:
-        """Take one poll; returns the decision and its pause when there is one."""
-        if self.resume is not None:
-            if time < self.resume:
-                return None
-            self.resume = None
-        day = str(time.date())
-        if self.lock is not None and self.lock != day:
-            self.lock = None
-        if cell is None:
-            self.counts, self.again = {}, False
-            return None
-        name = str(cell)
-        # Beyond the threshold the exact count no longer matters.
-        self.counts[name] = min(self.counts.get(name, 0) + 1, self.patience + 1)
-        if self.watch_only or self.counts[name] <= self.patience or self.lock == day:
-            return None
-        if self.again:
-            decision, self.again, self.lock = (REBOOT, self.waits[1]), False, day
-        else:
-            decision, self.again = (RESTART, self.waits[0]), True
-        self.counts = {}
-        self.resume = time + timedelta(seconds=decision[1])
-        return decision
-
-
-def escalate(polls: DataFrame, key, time: str, cell: str, status: str, position: str, patience: int = 5,
-             waits: tuple[int, int] = (100, 200), watch_only: bool = False) -> DataFrame:
-    """Decisions per controller: restart when patience runs out, reboot the next time.
-
-    After a reboot the controller is left alone for the rest of the day; after either,
-    polls within the pause are not looked at.
-
-    A heavy controller is cut into slices that first run as if nothing came before.
-    Slices whose true start turns out different run again, until none does. Healthy
-    polls, actions and the day lock wipe the past, so this settles in a round or two;
-    it is exact however many it takes.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    seen = first_failing(polls, keys, time, cell, status, position)
-    line = Timeline.of(seen, keys, time)
-    if line.sliced:
-        starts = _settled_starts(line, time, cell, patience, waits, watch_only)
-        line = Timeline(beside(line.df, starts, line.parts), line.key, line.order, True)
-    out = T.StructType([line.df.schema[c] for c in [*keys, time, cell]])
-    out = out.add("action", T.StringType()).add("pause_s", T.IntegerType())
-    return _run_escalation(line, time, cell, patience, waits, watch_only, out, finals=False)
-
-
-def _run_escalation(line, time, cell, patience, waits, watch_only, schema, finals: bool) -> DataFrame:
-    parts, key = line.parts, line.key
-    has_start = START in line.df.columns
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, group = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = group_starts(batch, parts, group)
-            times, cells = batch.column(time).to_pylist(), batch.column(cell).to_pylist()
-            rows = []
-            for i, (t, c, fresh) in enumerate(zip(times, cells, new)):
-                if fresh:
-                    if finals and state is not None:
-                        rows.append((*group, state.text()))
-                    group = key_at(batch, parts, i)
-                    begin = batch.column(START)[i].as_py() if has_start else None
-                    state = Escalation(patience, waits, watch_only, begin)
-                decision = state.poll(t, c)
-                if decision and not finals:
-                    rows.append((*group[: len(key)], t, c, *decision))
-            if rows:
-                yield record_batch(rows, schema)
-        if finals and state is not None:
-            yield record_batch([(*group, state.text())], schema)
-
-    return in_order(line).mapInArrow(fold, schema)
-
-
-def _settled_starts(line: Timeline, time, cell, patience, waits, watch_only) -> DataFrame:
-    """The state each slice of a heavy controller starts from: one row per slice, kept on disk.
-
-    Round after round, slices that ran from another state than the one before them
-    ended in run again.
-    """
-    spark = line.df.sparkSession
-    folder = work_folder(spark, "escalation")
-    parts, key = line.parts, line.key
-    heavy = line.df.filter(F.col(SLICE) >= 0)
-    final_type = T.StructType([line.df.schema[c] for c in parts]).add("final", T.StringType())
-    before = F.lag("final").over(Window.partitionBy(*key).orderBy(SLICE))
-
-    def finals(rows: DataFrame) -> DataFrame:
-        some = Timeline(rows, key, line.order, True)
-        return _run_escalation(some, time, cell, patience, waits, watch_only, final_type, finals=True)
-
-    done = finals(heavy).withColumn(START, F.lit(None).cast("string"))
-    for turn in itertools.count():
-        done.write.parquet(f"{folder}/{turn}")
-        settled = spark.read.parquet(f"{folder}/{turn}")
-        wrong = settled.withColumn("_due", before).filter(
-            F.col("_due").isNotNull() & differs("_due", START)
-        ).select(*parts, F.col("_due").alias(START))
-        if wrong.isEmpty():
-            return settled.select(*parts, START)
-        again = finals(beside(heavy, wrong, parts, "inner")).withColumnRenamed("final", "_final")
-        fixed = beside(again, wrong.withColumnRenamed(START, "_due"), parts)
-        joined = beside(settled, fixed, parts)
-        done = joined.select(
-            *parts, F.coalesce("_final", "final").alias("final"), F.coalesce("_due", START).alias(START)
-        )
-
-
 # -- run index ---------------------------------------------------------------------
 
 

@@ -51,13 +51,13 @@ class HeavyKeys:
     repeats: bool  # some position fills a slice alone
 
 
-def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left") -> DataFrame:
-    """Join a small side frame on null-safe equality. Only ever called with bounded sides."""
+def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left", bounded: bool = True) -> DataFrame:
+    """Join a side frame on null-safe equality. Sides whose size is bounded are broadcast."""
     renamed = side.select(*[F.col(c).alias(f"_side_{c}") if c in names else F.col(c) for c in side.columns])
     cond = F.lit(True)
     for c in names:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_side_{c}"))
-    return df.join(F.broadcast(renamed), cond, how).drop(*[f"_side_{c}" for c in names])
+    return df.join(F.broadcast(renamed) if bounded else renamed, cond, how).drop(*[f"_side_{c}" for c in names])
 
 
 def position(df: DataFrame, by: str) -> Column:

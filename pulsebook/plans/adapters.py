@@ -165,14 +165,38 @@ def cell_registry(spark, folder) -> DataFrame:
     )
 
 
-def hourly_polls(spark, folder) -> DataFrame:
-    """One poll per controller and hour: a station is off when the hour saw an error."""
-    return (
-        polls_base(spark, folder)
-        .groupBy("controller", F.timestamp_add("HOUR", F.hour("time"), F.to_date("time").cast("timestamp_ntz")).alias("time"),
-                 F.col("u").alias("cell"))
-        .agg(F.bool_or(is_type("error")).alias("bad"))
-        .select("controller", "time", "cell", F.when(F.col("bad"), "off").otherwise("on").alias("status"))
+WATCHED_SITES = 64
+
+
+def site(n: Column) -> Column:
+    """The controller that watches a station; few stations each, so that all are on at some polls."""
+    return F.concat(F.lit("ks"), (n % WATCHED_SITES).cast("string"))
+
+
+def watch_lines(base: DataFrame) -> DataFrame:
+    return cell_lines(base.withColumn("controller", site(F.col("u"))))
+
+
+def watch_log(spark, folder) -> DataFrame:
+    return watch_lines(polls_base(spark, folder))
+
+
+def watch_registry(spark, folder) -> DataFrame:
+    """Stations in the order of their nations, which is not the order of their numbers."""
+    c = F.col("c_custkey")
+    return table(spark, folder, "customer").select(
+        site(c).alias("controller"), c.cast("int").alias("cell"), F.when(c % 9 == 0, "not").otherwise("do").alias("check"),
+        (F.col("c_nationkey").cast("long") * 1_000_000_000 + c).alias("position"),
+    )
+
+
+def watch_polls(spark, folder) -> DataFrame:
+    """A poll ten minutes before every full hour, from a controller's first line to its last."""
+    hour = F.timestamp_add("HOUR", F.hour("time"), F.to_date("time").cast("timestamp_ntz"))
+    span = watch_log(spark, folder).groupBy("controller").agg(F.min(hour).alias("first"), F.max(hour).alias("last"))
+    hours = F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))
+    return span.select("controller", F.explode(hours).alias("hour")).select(
+        "controller", F.timestamp_add("MINUTE", F.lit(50), "hour").alias("time")
     )
 
 

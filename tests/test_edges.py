@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsebook import catalog
 from pulsebook.functions import bands, timecols, values
-from pulsebook.operators import cells, changes, current, folds, latch, quality, runtime, snapshot
+from pulsebook.operators import cells, changes, current, escalation, folds, latch, quality, runtime, snapshot
 from pulsebook.plans import reports
 
 T0 = datetime(2024, 1, 1)
@@ -90,7 +90,7 @@ def test_escalation_steps(spark):
     polls += [(T0 + timedelta(hours=3), "on"), (T0 + timedelta(days=1), "off")]
     rows = [("c", t, 7, s, 0) for t, s in polls]
     df = spark.createDataFrame(rows, "c string, time timestamp_ntz, cell int, status string, pos int")
-    made = folds.escalate(df, "c", "time", "cell", "status", "pos").orderBy("time").collect()
+    made = escalation.escalate(df, "c", "time", "cell", "status", "pos").orderBy("time").collect()
     assert [(r["time"], r["action"]) for r in made] == [
         (T0 + timedelta(minutes=50), "restart"), (T0 + timedelta(minutes=110), "reboot"),
     ]
@@ -99,7 +99,7 @@ def test_escalation_steps(spark):
 def test_reboot_locks_the_day(spark):
     rows = [("c", T0 + timedelta(minutes=5 * i), 7, "off", 0) for i in range(600)]
     df = spark.createDataFrame(rows, "c string, time timestamp_ntz, cell int, status string, pos int")
-    made = folds.escalate(df, "c", "time", "cell", "status", "pos").orderBy("time").collect()
+    made = escalation.escalate(df, "c", "time", "cell", "status", "pos").orderBy("time").collect()
     by_day = {}
     for r in made:
         by_day.setdefault(r["time"].date(), []).append(r["action"])

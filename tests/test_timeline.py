@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pulsebook.operators import folds
+from pulsebook.operators import escalation, folds
 from pulsebook.operators.changes import changes, outages
 from pulsebook.operators.timeline import Timeline, find_heavy_keys
 
@@ -194,9 +194,9 @@ def test_escalation_against_python(spark, heavy, request):
         request.getfixturevalue("split")
     rows = polls()
     df = spark.createDataFrame(rows, "controller string, time timestamp_ntz, cell int, status string, pos int")
-    got = folds.escalate(df, "controller", "time", "cell", "status", "pos", patience=2)
+    got = escalation.escalate(df, "controller", "time", "cell", "status", "pos", patience=2)
     assert sorted(tuple(r) for r in got.collect()) == sorted(plain_escalation(rows, 2, (100, 200)))
-    watched = folds.escalate(df, "controller", "time", "cell", "status", "pos", patience=2, watch_only=True)
+    watched = escalation.escalate(df, "controller", "time", "cell", "status", "pos", patience=2, watch_only=True)
     assert watched.count() == 0
 
 
@@ -218,5 +218,5 @@ def test_patience_against_python(spark, heavy, request):
         n = counts.setdefault(c, {})
         n[bad[0]] = n.get(bad[0], 0) + 1
         want.append((c, t, bad[0], n[bad[0]]))
-    got = folds.patience(df, "controller", "time", "cell", "status", "pos")
+    got = escalation.patience(df, "controller", "time", "cell", "status", "pos")
     assert sorted(tuple(r) for r in got.select("controller", "time", "cell", "counter").collect()) == sorted(want)
