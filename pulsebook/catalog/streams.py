@@ -243,21 +243,21 @@ LATE_HOURS = 30
 
 
 def landings(time):
-    """Ten landings of three days. Most rows land within 25 hours of their time, one in forty lands up to a week late."""
+    """Five landings of six days. Most rows land within 25 hours of their time, one in forty lands up to a week late."""
     number = F.col(TIE)
     hours = F.when(F.pmod(number, F.lit(40)) == 7, F.pmod(number, F.lit(168))).otherwise(F.pmod(number * 7, F.lit(25)))
     day = F.unix_date(F.to_date(F.timestamp_add("HOUR", hours, time))) - F.unix_date(F.lit("2024-01-01").cast("date"))
-    return F.least(F.greatest(F.floor(day / 3), F.lit(0)), F.lit(9)).cast("int")
+    return F.least(F.greatest(F.floor(day / 6), F.lit(0)), F.lit(4)).cast("int")
 
 
 def lands(df, time="time"):
     numbered = df.withColumn("_landing", landings(time))
-    return [numbered.filter(F.col("_landing") == i).drop("_landing") for i in range(10)]
+    return [numbered.filter(F.col("_landing") == i).drop("_landing") for i in range(5)]
 
 
 # The mark before each landing, and what had not passed it.
 LANDED = f"""WITH landed AS (SELECT *, least(greatest(date_diff('day', DATE '2024-01-01', CAST(time + to_hours(
-      CASE WHEN event_id % 40 = 7 THEN event_id % 168 ELSE event_id * 7 % 25 END) AS DATE)) // 3, 0), 9) AS landing FROM ping),
+      CASE WHEN event_id % 40 = 7 THEN event_id % 168 ELSE event_id * 7 % 25 END) AS DATE)) // 6, 0), 4) AS landing FROM ping),
     marks AS (SELECT landing, max(max(time)) OVER (ORDER BY landing ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
       - INTERVAL {LATE_HOURS} HOUR AS mark FROM landed GROUP BY landing),
     judged AS (SELECT ip, time, event_id, state, coalesce(time < mark, false) AS late FROM landed JOIN marks USING (landing)),
