@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsebook.operators.sizing import SPLIT_BYTES, SPLIT_ROWS
+from pulsebook.operators.sizing import SPLIT_ROWS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,18 +129,16 @@ def query(name: str, views: str = "", sql: str | None = None, recursive: bool =
 
 @contextmanager
 def splitting(spark: SparkSession, rows: int):
-    """Build plans as for a table too large for one task, with keys above ``rows`` rows heavy."""
-    old = {c: spark.conf.get(c, None) for c in (SPLIT_BYTES, SPLIT_ROWS)}
-    spark.conf.set(SPLIT_BYTES, "0")
+    """Build plans that cut a key about every quarter of so many rows."""
+    old = spark.conf.get(SPLIT_ROWS, None)
     spark.conf.set(SPLIT_ROWS, str(rows))
     try:
         yield
     finally:
-        for c, v in old.items():
-            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+        spark.conf.unset(SPLIT_ROWS) if old is None else spark.conf.set(SPLIT_ROWS, old)
 
 
-def split_form(name: str, rows: int = 40) -> None:
+def split_form(name: str, rows: int = 200) -> None:
     """Register a query's split form under its own name with the same statement."""
     plain = QUERIES[name]
 

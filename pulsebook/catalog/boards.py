@@ -73,7 +73,7 @@ def j3(spark, d):
         WHEN 4 THEN 'CFEAF3' WHEN 5 THEN 'F9F9F9' WHEN 6 THEN 'F4F4AD' END AS run_colour FROM runs""",
 )
 def r1_coloured(spark, d):
-    return reports.coloured_hour_report(r1(spark, d))
+    return reports.coloured_hour_report(r1(spark, d), sites=a.power_sites(spark, d))
 
 
 @query(

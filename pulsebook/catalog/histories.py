@@ -32,7 +32,7 @@ def w1_electro(spark, d):
 
 @query("w2_dehydrator_changes", "dehydrator_changes", "SELECT * FROM dehydrator_changes")
 def w2(spark, d):
-    return changes.changes(a.dehydrator(spark, d), "ip", "time", a.WATCHED, TIE, null_safe=False)
+    return dehydrator_journal(spark, d)
 
 
 @query(
@@ -99,6 +99,10 @@ def power_report_rows(spark, d):
     return rows.withColumn("ip_order", ip_key("ip"))
 
 
+def site_order(spark, d):
+    return a.power_sites(spark, d).select(ip_key("ip").alias("ip_order"))
+
+
 RUNS = """WITH cur AS (SELECT location, arg_max(temp_sys, (time, event_id)) AS temp_sys FROM electro GROUP BY location),
     rows_ AS (SELECT ip, location, own, temp_sys, CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216
       + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536 + CAST(split_part(ip, '.', 3) AS BIGINT) * 256
@@ -110,7 +114,7 @@ RUNS = """WITH cur AS (SELECT location, arg_max(temp_sys, (time, event_id)) AS t
 
 @query("w7_run_index", "electro power_sites", RUNS)
 def w7(spark, d):
-    return folds.run_index(power_report_rows(spark, d), "ip_order", "own")
+    return folds.run_index(power_report_rows(spark, d), "ip_order", "own", like=site_order(spark, d))
 
 
 @query(
@@ -118,14 +122,14 @@ def w7(spark, d):
     RUNS.replace("(SELECT arg_max(own, ip_order) FROM rows_)", "own"),
 )
 def a9(spark, d):
-    return folds.run_index(power_report_rows(spark, d), "ip_order", "own", wrap=False)
+    return folds.run_index(power_report_rows(spark, d), "ip_order", "own", wrap=False, like=site_order(spark, d))
 
 
 def watched(spark, d):
-    """Every poll with its failing stations, from the log lines."""
+    """The polls, and every poll with its failing stations, from the log lines."""
     polls = a.watch_polls(spark, d)
     read = watch.seen_events(cells.cell_events(a.watch_log(spark, d)), polls)
-    return watch.first_failing_steps(read, a.watch_registry(spark, d), polls)
+    return polls, watch.first_failing_steps(read, a.watch_registry(spark, d), polls)
 
 
 @query(
@@ -137,8 +141,9 @@ def watched(spark, d):
       AS BIGINT) AS counter FROM marked WHERE cell IS NOT NULL""",
 )
 def w8(spark, d):
-    first = watched(spark, d).select("controller", "time", watch.first_failing_cell().alias("cell"))
-    return escalation.patience_counters(first, "controller", "time", "cell")
+    polls, seen = watched(spark, d)
+    first = seen.select("controller", "time", watch.first_failing_cell().alias("cell"))
+    return escalation.patience_counters(first, "controller", "time", "cell", polls)
 
 
 ESCALATION = """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY controller ORDER BY time) AS rn FROM watch_off),
@@ -169,7 +174,8 @@ ESCALATION = """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY cont
 
 @query("w9_escalation", "watch_off", ESCALATION, recursive=True)
 def w9(spark, d):
-    return escalation.escalate_watch(watched(spark, d), "controller", "time", patience=2, waits=(5400, 10800))
+    polls, seen = watched(spark, d)
+    return escalation.escalate_watch(seen, "controller", "time", patience=2, waits=(5400, 10800), like=polls)
 
 
 @query(
@@ -224,12 +230,12 @@ MANUAL = """WITH carried AS (SELECT *, coalesce(last_value(CASE cmd WHEN 'auto_o
 
 
 def _with_commands(spark, d):
-    return latch.latch_with_commands(a.vent_events(spark, d), "u", "time", "temp", "cmd", tie=TIE)
+    return latch.latch_line(a.vent_events(spark, d), "u", "time", "temp", "cmd", tie=TIE)
 
 
 @query("w12_latch_with_commands", "vent_events", MANUAL + "SELECT * FROM states")
 def w12(spark, d):
-    return _with_commands(spark, d)
+    return _with_commands(spark, d).rows()
 
 
 @query(
@@ -246,7 +252,7 @@ def w13(spark, d):
     ORDER BY time, event_id)""",
 )
 def w14(spark, d):
-    x = a.dehydrator(spark, d).select("ip", "time", TIE, "c_life")
+    x = a.dehydrator_line(spark, d).select("ip", "time", TIE, "c_life")
     return changes.changes(x, "ip", "time", ["c_life"], TIE, null_safe=False)
 
 
@@ -309,7 +315,7 @@ def j12(spark, d):
 
 
 def dehydrator_journal(spark, d):
-    return changes.changes(a.dehydrator(spark, d), "ip", "time", a.WATCHED, TIE, null_safe=False)
+    return changes.changes(a.dehydrator_line(spark, d), "ip", "time", a.WATCHED, TIE, null_safe=False)
 
 
 @query("a2_first_seen", "hours_seen", "SELECT * FROM hours_seen")

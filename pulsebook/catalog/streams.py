@@ -164,7 +164,7 @@ def x4_accept(spark, d):
 
 @like("x4_stream_accept_split", "w4_accept_within")
 def x4_accept_split(spark, d):
-    with splitting(spark, 40):
+    with splitting(spark, 200):
         return _accept(spark, d)
 
 
@@ -338,5 +338,5 @@ def x7_sessions(spark, d):
 
 @like("x7_stream_sessions_split", "x7_stream_sessions")
 def x7_sessions_split(spark, d):
-    with splitting(spark, 40):
+    with splitting(spark, 200):
         return x7_sessions(spark, d)

@@ -14,17 +14,17 @@ from pulsebook.operators.timeline import Timeline
 PREV = "_prev"
 
 
-def _previous(df: DataFrame, key, time: str, tie: str | None, columns: list[str]) -> DataFrame:
+def _previous(df: DataFrame | Timeline, key, time: str, tie: str | None, columns: list[str]) -> DataFrame:
     return Timeline.of(df, key, time, tie).previous(PREV, *columns).rows()
 
 
 def changes(
-    df: DataFrame, key, time: str, watched: list[str], tie: str | None = None, null_safe: bool = True
+    df: DataFrame | Timeline, key, time: str, watched: list[str], tie: str | None = None, null_safe: bool = True
 ) -> DataFrame:
     """Rows in which a watched column differs from the key's previous row.
 
     A key's first row never counts. With ``null_safe=False`` a null on either side
-    does not count as a difference.
+    does not count as a difference. A timeline of that key and order goes on with its slices.
     """
     out = _previous(df, key, time, tie, watched)
     pairs = [(F.col(c), F.col(f"{PREV}.{c}")) for c in watched]
@@ -63,9 +63,9 @@ def outages(df: DataFrame, key, time: str, up: str, tie: str | None = None) -> D
     A key counts as up before its first reading; an open outage has no end.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    seen = _previous(df, keys, time, tie, [up])
-    edges = seen.filter(F.col(up) != F.coalesce(F.col(f"{PREV}.{up}"), F.lit(True))).drop(PREV)
-    paired = Timeline.of(edges, keys, time, tie).following("_next", time).rows()
+    line = Timeline.of(df, keys, time, tie).previous(PREV, up)
+    edges = line.filter(F.col(up) != F.coalesce(F.col(f"{PREV}.{up}"), F.lit(True)))
+    paired = edges.following("_next", time).rows()
     return paired.filter(~F.col(up)).select(
         *keys,
         F.col(time).alias("lost"),

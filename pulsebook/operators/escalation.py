@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,14 +35,42 @@ def patience(polls: DataFrame, key, time: str, cell: str, status: str, position:
     return patience_counters(first_failing(polls, key, time, cell, status, position), key, time, cell)
 
 
-def patience_counters(seen: DataFrame, key, time: str, cell: str) -> DataFrame:
-    """The same from one row per poll with its first failing cell, null when all are on."""
+def patience_counters(seen: DataFrame, key, time: str, cell: str, like: DataFrame | None = None) -> DataFrame:
+    """The same from one row per poll with its first failing cell, null when all are on. ``like``: see ``Timeline.of``."""
     keys = [key] if isinstance(key, str) else list(key)
+    line = Timeline.of(seen, keys, time, like=like)
+    parts, window = line.parts, line.window()
     healthy = F.when(F.col(cell).isNull(), 1).otherwise(0)
-    line = Timeline.of(seen, keys, time).running(_resets=healthy)
-    failing = line.rows().filter(F.col(cell).isNotNull())
-    counted = Timeline.of(failing, [*keys, "_resets", cell], time).running(counter=F.lit(1))
-    return counted.rows().drop("_resets")
+    line = line.with_rows(line.df.withColumns({
+        "_resets": F.sum(healthy).over(window),
+        "_all": F.sum(healthy).over(window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    }))
+    own = F.row_number().over(Window.partitionBy(*parts, "_resets", cell).orderBy(time))
+    counted = line.df.filter(F.col(cell).isNotNull()).withColumn("_own", own)
+    # A healthy poll in a slice wipes what came before; without one the counters go on.
+    counted = beside(counted, _held_counts(line, cell), [*parts, cell], bounded=False)
+    before = F.when(F.col("_resets") == 0, F.coalesce("_held", F.lit(0))).otherwise(0)
+    return line.with_rows(counted.withColumn("counter", (F.col("_own") + before).cast("bigint"))).rows().drop("_resets", "_all", "_own", "_held")
+
+
+def _held_counts(line: Timeline, cell: str) -> DataFrame:
+    """For each slice of a heavy key and each of its failing cells what was counted since the last healthy poll before.
+
+    An era begins with each slice that has a healthy poll; its cells' counts after that poll add up until the next.
+    """
+    heavy, key, parts = line.heavy(), line.key, line.parts
+    wiped = heavy.groupBy(*parts).agg(F.max("_all").alias("_all")).withColumn("_wipes", F.when(F.col("_all") > 0, 1).otherwise(0))
+    eras = wiped.select(*parts, "_wipes", F.sum("_wipes").over(Window.partitionBy(*key).orderBy(SLICE)).alias("_era"))
+    left = F.sum(F.when(F.col("_resets") == F.col("_all"), 1).otherwise(0)).alias("_left")
+    tails = heavy.filter(F.col(cell).isNotNull()).groupBy(*parts, cell).agg(left)
+    # One row per slice of a heavy key.
+    tails = beside(tails, eras, parts)
+    listed = tails.select(*parts, cell, F.inline(F.array(
+        F.struct(F.lit(0).alias("_turn"), (F.col("_era") - F.col("_wipes")).alias("_era"), F.lit(0).cast("bigint").alias("_left")),
+        F.struct(F.lit(1).alias("_turn"), F.col("_era").alias("_era"), F.col("_left").alias("_left")),
+    )))
+    so_far = Window.partitionBy(*key, cell, "_era").orderBy(SLICE, "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return listed.withColumn("_held", F.sum("_left").over(so_far)).filter("_turn = 0").select(*parts, cell, "_held")
 
 
 class Escalation:
@@ -195,38 +223,36 @@ def escalate(polls: DataFrame, key, time: str, cell: str, status: str, position:
 
 
 def escalate_watch(seen: DataFrame, key, time: str, patience: int = 5, waits: tuple[int, int] = (100, 200),
-                   watch_only: bool = False, start: DataFrame | None = None) -> DataFrame:
+                   watch_only: bool = False, start: DataFrame | None = None, like: DataFrame | None = None) -> DataFrame:
     """Decisions per controller: restart when patience runs out, reboot the next time.
 
     ``seen`` has one row per poll with its ``failing`` steps. After a reboot the controller is left alone for the rest
-    of the day; after either, polls within the pause are not looked at. ``start`` holds ``state`` texts by key.
+    of the day; after either, polls within the pause are not looked at. ``start`` holds ``state`` texts by key, ``like``
+    the polls where they are to be had without their steps.
 
     A heavy controller is cut into slices: a first pass works out what each does to any state (:class:`SliceTable`),
     these are chained per key, and a second pass runs every slice from its true start.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rules = Escalation(patience, waits, watch_only)
-    line = _with_starts(Timeline.of(seen, keys, time), time, rules, start)
+    line = _with_starts(Timeline.of(seen, keys, time, like=like), time, rules, start)
     step = seen.schema[FAILING].dataType.elementType
     out = T.StructType([line.df.schema[c] for c in [*keys, time]]).add("cell", step["cell"].dataType)
     return _run(line, time, rules, out.add("action", T.StringType()).add("pause_s", T.IntegerType()), finals=False)
 
 
 def final_states(seen: DataFrame, key, time: str, patience: int = 5, waits: tuple[int, int] = (100, 200),
-                 watch_only: bool = False, start: DataFrame | None = None) -> DataFrame:
+                 watch_only: bool = False, start: DataFrame | None = None, like: DataFrame | None = None) -> DataFrame:
     """The ``state`` of each controller after its polls."""
     keys = [key] if isinstance(key, str) else list(key)
     rules = Escalation(patience, waits, watch_only)
-    line = _with_starts(Timeline.of(seen, keys, time), time, rules, start)
+    line = _with_starts(Timeline.of(seen, keys, time, like=like), time, rules, start)
     ends = _run(line, time, rules, T.StructType([line.df.schema[c] for c in line.parts]).add("state", T.StringType()), finals=True)
-    if not line.sliced:
-        return ends
     return ends.groupBy(*keys).agg(F.max_by("state", SLICE).alias("state"))
 
 
 def _run(line: Timeline, time: str, rules: Escalation, schema: T.StructType, finals: bool) -> DataFrame:
     parts, keys = line.parts, len(line.key)
-    has_start = START in line.df.columns
     patience, waits, watch_only = rules.patience, rules.waits, rules.watch_only
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,8 +268,7 @@ def _run(line: Timeline, time: str, rules: Escalation, schema: T.StructType, fin
                     if finals and state is not None:
                         rows.append((*group, state.text()))
                     group = key_at(batch, parts, i)
-                    begin = batch.column(START)[i].as_py() if has_start else None
-                    state = Escalation(patience, waits, watch_only, begin)
+                    state = Escalation(patience, waits, watch_only, batch.column(START)[i].as_py())
                 decision = state.poll(t, failing)
                 if decision and not finals:
                     rows.append((*group[:keys], t, *decision))
@@ -260,12 +285,8 @@ def _with_starts(line: Timeline, time: str, rules: Escalation, start: DataFrame
     key, parts = line.key, line.parts
     if start is not None:
         start = start.select(*key, F.col("state").alias(START))
-    if not line.sliced:
-        if start is None:
-            return line
-        return Timeline(beside(line.df, start, key, bounded=False), key, line.order, False)
     patience, waits, watch_only = rules.patience, rules.waits, rules.watch_only
-    heavy = Timeline(line.df.filter(F.col(SLICE) >= 0), key, line.order, True)
+    heavy = line.with_rows(line.heavy())
     head = T.StructType([line.df.schema[c] for c in parts]).add("_n", T.IntegerType()).add(line.df.schema[time]).add(line.df.schema[FAILING])
     for kind in RESETS:
         head = head.add(kind, T.StringType())
@@ -316,5 +337,5 @@ def _with_starts(line: Timeline, time: str, rules: Escalation, start: DataFrame
         given = start.withColumnRenamed(START, "_given")
         rows = beside(rows, given, key, bounded=False)
         rows = rows.withColumn(START, F.when(F.col(SLICE) < 0, F.col("_given")).otherwise(F.col(START))).drop("_given")
-    return Timeline(rows, key, line.order, True)
+    return line.with_rows(rows)
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from pulsebook.functions.values import differs
 from pulsebook.operators.passes import floats, group_starts, in_order, key_at, record_batch
-from pulsebook.operators.timeline import SLICE, Timeline, beside
+from pulsebook.operators.timeline import Timeline, beside
 
 START = "_start"
 
@@ -32,7 +32,7 @@ def accept_batch(values, new, starts, last, limit):
     keep = [False] * len(values)
     for i, (v, fresh) in enumerate(zip(values, new)):
         if fresh:
-            last = starts[i] if starts is not None and starts[i] == starts[i] else None
+            last = starts[i] if starts[i] == starts[i] else None
         if v != v:
             continue
         if last is None or v - limit <= last <= v + limit:
@@ -120,10 +120,7 @@ def _reach_schema(df: DataFrame, parts: list[str]) -> T.StructType:
 def _slice_starts(line: Timeline, value: str, limit: float) -> DataFrame:
     """The value each slice of a heavy key starts from; bounded by the number of slices."""
     parts, key = line.parts, line.key
-    heavy = line.df.filter(F.col(SLICE) >= 0)
-    thin = Timeline(
-        heavy.select(*parts, *line.order, F.col(value).cast("double").alias("_v")), key, line.order, True
-    )
+    thin = line.with_rows(line.heavy().select(*parts, *line.order, F.col(value).cast("double").alias("_v")))
     piece_type = _reach_schema(thin.df, parts)
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +185,9 @@ def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
     from its true start. The answer is the same as from one long fold.
     """
     line = Timeline.of(df, key, time, tie)
-    if line.sliced:
-        starts = _slice_starts(line, value, limit)
-        line = Timeline(beside(line.df, starts, line.parts), line.key, line.order, True)
-    parts, has_start = line.parts, line.sliced
+    # One row per slice of a heavy key.
+    line = line.with_rows(beside(line.df, _slice_starts(line, value, limit), line.parts))
+    parts = line.parts
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, last = None, None
@@ -199,8 +195,7 @@ def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
             if not batch.num_rows:
                 continue
             new = group_starts(batch, parts, group)
-            starts = floats(batch, START) if has_start else None
-            keep, last = accept_batch(floats(batch, value), new, starts, last, limit)
+            keep, last = accept_batch(floats(batch, value), new, floats(batch, START), last, limit)
             group = key_at(batch, parts, batch.num_rows - 1)
             yield batch.filter(pa.array(keep))
 
@@ -210,21 +205,22 @@ def accept_within(df: DataFrame, key, time: str, value: str, limit: float = 10,
 # -- run index ---------------------------------------------------------------------
 
 
-def run_index(df: DataFrame, order: str, group: str, wrap: bool = True, out: str = "run") -> DataFrame:
+def run_index(df: DataFrame, order: str, group: str, wrap: bool = True, out: str = "run",
+              like: DataFrame | None = None) -> DataFrame:
     """Number of the run of equal group values each row is in, in display order.
 
     With ``wrap`` the first row is compared with the last one, so numbering starts at 1
-    when they differ and at 0 when they do not.
+    when they differ and at 0 when they do not. ``like`` is a frame whose ``order`` values
+    lie as those of ``df`` and are cheaper to have.
     """
-    one = df.withColumn("_all", F.lit(0))
-    line = Timeline.of(one, "_all", order).previous("_before", group)
-    first = F.col("_before").isNull()
+    everything = F.lit(0).alias("_all")
+    line = Timeline.of(
+        df.select("*", everything), "_all", order, like=None if like is None else like.select(order, everything)
+    ).previous("_before", group)
+    first, opens = F.col("_before").isNull(), F.lit(False)
     if wrap:
-        last = df.agg(F.max_by(group, order).alias("last")).scalar()
-        line = Timeline(line.df.withColumn("_last", last), line.key, line.order, line.sliced)
-        opens = differs(group, "_last")
-    else:
-        opens = F.lit(False)
+        line = line.last("_last", group)
+        opens = differs(group, F.col(f"_last.{group}"))
     changed: Column = F.when(first, opens).otherwise(differs(group, F.col(f"_before.{group}")))
     line = line.running(**{out: changed.cast("int")})
     rows = line.rows().drop("_all", "_before", "_last")

@@ -33,10 +33,15 @@ def merge_events(readings: DataFrame, commands: DataFrame, key, time: str, value
     return r.unionByName(c)
 
 
-def latch_with_commands(
+def latch_with_commands(events: DataFrame, key, time: str, value: str, command: str, **rules) -> DataFrame:
+    """The rows of :func:`latch_line`."""
+    return latch_line(events, key, time, value, command, **rules).rows()
+
+
+def latch_line(
     events: DataFrame, key, time: str, value: str, command: str, on: float = 26, off: float = 22,
     vent: str = "v5", initial: str = OFF, auto_initial: str = OFF, tie: str | None = None,
-) -> DataFrame:
+) -> Timeline:
     """State and mode after each row of a merged stream of readings and commands.
 
     With automation on, the last reading decides whenever it is outside the dead band,
@@ -44,15 +49,14 @@ def latch_with_commands(
     """
     mode = F.when(F.col(command) == AUTO_ON, ON).when(F.col(command) == AUTO_OFF, OFF)
     line = Timeline.of(events, key, time, tie).carry(auto=mode, temp=F.col(value))
-    line = Timeline(
-        line.df.withColumn("auto", F.coalesce("auto", F.lit(auto_initial))), line.key, line.order, line.sliced
-    )
+    line = line.with_rows(line.df.withColumn("auto", F.coalesce("auto", F.lit(auto_initial))))
     manual = F.when(F.col(command) == f"{vent}_on", ON).when(F.col(command) == f"{vent}_off", OFF)
     automatic = F.when(F.col("auto") == ON, wanted(F.col("temp"), on, off))
     line = line.carry(state=F.coalesce(automatic, manual))
-    return line.rows().withColumn("state", F.coalesce("state", F.lit(initial)))
+    return line.with_rows(line.df.withColumn("state", F.coalesce("state", F.lit(initial))))
 
 
-def switch_journal(states: DataFrame, key, time: str, state: str = "state", tie: str | None = None) -> DataFrame:
-    """One row per switch."""
+def switch_journal(states: DataFrame | Timeline, key, time: str, state: str = "state",
+                   tie: str | None = None) -> DataFrame:
+    """One row per switch; a timeline goes on with its slices."""
     return changes(states, key, time, [state], tie)

@@ -1,41 +1,18 @@
-"""Size checks that decide when a key's history must be split."""
+"""How many rows of one key a task should hold."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 
-# Input below this many bytes fits one task whole, so no key in it can be too large.
-SPLIT_BYTES = "pulsebook.split.bytes"
-SPLIT_BYTES_DEFAULT = 256 << 20
-# Rows of one key that a single task may hold before the key is split.
 SPLIT_ROWS = "pulsebook.split.rows"
 SPLIT_ROWS_DEFAULT = 4_000_000
 
 
-def _number(df: DataFrame, name: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(name, str(default)))
+def split_rows(spark: SparkSession) -> int:
+    """Rows of one key that a task may hold with ease."""
+    return int(spark.conf.get(SPLIT_ROWS, str(SPLIT_ROWS_DEFAULT)))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, but at most what its tables hold together.
-
-    For joins the estimate is the product of both sides; lookups by key, which is all
-    that is joined here, do not grow like that. None where no estimate is to be had.
-    """
-    inner = getattr(df, "_jdf", None)
-    if inner is None:
-        return None
-    plan = inner.queryExecution().optimizedPlan()
-    leaves = plan.collectLeaves()
-    tables = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return min(int(plan.stats().sizeInBytes()), tables)
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    limit = _number(df, SPLIT_BYTES, SPLIT_BYTES_DEFAULT)
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
-
-
-def split_rows(df: DataFrame) -> int:
-    return _number(df, SPLIT_ROWS, SPLIT_ROWS_DEFAULT)
+def rows_per_cut(spark: SparkSession) -> int:
+    """Cuts come by chance, so slices differ: a quarter of that on average."""
+    return max(2, split_rows(spark) // 4)

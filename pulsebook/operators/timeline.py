@@ -1,54 +1,35 @@
 """Ordered work along one key's history that survives a key holding most of the rows.
 
-Previous row, next row, carried value and running sum are plain window functions.
-They put one key's whole history into one task, which is fine while the input fits
-one task and ruinous when a single key holds a third of a large table. So:
-
-* input that fits one task (by the optimizer's estimate) uses the window as it is;
-* otherwise rows are counted per key and only the heavy keys are cut into time
-  slices of about equal size. The window then runs per (key, slice), and what crosses
-  a slice border - one row per slice - is worked out on the side and joined back;
-* a slice that is one single time and still too large is cut again by the tie.
-
-The side table has one row per slice of a heavy key. Its size is bounded by
-``MAX_SLICES`` whatever the data, which is why it may be broadcast. Nulls come first
-in the order, NaN last, as in a window.
+Previous row, next row, carried value and running sum are window functions. A window
+per key puts a key's whole history into one task, so a key is cut into slices along its
+order, the window runs per (key, slice), and what crosses a slice border - one row per
+slice - is worked out on the side and joined back.
+
+The cuts are rows of the table itself: those whose hash of key and order falls on one
+in so many. So they need no counts, come as densely as the rows do, work for any type
+that can be ordered, and are the same whenever and wherever they are looked up again.
+They are found inside the plan. Nothing runs while a plan is built, and one plan serves
+every size: a small table has no cuts, which adaptive execution sees before it starts
+the rest, and then leaves the side work out.
+
+At most ``MOST_CUTS`` cuts are taken, those with the lowest hashes, which is what bounds
+the side tables and why they may be broadcast. A slice then holds one row in
+``MOST_CUTS`` of the table on average where that is more than ``split_rows`` asks for,
+and hardly ever twelve times the average. Only rows that agree in key, time and tie
+cannot be cut. Nulls come first in the order, NaN last, as in a window.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from pulsebook.functions.timecols import epoch_us
-from pulsebook.operators.sizing import fits_one_task, split_rows
+from pulsebook.operators.sizing import rows_per_cut
 
 SLICE = "_slice"
-# A slice holds about ``split_rows`` rows, or this share of all rows of heavy keys where that is more.
-MAX_SLICES = 100_000
-# Beyond any time or number that orders readings.
-FAR = 1e300
-# Bytes of a text that make its position: as many as a double holds exactly.
-TEXT_BYTES = 6
-
-
-@dataclass(frozen=True)
-class HeavyKeys:
-    """Heavy keys and their cuts, as two side tables.
-
-    A key's span is divided into equal cells, one per cut. ``spans`` holds where a key's
-    cells begin and how wide they are; ``cells`` holds for each cell how many cuts come
-    before it and the cuts in it. So a row carries the few cuts of its own cell and
-    never the whole list.
-    """
-
-    spans: DataFrame
-    cells: DataFrame
-    repeats: bool  # some position fills a slice alone
+MOST_CUTS = 400_000
+# The cuts of a row's key, and how many they are; null for keys without any.
+_CUTS, CUT = "_cuts", "_cut"
 
 
 def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left", bounded: bool = True) -> DataFrame:
@@ -60,156 +41,61 @@ def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left",
     return df.join(F.broadcast(renamed) if bounded else renamed, cond, how).drop(*[f"_side_{c}" for c in names])
 
 
-def position(df: DataFrame, by: str) -> Column:
-    """The order column as a finite number that never falls where the column rises."""
-    kind = df.schema[by].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        at = epoch_us(by)
-    elif isinstance(kind, T.TimestampType):
-        at = F.unix_micros(by)
-    elif isinstance(kind, T.DateType):
-        at = F.unix_date(by)
-    elif isinstance(kind, (T.StringType, T.BinaryType)):
-        head = F.hex(F.substring(F.col(by).cast("binary"), 1, TEXT_BYTES))
-        at = F.conv(F.rpad(head, 2 * TEXT_BYTES, "0"), 16, 10)
-    else:
-        at = F.col(by)
-    return F.least(F.greatest(at.cast("double"), F.lit(-FAR)), F.lit(FAR))
-
-
-def cell_of(x: float, lo: float, width: float, cells: int) -> int:
-    return min(max(math.floor((x - lo) / width), 0), cells - 1)
-
-
-def find_heavy_keys(df: DataFrame, key: list[str], by: str, rows: int, one: str | None = None) -> HeavyKeys | None:
-    """Keys above ``rows`` rows and the places at which to cut them.
-
-    At most ``MAX_SLICES`` keys are taken, the largest first, so a key left out holds
-    under ``rows`` rows or under 1/MAX_SLICES of the table. What reaches the driver is
-    bounded by that and by as many cuts, from one key or from all together. With
-    ``one`` only keys that hold a single value of that column count.
-    """
-    spark = df.sparkSession
-    counts = [F.count(F.lit(1)).alias("_n")]
-    if one is not None:
-        set_rows = F.count(one)
-        counts.append(
-            ((set_rows == 0) | ((set_rows == F.count(F.lit(1))) & (F.min(one) == F.max(one)))).alias("_one")
-        )
-    counted = df.groupBy(*key).agg(*counts).filter(F.col("_n") > rows)
-    if one is not None:
-        counted = counted.filter("_one")
-    top = counted.orderBy(F.col("_n").desc(), *key).limit(MAX_SLICES).collect()
-    if not top:
-        return None
-    total = sum(r["_n"] for r in top)
-    per_slice = max(rows, math.ceil(total / MAX_SLICES))
-    parts = max(2, math.ceil(top[0]["_n"] / per_slice))
-    key_type = df.select(*key).schema
-    heavy = spark.createDataFrame(
-        [(*[r[c] for c in key], max(2, math.ceil(r["_n"] / per_slice))) for r in top],
-        T.StructType(key_type.fields[:]).add("_parts", T.IntegerType()),
-    )
-    # One text instead of one literal per mark keeps the plan small.
-    grid = F.split(F.lit(",".join(f"{i / parts:.9g}" for i in range(1, parts))), ",").cast("array<double>")
-    marks = (
-        beside(df.select(*key, position(df, by).alias("_at")), heavy, key, "inner")
-        .groupBy(*key, "_parts").agg(F.percentile_approx("_at", grid, max(10_000, 4 * parts)).alias("_grid"))
-        .select(
-            *key,
-            F.expr(
-                f"transform(sequence(1, _parts - 1), i -> "
-                f"_grid[least(cast(round(i * {parts} / _parts) as int), {parts - 1}) - 1])"
-            ).alias("_marks"),
-        )
-        .select(
-            *key, F.array_distinct("_marks").alias("_cuts"),
-            F.expr("array_distinct(filter(_marks, (x, i) -> i > 0 and x = _marks[i - 1]))").alias("_full"),
-        )
-        .collect()
-    )
-    spans, cells = [], []
-    for r in marks:
-        # A position that takes up a slice or more gets one of its own.
-        name, cuts = tuple(r[c] for c in key), sorted({*r["_cuts"], *(math.nextafter(x, math.inf) for x in r["_full"])})
-        lo, n = cuts[0], len(cuts)
-        width = (cuts[-1] - lo) / n or 1.0
-        spans.append((*name, lo, width, n))
-        inside: list[list[float]] = [[] for _ in range(n)]
-        for c in cuts:
-            inside[cell_of(c, lo, width, n)].append(c)
-        before = 0
-        for i, here in enumerate(inside):
-            cells.append((*name, i, before, here))
-            before += len(here)
-    span_type = T.StructType(key_type.fields[:]).add("_lo", T.DoubleType()).add("_width", T.DoubleType())
-    cell_type = T.StructType(key_type.fields[:]).add("_cell", T.IntegerType()).add("_before", T.IntegerType())
-    return HeavyKeys(
-        spark.createDataFrame(spans, span_type.add("_cells", T.IntegerType())),
-        spark.createDataFrame(cells, cell_type.add("_cuts", T.ArrayType(T.DoubleType()))),
-        any(r["_full"] or len(r["_cuts"]) == 1 for r in marks),
-    )
-
-
-def with_slices(df: DataFrame, key: list[str], by: str, heavy: HeavyKeys, out: str = SLICE) -> DataFrame:
-    """Each row's slice: the number of its key's cuts up to it, -1 for keys left whole."""
-    at = beside(df, heavy.spans, key).withColumn(
-        "_at", F.when(F.col("_cells").isNotNull(), position(df, by))
-    )
-    cell = F.floor((F.col("_at") - F.col("_lo")) / F.col("_width"))
-    inside = F.least(F.greatest(cell, F.lit(0)), F.col("_cells") - 1).cast("int")
-    placed = beside(at.withColumn("_cell", inside), heavy.cells, [*key, "_cell"])
-    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_at")))
-    found = placed.withColumn(
-        out, F.when(F.col("_cuts").isNull(), -1).otherwise(F.col("_before") + passed).cast("bigint")
-    )
-    return found.drop("_lo", "_width", "_cells", "_at", "_cell", "_before", "_cuts")
-
-
-def with_tie_slices(df: DataFrame, key: list[str], time: str, tie: str, rows: int) -> DataFrame:
-    """Slices of a single time and more than ``rows`` rows cut again by the tie."""
-    within = [*key, SLICE]
-    heavy = find_heavy_keys(df.filter(F.col(SLICE) >= 0), within, tie, rows, time)
-    if heavy is None:
-        return df
-    cut = with_slices(df, within, tie, heavy, "_part")
-    # Numbers of slices and of parts both stay far below 2^24.
-    number = F.when(F.col(SLICE) < 0, F.col(SLICE)).otherwise(
-        F.shiftleft(SLICE, 24) + F.greatest(F.col("_part"), F.lit(0))
-    )
-    return cut.withColumn(SLICE, number).drop("_part")
+def cuts_of(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Per key with any its cuts in order; at most ``MOST_CUTS`` in all."""
+    one_in = F.lit(rows_per_cut(df.sparkSession))
+    some = df.select(*key, *order).withColumn("_hash", F.xxhash64(*key, *order)).filter(F.pmod("_hash", one_in) == 0)
+    few = some.distinct().orderBy("_hash").limit(MOST_CUTS)
+    listed = few.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*order))).alias(_CUTS))
+    return listed.withColumn(CUT, F.size(_CUTS))
+
+
+def _cuts_up_to(at: Column) -> Column:
+    """How many cuts of the row's key are not after it, by halving."""
+    cuts = F.col(_CUTS)
+    powers = F.sequence(F.floor(F.log2(F.size(cuts))).cast("int"), F.lit(0))
+
+    def step(passed: Column, power: Column) -> Column:
+        further = passed + F.call_function("shiftleft", F.lit(1), power)
+        return F.when(F.get(cuts, further - 1) <= at, further).otherwise(passed)
+
+    return F.aggregate(powers, F.lit(0), step)
 
 
 class Timeline:
-    """One frame, its key and its order; each method adds a column and returns a new one."""
+    """One frame, its key, its order and its cuts; each method adds a column and returns a new one."""
 
-    def __init__(self, df: DataFrame, key: list[str], order: list[str], sliced: bool) -> None:
-        self.df, self.key, self.order, self.sliced = df, key, order, sliced
+    def __init__(self, df: DataFrame, key: list[str], order: list[str], cuts: DataFrame) -> None:
+        self.df, self.key, self.order, self.cuts = df, key, order, cuts
 
     @classmethod
-    def of(cls, df: DataFrame, key: str | list[str], time: str, tie: str | None = None) -> Timeline:
+    def of(cls, df: DataFrame | Timeline, key: str | list[str], time: str, tie: str | None = None,
+           like: DataFrame | None = None) -> Timeline:
+        """``like`` is a frame to take the cuts from, when that is cheaper and its rows lie about as those of ``df``.
+
+        A timeline that has this key and order already is used as it is.
+        """
         key = [key] if isinstance(key, str) else list(key)
         order = [time] + ([tie] if tie else [])
-        if fits_one_task(df):
-            return cls(df, key, order, False)
-        rows = split_rows(df)
-        heavy = find_heavy_keys(df, key, time, rows)
-        if heavy is None:
-            return cls(df, key, order, False)
-        cut = with_slices(df, key, time, heavy)
-        if tie and heavy.repeats:
-            cut = with_tie_slices(cut, key, time, tie, rows)
-        return cls(cut, key, order, True)
+        if isinstance(df, Timeline):
+            if (df.key, df.order) == (key, order):
+                return df
+            df = df.rows()
+        cuts = cuts_of(df if like is None else like, key, order)
+        number = F.when(F.col(_CUTS).isNull(), -1).otherwise(_cuts_up_to(F.struct(*order)))
+        placed = beside(df, cuts, key).select(*df.columns, number.cast("bigint").alias(SLICE), CUT)
+        return cls(placed, key, order, cuts)
 
     # -- windows ---------------------------------------------------------------
 
     @property
     def parts(self) -> list[str]:
         """Columns that bound one window group."""
-        return self.key + ([SLICE] if self.sliced else [])
+        return [*self.key, SLICE]
 
     def window(self):
-        return Window.partitionBy(*self.parts).orderBy(*self.order)
+        # A condition on the cuts goes down through the window, as one on the key would.
+        return Window.partitionBy(*self.parts, CUT).orderBy(*self.order)
 
     def _up_to_here(self):
         return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -217,15 +103,20 @@ class Timeline:
     def _position(self) -> Column:
         return F.struct(*self.order)
 
-    def _with(self, df: DataFrame) -> Timeline:
-        return Timeline(df, self.key, self.order, self.sliced)
+    def with_rows(self, df: DataFrame) -> Timeline:
+        """The same timeline with other rows or columns, which still hold key, order and slice."""
+        return Timeline(df, self.key, self.order, self.cuts)
+
+    def heavy(self) -> DataFrame:
+        """The rows of keys that are cut; when there are no cuts that is known before any row is read."""
+        return self.df.filter(F.col(CUT).isNotNull())
 
     def _border(self, aggs: list[Column]) -> DataFrame:
         """One row per slice of a heavy key: partial aggregation, then a tiny result."""
-        return self.df.filter(F.col(SLICE) >= 0).groupBy(*self.key, SLICE).agg(*aggs)
+        return self.heavy().groupBy(*self.parts).agg(*aggs)
 
     def _join_border(self, df: DataFrame, border: DataFrame) -> DataFrame:
-        return beside(df, border, [*self.key, SLICE])
+        return beside(df, border, self.parts)
 
     def _slices(self):
         return Window.partitionBy(*self.key).orderBy(SLICE)
@@ -235,69 +126,64 @@ class Timeline:
     def previous(self, name: str, *columns: str) -> Timeline:
         """``name``: struct of the columns of the key's previous row, null on the first."""
         row = F.struct(*columns)
-        df = self.df.withColumn(name, F.lag(row).over(self.window()))
-        if self.sliced:
-            border = self._border([F.max_by(row, self._position()).alias("_edge")])
-            border = border.withColumn("_edge", F.lag("_edge").over(self._slices()))
-            df = self._join_border(df, border)
-            df = df.withColumn(name, F.coalesce(name, "_edge")).drop("_edge")
-        return self._with(df)
+        border = self._border([F.max_by(row, self._position()).alias("_edge")])
+        border = border.withColumn("_edge", F.lag("_edge").over(self._slices()))
+        df = self._join_border(self.df.withColumn(name, F.lag(row).over(self.window())), border)
+        return self.with_rows(df.withColumn(name, F.coalesce(name, "_edge")).drop("_edge"))
 
     def following(self, name: str, *columns: str) -> Timeline:
         """``name``: struct of the columns of the key's next row, null on the last."""
         row = F.struct(*columns)
-        df = self.df.withColumn(name, F.lead(row).over(self.window()))
-        if self.sliced:
-            border = self._border([F.min_by(row, self._position()).alias("_edge")])
-            border = border.withColumn("_edge", F.lead("_edge").over(self._slices()))
-            df = self._join_border(df, border)
-            df = df.withColumn(name, F.coalesce(name, "_edge")).drop("_edge")
-        return self._with(df)
+        border = self._border([F.min_by(row, self._position()).alias("_edge")])
+        border = border.withColumn("_edge", F.lead("_edge").over(self._slices()))
+        df = self._join_border(self.df.withColumn(name, F.lead(row).over(self.window())), border)
+        return self.with_rows(df.withColumn(name, F.coalesce(name, "_edge")).drop("_edge"))
+
+    def last(self, name: str, *columns: str) -> Timeline:
+        """``name``: struct of the columns of the key's last row."""
+        row = F.struct(*columns)
+        everything = Window.unboundedPreceding, Window.unboundedFollowing
+        border = self._border([F.max_by(row, self._position()).alias("_edge")])
+        border = border.withColumn("_edge", F.last("_edge").over(self._slices().rowsBetween(*everything)))
+        df = self.df.withColumn(name, F.last(row).over(self.window().rowsBetween(*everything)))
+        df = self._join_border(df, border)
+        return self.with_rows(df.withColumn(name, F.coalesce("_edge", name)).drop("_edge"))
 
     def carry(self, **values: Column) -> Timeline:
         """Each value's last non-null up to and including the row."""
         df = self.df
         for name, v in values.items():
             df = df.withColumn(f"_{name}", F.last(v, ignorenulls=True).over(self._up_to_here()))
-        if self.sliced:
-            seen = [
-                F.max_by(v, F.when(v.isNotNull(), self._position())).alias(f"_in_{n}") for n, v in values.items()
-            ]
-            before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
-            border = self._border(seen)
-            border = border.select(
-                *self.key, SLICE,
-                *[F.last(f"_in_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in values],
-            )
-            df = self._join_border(df, border)
-            for n in values:
-                df = df.withColumn(f"_{n}", F.coalesce(f"_{n}", f"_in_{n}"))
-            df = df.drop(*[f"_in_{n}" for n in values])
+        seen = [F.max_by(v, F.when(v.isNotNull(), self._position())).alias(f"_in_{n}") for n, v in values.items()]
+        before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
+        border = self._border(seen).select(
+            *self.parts, *[F.last(f"_in_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in values]
+        )
+        df = self._join_border(df, border)
         for n in values:
-            df = df.withColumn(n, F.col(f"_{n}")).drop(f"_{n}")
-        return self._with(df)
+            df = df.withColumn(n, F.coalesce(f"_{n}", f"_in_{n}")).drop(f"_{n}", f"_in_{n}")
+        return self.with_rows(df)
 
     def running(self, **values: Column) -> Timeline:
         """Each value's running sum up to and including the row."""
         df = self.df
         for name, v in values.items():
             df = df.withColumn(f"_{name}", F.sum(v).over(self._up_to_here()))
-        if self.sliced:
-            before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
-            border = self._border([F.sum(v).alias(f"_in_{n}") for n, v in values.items()])
-            border = border.select(
-                *self.key, SLICE, *[F.sum(f"_in_{n}").over(before).alias(f"_in_{n}") for n in values]
-            )
-            df = self._join_border(df, border)
-            for n in values:
-                df = df.withColumn(f"_{n}", F.coalesce(f"_{n}", F.lit(0)) + F.coalesce(f"_in_{n}", F.lit(0)))
-            df = df.drop(*[f"_in_{n}" for n in values])
+        before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
+        border = self._border([F.sum(v).alias(f"_in_{n}") for n, v in values.items()])
+        border = border.select(*self.parts, *[F.sum(f"_in_{n}").over(before).alias(f"_in_{n}") for n in values])
+        df = self._join_border(df, border)
         for n in values:
-            df = df.withColumn(n, F.coalesce(f"_{n}", F.lit(0))).drop(f"_{n}")
-        return self._with(df)
+            total = F.coalesce(f"_{n}", F.lit(0)) + F.coalesce(f"_in_{n}", F.lit(0))
+            df = df.withColumn(n, total).drop(f"_{n}", f"_in_{n}")
+        return self.with_rows(df)
 
     def filter(self, condition: Column) -> Timeline:
-        return self._with(self.df.filter(condition))
+        return self.with_rows(self.df.filter(condition))
+
+    def select(self, *columns: Column | str) -> Timeline:
+        """Other columns; key and order must be among them."""
+        return self.with_rows(self.df.select(*columns, SLICE, CUT))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(SLICE) if self.sliced else self.df
+        return self.df.drop(SLICE, CUT)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsebook.operators.passes import group_starts, in_order, key_at, record_batch
-from pulsebook.operators.timeline import SLICE, Timeline
+from pulsebook.operators.timeline import CUT, SLICE, Timeline
 
 FAILING = "failing"
 NEVER = "not"
@@ -57,29 +57,27 @@ def first_failing_steps(events: DataFrame, registry: DataFrame, polls: DataFrame
     asked = polls.select(key, time).distinct().select(key, time, F.lit(1).alias(_TURN), F.lit(True).alias(_POLL), *nothing)
     line = Timeline.of(about.unionByName(asked), key, time)
     order = [_TURN, time, _POLL, *LINE]
-    rows = line.df
-    if line.sliced:
-        rows = rows.unionByName(_at_borders(rows, [key], [time, *LINE]))
-    swept = Timeline(rows, line.key, order, line.sliced)
+    rows = line.df.drop(CUT).unionByName(_at_borders(line, [time, *LINE]))
+    swept = Timeline(rows, line.key, order, line.cuts)
     step = T.StructType().add("since", T.DateType()).add("position", listed.schema["position"].dataType).add("cell", cell.dataType)
     parts = line.parts
     out = T.StructType([swept.df.schema[c] for c in [*parts, time]]).add(FAILING, T.ArrayType(step))
     return in_order(swept).mapInArrow(_sweep(parts, time, out), out).drop(SLICE)
 
 
-def _at_borders(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+def _at_borders(line: Timeline, order: list[str]) -> DataFrame:
     """For each slice of a heavy key the stations that are off when it begins, as rows in front of it."""
+    heavy, key = line.heavy(), line.key
     station = [*key, "position", "cell"]
-    inside = rows.filter((F.col(SLICE) >= 0) & ~F.col(_POLL))
-    line = F.struct(*order)
-    last = inside.groupBy(*station, SLICE).agg(F.max_by(F.struct(*order, "off"), line).alias("_last"))
+    said = F.max_by(F.struct(*order, "off"), F.struct(*order))
+    last = heavy.filter(~F.col(_POLL)).groupBy(*station, SLICE).agg(said.alias("_last"))
     until = Window.partitionBy(*station).orderBy(SLICE)
-    ends = rows.filter(F.col(SLICE) >= 0).groupBy(*key).agg(F.max(SLICE).alias("_end"))
+    ends = heavy.groupBy(*key).agg(F.max(SLICE).alias("_end"))
     held = last.withColumn("_next", F.lead(SLICE).over(until)).filter("_last.off").join(ends, key)
     covers = F.sequence(F.col(SLICE) + 1, F.coalesce("_next", "_end"))
     spread = held.filter(F.col(SLICE) < F.col("_end")).withColumn(SLICE, F.explode(covers))
     said = {c: F.col(f"_last.{c}") for c in [*order, "off"]} | {_TURN: F.lit(0), _POLL: F.lit(False)}
-    return spread.select(*[said.get(c, F.col(c)).alias(c) for c in rows.columns])
+    return spread.select(*[said.get(c, F.col(c)).alias(c) for c in line.df.columns if c != CUT])
 
 
 class OpenStations:

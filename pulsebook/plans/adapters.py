@@ -125,8 +125,12 @@ def power_sites(spark, folder) -> DataFrame:
 
 
 def dehydrator(spark, folder) -> DataFrame:
+    return dehydrator_line(spark, folder).rows()
+
+
+def dehydrator_line(spark, folder) -> Timeline:
     """Five polls of an address make an hour; a busy one has more hours than a small integer holds."""
-    base = Timeline.of(polls_base(spark, folder), "ip", "time", "event_id").running(n=F.lit(1)).rows()
+    base = Timeline.of(polls_base(spark, folder), "ip", "time", "event_id").running(n=F.lit(1))
     t, k = F.col("t"), F.col("k")
 
     def small(c: Column) -> Column:

@@ -46,11 +46,15 @@ def hour_report(snapshots: DataFrame, registry: DataFrame, day: date, hours: tup
     return out.select("ip", "own", "location", *[f"{m}_{h}" for h in hours for m in ("sys", "akb")])
 
 
-def coloured_hour_report(report: DataFrame, hours: tuple[int, ...] = HOURS) -> DataFrame:
-    """The hour report with the class of every cell and the colour of the owner's run."""
+def coloured_hour_report(report: DataFrame, hours: tuple[int, ...] = HOURS, sites: DataFrame | None = None) -> DataFrame:
+    """The hour report with the class of every cell and the colour of the owner's run.
+
+    ``sites`` is the registry the report was made from; its addresses tell where to cut without the report.
+    """
     cells = [(f"{m}_{h}", f"temp_{m}") for h in hours for m in ("sys", "akb")]
     classes = {f"{c}_class": metric_band(c, metric) for c, metric in cells}
-    out = run_index(report.withColumns({**classes, "ip_order": ip_key("ip")}), "ip_order", "own")
+    like = None if sites is None else sites.select(ip_key("ip").alias("ip_order"))
+    out = run_index(report.withColumns({**classes, "ip_order": ip_key("ip")}), "ip_order", "own", like=like)
     return out.withColumn("run_colour", run_colour("run"))
 
 

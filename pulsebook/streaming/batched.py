@@ -173,7 +173,7 @@ def stream_latch_with_commands(stream: DataFrame, key, time: str, value: str, co
     return _run(
         stream.select(*_keys(key), time, tie, value, command), key, time, tie, path, sink,
         operator=lambda rows: latch_with_commands(
-            rows, key, time, value, command, on, off, vent, OFF, OFF, tie
+            rows, key, time, value, command, on=on, off=off, vent=vent, tie=tie
         ),
         seeds=seeds, remember=remember, late=late, delay=delay,
     )
@@ -217,8 +217,8 @@ def stream_watch(rows: DataFrame, registry: DataFrame, path: str, sink: Sink, de
             with held(pool, seen_events(pool, polls, key, time).select(*pool.columns)) as (all_events, read):
                 so_far = read if old is None else read.unionByName(old)
                 with held(first_failing_steps(so_far, registry, polls, key, time, position)) as seen:
-                    sink(escalate_watch(seen, key, time, patience, waits, watch_only, start), number)
-                    ended = final_states(seen, key, time, patience, waits, watch_only, start)
+                    sink(escalate_watch(seen, key, time, patience, waits, watch_only, start, polls), number)
+                    ended = final_states(seen, key, time, patience, waits, watch_only, start, polls)
                     states.merge(ended, number, lambda was, now: was.join(now.select(key), key, "left_anti").unionByName(now))
                 known.merge(read, number, lambda was, now: last_read(was.unionByName(now)))
                 last = polls.groupBy(key).agg(F.max(time).alias("_last"))

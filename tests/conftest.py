@@ -17,9 +17,7 @@ def spark():
 
 @pytest.fixture
 def split(spark):
-    """Make every frame count as large and every key above a few rows as heavy."""
-    spark.conf.set("pulsebook.split.bytes", "0")
+    """Cut every key about every second row."""
     spark.conf.set("pulsebook.split.rows", "7")
     yield
-    spark.conf.unset("pulsebook.split.bytes")
     spark.conf.unset("pulsebook.split.rows")

@@ -6,11 +6,12 @@ from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulsebook.operators import escalation, folds
 from pulsebook.operators.changes import changes, outages
-from pulsebook.operators.timeline import Timeline, find_heavy_keys
+from pulsebook.operators.timeline import Timeline
 
 T0 = datetime(2024, 1, 1)
 
@@ -49,17 +50,39 @@ def ops(df):
 
 def test_split_equals_plain(spark, frame):
     plain = {n: rows(d) for n, d in ops(frame).items()}
-    spark.conf.set("pulsebook.split.bytes", "0")
-    spark.conf.set("pulsebook.split.rows", "7")
-    try:
-        assert find_heavy_keys(frame, ["k"], "time", 7) is not None
-        assert Timeline.of(frame, "k", "time", "id").sliced
-        for name, df in ops(frame).items():
-            assert rows(df) == plain[name], name
-    finally:
-        spark.conf.unset("pulsebook.split.bytes")
-        spark.conf.unset("pulsebook.split.rows")
-    assert not Timeline.of(frame, "k", "time", "id").sliced
+    assert max(sizes(Timeline.of(frame, "k", "time", "id"))) > 100
+    for every in (7, 60):
+        spark.conf.set("pulsebook.split.rows", str(every))
+        try:
+            assert max(sizes(Timeline.of(frame, "k", "time", "id"))) < 10 * every
+            for name, df in ops(frame).items():
+                assert rows(df) == plain[name], name
+        finally:
+            spark.conf.unset("pulsebook.split.rows")
+
+
+def test_building_a_plan_runs_nothing(spark, split):
+    df = spark.range(100).select(F.raise_error(F.lit("read")).cast("int").alias("k"), "id", F.lit(1).alias("v"))
+    line = Timeline.of(df, "k", "id").previous("p", "v").following("n", "v").carry(c=F.col("v")).running(s=F.lit(1))
+    line.last("l", "v").rows()
+    folds.accept_within(df, "k", "id", "v")
+
+
+def test_cuts_are_bounded(spark, split, monkeypatch):
+    from pulsebook.operators import timeline
+
+    monkeypatch.setattr(timeline, "MOST_CUTS", 10)
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), "id")
+    line = Timeline.of(df, "k", "id")
+    assert line.cuts.select(F.explode("_cuts")).count() == 10
+    assert all(r["n"] == r["id"] // 3 + 1 for r in line.running(n=F.lit(1)).rows().collect())
+
+
+def test_cuts_of_another_frame(spark, split):
+    df = spark.range(1000).select(F.lit("k").alias("k"), "id")
+    line = Timeline.of(df, "k", "id", like=df.filter("id % 2 = 0"))
+    assert line.df.select("_slice").distinct().count() > 50
+    assert all(r["p"] == (r["id"] - 1 if r["id"] else None) for r in line.previous("q", "id").rows().select("id", F.col("q.id").alias("p")).collect())
 
 
 def sizes(line):
@@ -72,7 +95,7 @@ def test_one_time_is_cut_by_its_tie(spark, split):
         (F.col("id") % 7).alias("v"), (F.col("id") % 3 == 0).alias("up"),
     )
     line = Timeline.of(df, "k", "time", "id")
-    assert line.sliced and max(sizes(line)) <= 30
+    assert max(sizes(line)) <= 30
     got = {r["id"]: r["p"] and r["p"]["id"] for r in line.previous("p", "id").rows().collect()}
     assert got == {i: i - 1 if i else None for i in range(600)}
 
@@ -84,9 +107,9 @@ def test_every_heavy_key_is_cut(spark, split):
 
 
 def test_text_order(spark, split):
-    df = spark.range(500).select(F.lit(1).alias("k"), F.format_string("2024-%04d", "id").alias("time"), "id")
+    df = spark.range(500).select(F.lit(1).alias("k"), F.format_string("2024-01-01 00:00:%04d", "id").alias("time"), "id")
     line = Timeline.of(df, "k", "time", "id").previous("p", "id").running(n=F.lit(1))
-    assert line.sliced
+    assert max(sizes(line)) <= 30
     assert all(r["n"] == r["id"] + 1 and (r["p"] is None if not r["id"] else r["p"]["id"] == r["id"] - 1)
                for r in line.rows().collect())
 
@@ -96,10 +119,10 @@ def test_null_and_nan_positions(spark, split):
         [(1, None if i % 9 == 0 else float("nan") if i % 11 == 0 else float(i), i) for i in range(300)],
         "k int, time double, id int",
     )
-    sliced = Timeline.of(df, "k", "time", "id")
-    assert sliced.sliced
-    plain = Timeline(df, ["k"], ["time", "id"], False)
-    assert rows(sliced.previous("p", "id").rows().select("id", "p")) == rows(plain.previous("p", "id").rows().select("id", "p"))
+    line = Timeline.of(df, "k", "time", "id")
+    assert max(sizes(line)) <= 30
+    plain = F.lag(F.struct("id")).over(Window.partitionBy("k").orderBy("time", "id"))
+    assert rows(line.previous("p", "id").rows().select("id", "p")) == rows(df.select("id", plain.alias("p")))
 
 
 def test_plain_against_python(frame):
