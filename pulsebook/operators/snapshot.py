@@ -4,44 +4,57 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsebook.functions.timecols import col, ntz
+from pulsebook.operators.timeline import passed
 
+# Marks that a reading is compared with at a time.
+BLOCK = 512
 
-def next_mark(time: Column | str, marks: list[datetime]) -> Column:
-    """First mark at or after the time, null beyond the last."""
-    t = col(time)
-    out = F.lit(None).cast("timestamp_ntz")
-    for m in sorted(marks, reverse=True):
-        out = F.when(t <= ntz(m), ntz(m)).otherwise(out)
-    return out
 
+def numbered_marks(df: DataFrame, marks: list[datetime] | DataFrame) -> DataFrame:
+    """Marks in order, each once: ``mark``, ``_number`` from 0."""
+    if isinstance(marks, DataFrame):
+        table = marks.select(F.col(marks.columns[0]).alias("mark"))
+    else:
+        table = df.sparkSession.createDataFrame([(m,) for m in marks], "mark timestamp_ntz")
+    # One row per mark.
+    number = F.row_number().over(Window.orderBy("mark")) - 1
+    return table.dropna().distinct().select("mark", number.alias("_number"))
 
-def snapshot_asof(df: DataFrame, marks: list[datetime], key, time: str, values: list[str],
+
+def snapshot_asof(df: DataFrame, marks: list[datetime] | DataFrame, key, time: str, values: list[str],
                   tie: str | None = None) -> DataFrame:
-    """Per key and mark the last reading at or before the mark.
+    """Per key and mark the last reading at or before the mark; ``marks`` may be a frame of one column.
 
-    Readings are aggregated to one row per key and mark before the shuffle. Marks
-    without a reading of their own take the one before: each aggregated row is
-    repeated for the marks up to the next such row, so nothing is joined by range.
+    Marks are numbered in order, and a reading counts for the first one at or after it: its block by the blocks' last
+    marks, its place by those of the block. Readings are aggregated to one row per key and mark before the shuffle.
+    Marks without a reading of their own take the one before: each aggregated row is repeated for the numbers up to
+    that of the next such row. Joins are equalities with the marks; neither plan nor rows grow with them.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    marks = sorted(marks)
-    position = F.struct(time, tie) if tie else F.col(time)
-    per_mark = (
-        df.filter(F.col(time) <= ntz(marks[-1])).withColumn("mark", next_mark(time, marks))
-        .groupBy(*keys, "mark").agg(F.max_by(F.struct(F.col(time).alias("read_at"), *values), position).alias("_r"))
+    numbered = numbered_marks(df, marks)
+    blocks = numbered.groupBy(F.floor(F.col("_number") / BLOCK).cast("int").alias("_block")).agg(
+        F.sort_array(F.collect_list("mark")).alias("_marks")
     )
-    until = F.lead("mark").over(Window.partitionBy(*keys).orderBy("mark"))
-    schedule = F.array(*[ntz(m) for m in marks])
-    held = F.filter(
-        schedule, lambda m: (m >= F.col("mark")) & (F.col("_until").isNull() | (m < F.col("_until")))
+    ends = blocks.agg(F.sort_array(F.collect_list(F.array_max("_marks"))).alias("all")).scalar()
+    position = F.struct(time, tie) if tie else F.col(time)
+    row = F.struct(F.col(time).alias("read_at"), *values)
+    rows = df.filter(F.col(time).isNotNull()).select(
+        *keys, F.col(time).alias("_at"), position.alias("_position"), row.alias("_row"), ends.alias("_ends")
     )
-    return (
-        per_mark.withColumn("_until", until).withColumn("mark", F.explode(held))
-        .select(*keys, "mark", "_r.read_at", *[F.col(f"_r.{v}").alias(v) for v in values])
+    before = lambda m: m < F.col("_at")
+    blocked = rows.withColumn("_block", passed("_ends", before)).drop("_ends").join(blocks, "_block")
+    placed = blocked.withColumn("_mark", F.col("_block") * BLOCK + passed("_marks", before))
+    per_mark = placed.groupBy(*keys, "_mark").agg(F.max_by("_row", "_position").alias("_r"))
+    until = F.lead("_mark").over(Window.partitionBy(*keys).orderBy("_mark"))
+    total = numbered.agg(F.count("*")).scalar()
+    held = per_mark.withColumn("_until", until).withColumn("_total", total)
+    numbers = F.sequence(F.col("_mark"), (F.coalesce("_until", "_total") - 1).cast("int"))
+    repeated = held.select(*keys, "_r", F.explode(numbers).alias("_number"))
+    return repeated.join(numbered, "_number").select(
+        *keys, "mark", "_r.read_at", *[F.col(f"_r.{v}").alias(v) for v in values]
     )
 
 

@@ -21,6 +21,8 @@ cannot be cut. Nulls come first in the order, NaN last, as in a window.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,9 @@ from pulsebook.operators.sizing import rows_per_cut
 
 SLICE = "_slice"
 MOST_CUTS = 400_000
-# The cuts of a row's key, and how many they are; null for keys without any.
+# Cuts that a row is compared with lie in blocks, so that no row carries more than two short lists.
+BLOCK = 512
+# Some cuts of a row's key; and how many blocks of them there are, null for keys without any.
 _CUTS, CUT = "_cuts", "_cut"
 
 
@@ -42,24 +46,27 @@ def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left",
 
 
 def cuts_of(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Per key with any its cuts in order; at most ``MOST_CUTS`` in all."""
+    """At most ``MOST_CUTS`` cuts in blocks: key, ``_block`` (from 0), ``_cuts`` in order."""
     one_in = F.lit(rows_per_cut(df.sparkSession))
     some = df.select(*key, *order).withColumn("_hash", F.xxhash64(*key, *order)).filter(F.pmod("_hash", one_in) == 0)
     few = some.distinct().orderBy("_hash").limit(MOST_CUTS)
-    listed = few.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*order))).alias(_CUTS))
-    return listed.withColumn(CUT, F.size(_CUTS))
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1
+    block = F.floor(number / BLOCK).cast("int").alias("_block")
+    return few.select(*key, block, F.struct(*order).alias("_at")).groupBy(*key, "_block").agg(
+        F.sort_array(F.collect_list("_at")).alias(_CUTS)
+    )
 
 
-def _cuts_up_to(at: Column) -> Column:
-    """How many cuts of the row's key are not after it, by halving."""
-    cuts = F.col(_CUTS)
-    powers = F.sequence(F.floor(F.log2(F.size(cuts))).cast("int"), F.lit(0))
+def passed(array: str, test: Callable[[Column], Column]) -> Column:
+    """How many elements at the head of an array pass a test that no later one passes once one fails, by halving."""
+    items = F.col(array)
+    powers = F.sequence(F.floor(F.log2(F.size(items))).cast("int"), F.lit(0))
 
-    def step(passed: Column, power: Column) -> Column:
-        further = passed + F.call_function("shiftleft", F.lit(1), power)
-        return F.when(F.get(cuts, further - 1) <= at, further).otherwise(passed)
+    def step(so_far: Column, power: Column) -> Column:
+        further = so_far + F.call_function("shiftleft", F.lit(1), power)
+        return F.when(test(F.get(items, further - 1)), further).otherwise(so_far)
 
-    return F.aggregate(powers, F.lit(0), step)
+    return F.when(F.size(items) > 0, F.aggregate(powers, F.lit(0), step)).otherwise(0)
 
 
 class Timeline:
@@ -82,9 +89,17 @@ class Timeline:
                 return df
             df = df.rows()
         cuts = cuts_of(df if like is None else like, key, order)
-        number = F.when(F.col(_CUTS).isNull(), -1).otherwise(_cuts_up_to(F.struct(*order)))
-        placed = beside(df, cuts, key).select(*df.columns, number.cast("bigint").alias(SLICE), CUT)
-        return cls(placed, key, order, cuts)
+        first = F.struct("_block", F.get(_CUTS, F.lit(0)).alias("at"))
+        heads = cuts.groupBy(*key).agg(F.sort_array(F.collect_list(first)).alias("_first")).select(
+            *key, F.col("_first.at").alias("_heads"), F.size("_first").alias(CUT)
+        )
+        at = F.struct(*order)
+        block = (passed("_heads", lambda c: c <= at) - 1).alias("_block")
+        blocked = beside(df, heads, key).select(*df.columns, block, CUT)
+        found = beside(blocked, cuts, [*key, "_block"])
+        number = F.when(F.col(_CUTS).isNull(), 0).otherwise(F.col("_block") * BLOCK + passed(_CUTS, lambda c: c <= at))
+        number = F.when(F.col(CUT).isNull(), -1).otherwise(number).cast("bigint").alias(SLICE)
+        return cls(found.select(*df.columns, number, CUT), key, order, cuts)
 
     # -- windows ---------------------------------------------------------------
 

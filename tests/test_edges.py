@@ -252,3 +252,25 @@ def test_busy_address(spark, tmp_path):
     assert counts["w14_counter_transitions"] == 39_999
     # The first hour opens the history and is no change.
     assert counts["a7_hours_per_day"] == counts["a2_first_seen"] - 1 == 39_998
+
+
+def test_snapshot_at_very_many_marks(spark):
+    """A hundred thousand marks, as a table: the plan holds none of them."""
+    rows = [("a", T0 + timedelta(minutes=7 * i), i) for i in range(300)] + [("b", T0 + timedelta(minutes=1500), 1), ("c", None, 1)]
+    df = spark.createDataFrame(rows, "k string, time timestamp_ntz, v int")
+    first = F.lit(T0).cast("timestamp_ntz")
+    marks = spark.range(100_000).select(F.timestamp_add("SECOND", F.col("id") * 3, first).alias("at"))
+    out = snapshot.snapshot_asof(df, marks, "k", "time", ["v"])
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 60_000
+    found = out.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("v"), F.min("mark").alias("first")).collect()
+    want = {}
+    for k, ticks in (("a", [7 * 60 * i for i in range(300)]), ("b", [1500 * 60])):
+        start = -(-ticks[0] // 3)
+        values = [min((3 * m) // 420, 299) if k == "a" else 1 for m in range(start, 100_000)]
+        want[k] = (len(values), sum(values), T0 + timedelta(seconds=3 * start))
+    assert {r.k: (r.n, r.v, r["first"]) for r in found} == want
+
+
+def test_snapshot_without_marks(spark):
+    df = series(spark, [1, 2])
+    assert snapshot.snapshot_asof(df, [], "k", "time", ["v"]).count() == 0

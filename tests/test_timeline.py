@@ -78,6 +78,16 @@ def test_cuts_are_bounded(spark, split, monkeypatch):
     assert all(r["n"] == r["id"] // 3 + 1 for r in line.running(n=F.lit(1)).rows().collect())
 
 
+def test_cuts_in_many_blocks(spark, split, monkeypatch):
+    from pulsebook.operators import timeline
+
+    monkeypatch.setattr(timeline, "BLOCK", 3)
+    df = spark.range(900).select((F.col("id") % 2).alias("k"), "id")
+    line = Timeline.of(df, "k", "id")
+    assert max(sizes(line)) <= 30 and line.df.select("_slice").distinct().count() > 100
+    assert all(r["n"] == r["id"] // 2 + 1 for r in line.running(n=F.lit(1)).rows().collect())
+
+
 def test_cuts_of_another_frame(spark, split):
     df = spark.range(1000).select(F.lit("k").alias("k"), "id")
     line = Timeline.of(df, "k", "id", like=df.filter("id % 2 = 0"))
