@@ -21,8 +21,6 @@ cannot be cut. Nulls come first in the order, NaN last, as in a window.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +30,11 @@ SLICE = "_slice"
 MOST_CUTS = 400_000
 # Cuts that a row is compared with lie in blocks, so that no row carries more than two short lists.
 BLOCK = 512
-# Some cuts of a row's key; and how many blocks of them there are, null for keys without any.
-_CUTS, CUT = "_cuts", "_cut"
+# How many blocks of cuts a row's key has, null for keys without any.
+CUT = "_cut"
+UP_TO_HERE = " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+EVERYTHING = " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
 
 
 def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left", bounded: bool = True) -> DataFrame:
@@ -45,35 +46,46 @@ def beside(df: DataFrame, side: DataFrame, names: list[str], how: str = "left",
     return df.join(F.broadcast(renamed) if bounded else renamed, cond, how).drop(*[f"_side_{c}" for c in names])
 
 
-def cuts_of(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """At most ``MOST_CUTS`` cuts in blocks: key, ``_block`` (from 0), ``_cuts`` in order."""
-    one_in = F.lit(rows_per_cut(df.sparkSession))
-    some = df.select(*key, *order).withColumn("_hash", F.xxhash64(*key, *order)).filter(F.pmod("_hash", one_in) == 0)
-    few = some.distinct().orderBy("_hash").limit(MOST_CUTS)
-    number = F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1
-    block = F.floor(number / BLOCK).cast("int").alias("_block")
-    return few.select(*key, block, F.struct(*order).alias("_at")).groupBy(*key, "_block").agg(
-        F.sort_array(F.collect_list("_at")).alias(_CUTS)
-    )
+def q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
+def listed(names: list[str], of: str = "") -> str:
+    return ", ".join(of + q(n) for n in names)
 
-def passed(array: str, test: Callable[[Column], Column]) -> Column:
-    """How many elements at the head of an array pass a test that no later one passes once one fails, by halving."""
-    items = F.col(array)
-    powers = F.sequence(F.floor(F.log2(F.size(items))).cast("int"), F.lit(0))
 
-    def step(so_far: Column, power: Column) -> Column:
-        further = so_far + F.call_function("shiftleft", F.lit(1), power)
-        return F.when(test(F.get(items, further - 1)), further).otherwise(so_far)
+def same(names: list[str], left: str, right: str) -> str:
+    return " AND ".join(f"{left}.{q(n)} <=> {right}.{q(n)}" for n in names)
 
-    return F.when(F.size(items) > 0, F.aggregate(powers, F.lit(0), step)).otherwise(0)
+
+def passed(array: str, test: str) -> str:
+    """How many elements at the head of an array pass a test that no later one passes once one fails, by halving.
+
+    In SQL, as all plans of this module: one text is much faster to put together than as many calls. ``{}`` in the test
+    stands for the element.
+    """
+    return (
+        f"IF(size({array}) > 0, aggregate(sequence(CAST(floor(log2(size({array}))) AS INT), 0), 0, (so_far, power) -> "
+        f"IF({test.format(f'get({array}, so_far + shiftleft(1, power) - 1)')}, so_far + shiftleft(1, power), so_far)), 0)"
+    )
+
+
+def cuts_sql(key: list[str], order: list[str], rows: int) -> str:
+    """At most ``MOST_CUTS`` cuts of ``{like}``: in ``blocks`` by key and number of the block, and each key's ``heads``."""
+    k, o = listed(key), listed(order)
+    return f"""some AS (SELECT {k}, {o}, CAST((row_number() OVER (PARTITION BY {k} ORDER BY {o}) - 1) div {BLOCK} AS INT) AS _block
+      FROM (SELECT DISTINCT {k}, {o}, xxhash64({k}, {o}) AS _hash FROM {{like}} WHERE pmod(xxhash64({k}, {o}), {rows}) = 0
+        ORDER BY _hash LIMIT {MOST_CUTS})),
+    blocks AS (SELECT {k}, _block, sort_array(collect_list(struct({o}))) AS _cuts FROM some GROUP BY {k}, _block),
+    heads AS (SELECT {k}, sort_array(collect_list(struct(_block, get(_cuts, 0) AS at))).at AS _heads, CAST(count(*) AS INT) AS {CUT}
+      FROM blocks GROUP BY {k})"""
 
 
 class Timeline:
-    """One frame, its key, its order and its cuts; each method adds a column and returns a new one."""
+    """One frame, its key and its order; each method adds a column and returns a new one."""
 
-    def __init__(self, df: DataFrame, key: list[str], order: list[str], cuts: DataFrame) -> None:
-        self.df, self.key, self.order, self.cuts = df, key, order, cuts
+    def __init__(self, df: DataFrame, key: list[str], order: list[str]) -> None:
+        self.df, self.key, self.order = df, key, order
 
     @classmethod
     def of(cls, df: DataFrame | Timeline, key: str | list[str], time: str, tie: str | None = None,
@@ -88,18 +100,14 @@ class Timeline:
             if (df.key, df.order) == (key, order):
                 return df
             df = df.rows()
-        cuts = cuts_of(df if like is None else like, key, order)
-        first = F.struct("_block", F.get(_CUTS, F.lit(0)).alias("at"))
-        heads = cuts.groupBy(*key).agg(F.sort_array(F.collect_list(first)).alias("_first")).select(
-            *key, F.col("_first.at").alias("_heads"), F.size("_first").alias(CUT)
-        )
-        at = F.struct(*order)
-        block = (passed("_heads", lambda c: c <= at) - 1).alias("_block")
-        blocked = beside(df, heads, key).select(*df.columns, block, CUT)
-        found = beside(blocked, cuts, [*key, "_block"])
-        number = F.when(F.col(_CUTS).isNull(), 0).otherwise(F.col("_block") * BLOCK + passed(_CUTS, lambda c: c <= at))
-        number = F.when(F.col(CUT).isNull(), -1).otherwise(number).cast("bigint").alias(SLICE)
-        return cls(found.select(*df.columns, number, CUT), key, order, cuts)
+        own, at = listed(df.columns, "d."), f"struct({listed(order, 'd.')})"
+        text = f"""WITH {cuts_sql(key, order, rows_per_cut(df.sparkSession))},
+        d AS (SELECT /*+ BROADCAST(h) */ {own}, {passed("h._heads", "{} <= " + at)} - 1 AS _block, h.{CUT}
+          FROM {{df}} d LEFT JOIN heads h ON {same(key, "d", "h")})
+        SELECT /*+ BROADCAST(c) */ {own}, CAST(CASE WHEN d.{CUT} IS NULL THEN -1 WHEN c._cuts IS NULL THEN 0
+            ELSE d._block * {BLOCK} + {passed("c._cuts", "{} <= " + at)} END AS BIGINT) AS {SLICE}, d.{CUT}
+        FROM d LEFT JOIN blocks c ON {same(key, "d", "c")} AND d._block = c._block"""
+        return cls(df.sparkSession.sql(text, df=df, like=df if like is None else like), key, order)
 
     # -- windows ---------------------------------------------------------------
 
@@ -112,86 +120,88 @@ class Timeline:
         # A condition on the cuts goes down through the window, as one on the key would.
         return Window.partitionBy(*self.parts, CUT).orderBy(*self.order)
 
-    def _up_to_here(self):
-        return self.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def _position(self) -> Column:
-        return F.struct(*self.order)
-
     def with_rows(self, df: DataFrame) -> Timeline:
         """The same timeline with other rows or columns, which still hold key, order and slice."""
-        return Timeline(df, self.key, self.order, self.cuts)
+        return Timeline(df, self.key, self.order)
 
     def heavy(self) -> DataFrame:
         """The rows of keys that are cut; when there are no cuts that is known before any row is read."""
         return self.df.filter(F.col(CUT).isNotNull())
 
-    def _border(self, aggs: list[Column]) -> DataFrame:
-        """One row per slice of a heavy key: partial aggregation, then a tiny result."""
-        return self.heavy().groupBy(*self.parts).agg(*aggs)
-
-    def _join_border(self, df: DataFrame, border: DataFrame) -> DataFrame:
-        return beside(df, border, self.parts)
+    def _added(self, inside: dict[str, tuple], at_border: dict[str, str], across: dict[str, tuple], both: dict[str, str]) -> Timeline:
+        """Columns ``both``, in SQL, of ``inside`` a slice and of what comes ``across`` its border.
 
-    def _slices(self):
-        return Window.partitionBy(*self.key).orderBy(SLICE)
+        ``inside`` are window functions of the rows; ``at_border`` are aggregates of a slice of a heavy key, one row
+        each, and ``across`` window functions of these.
+        """
+        kept = listed([c for c in self.df.columns if c not in both], "d.")
+        group = listed(self.parts)
+        text = f"""SELECT /*+ BROADCAST(b) */ {kept}, {", ".join(f"{v} AS {q(n)}" for n, v in both.items())}
+        FROM (SELECT *, {", ".join(f"{v} OVER (PARTITION BY {group}, {CUT} ORDER BY {listed(self.order)}{w}) AS {n}"
+                         for n, (v, w) in inside.items())} FROM {{df}}) d
+        LEFT JOIN (SELECT {group}, {", ".join(f"{v} OVER (PARTITION BY {listed(self.key)} ORDER BY {SLICE}{w}) AS {n}"
+                                             for n, (v, w) in across.items())}
+          FROM (SELECT {group}, {", ".join(f"{v} AS {n}" for n, v in at_border.items())} FROM {{df}}
+            WHERE {CUT} IS NOT NULL GROUP BY {group})) b ON {same(self.parts, "d", "b")}"""
+        return self.with_rows(self.df.sparkSession.sql(text, df=self.df))
+
+    def _row(self, columns: tuple[str, ...]) -> str:
+        return f"struct({listed(list(columns))})"
+
+    def _place(self) -> str:
+        return f"struct({listed(self.order)})"
 
     # -- added columns ---------------------------------------------------------
 
     def previous(self, name: str, *columns: str) -> Timeline:
         """``name``: struct of the columns of the key's previous row, null on the first."""
-        row = F.struct(*columns)
-        border = self._border([F.max_by(row, self._position()).alias("_edge")])
-        border = border.withColumn("_edge", F.lag("_edge").over(self._slices()))
-        df = self._join_border(self.df.withColumn(name, F.lag(row).over(self.window())), border)
-        return self.with_rows(df.withColumn(name, F.coalesce(name, "_edge")).drop("_edge"))
+        row = self._row(columns)
+        return self._added(
+            {"_own": (f"lag({row})", "")}, {"_edge": f"max_by({row}, {self._place()})"}, {"_edge": ("lag(_edge)", "")},
+            {name: "coalesce(d._own, b._edge)"},
+        )
 
     def following(self, name: str, *columns: str) -> Timeline:
         """``name``: struct of the columns of the key's next row, null on the last."""
-        row = F.struct(*columns)
-        border = self._border([F.min_by(row, self._position()).alias("_edge")])
-        border = border.withColumn("_edge", F.lead("_edge").over(self._slices()))
-        df = self._join_border(self.df.withColumn(name, F.lead(row).over(self.window())), border)
-        return self.with_rows(df.withColumn(name, F.coalesce(name, "_edge")).drop("_edge"))
+        row = self._row(columns)
+        return self._added(
+            {"_own": (f"lead({row})", "")}, {"_edge": f"min_by({row}, {self._place()})"}, {"_edge": ("lead(_edge)", "")},
+            {name: "coalesce(d._own, b._edge)"},
+        )
 
     def last(self, name: str, *columns: str) -> Timeline:
         """``name``: struct of the columns of the key's last row."""
-        row = F.struct(*columns)
-        everything = Window.unboundedPreceding, Window.unboundedFollowing
-        border = self._border([F.max_by(row, self._position()).alias("_edge")])
-        border = border.withColumn("_edge", F.last("_edge").over(self._slices().rowsBetween(*everything)))
-        df = self.df.withColumn(name, F.last(row).over(self.window().rowsBetween(*everything)))
-        df = self._join_border(df, border)
-        return self.with_rows(df.withColumn(name, F.coalesce("_edge", name)).drop("_edge"))
+        row = self._row(columns)
+        return self._added(
+            {"_own": (f"last({row})", EVERYTHING)}, {"_edge": f"max_by({row}, {self._place()})"},
+            {"_edge": ("last(_edge)", EVERYTHING)}, {name: "coalesce(b._edge, d._own)"},
+        )
+
+    def _valued(self, values: dict[str, Column]) -> tuple[Timeline, dict[str, str]]:
+        """The values as columns of their own, by the names they are to have."""
+        names = {n: f"_of_{n}" for n in values}
+        return self.with_rows(self.df.select("*", *[v.alias(names[n]) for n, v in values.items()])), names
 
     def carry(self, **values: Column) -> Timeline:
         """Each value's last non-null up to and including the row."""
-        df = self.df
-        for name, v in values.items():
-            df = df.withColumn(f"_{name}", F.last(v, ignorenulls=True).over(self._up_to_here()))
-        seen = [F.max_by(v, F.when(v.isNotNull(), self._position())).alias(f"_in_{n}") for n, v in values.items()]
-        before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
-        border = self._border(seen).select(
-            *self.parts, *[F.last(f"_in_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in values]
+        line, names = self._valued(values)
+        at = {n: f"max_by({q(c)}, IF({q(c)} IS NOT NULL, {self._place()}, NULL))" for n, c in names.items()}
+        out = line._added(
+            {q(f"_own_{n}"): (f"last({q(c)}, true)", UP_TO_HERE) for n, c in names.items()}, {q(f"_in_{n}"): v for n, v in at.items()},
+            {q(f"_in_{n}"): (f"last({q(f'_in_{n}')}, true)", BEFORE) for n in names},
+            {n: f"coalesce(d.{q(f'_own_{n}')}, b.{q(f'_in_{n}')})" for n in names},
         )
-        df = self._join_border(df, border)
-        for n in values:
-            df = df.withColumn(n, F.coalesce(f"_{n}", f"_in_{n}")).drop(f"_{n}", f"_in_{n}")
-        return self.with_rows(df)
+        return out.with_rows(out.df.drop(*names.values()))
 
     def running(self, **values: Column) -> Timeline:
         """Each value's running sum up to and including the row."""
-        df = self.df
-        for name, v in values.items():
-            df = df.withColumn(f"_{name}", F.sum(v).over(self._up_to_here()))
-        before = self._slices().rowsBetween(Window.unboundedPreceding, -1)
-        border = self._border([F.sum(v).alias(f"_in_{n}") for n, v in values.items()])
-        border = border.select(*self.parts, *[F.sum(f"_in_{n}").over(before).alias(f"_in_{n}") for n in values])
-        df = self._join_border(df, border)
-        for n in values:
-            total = F.coalesce(f"_{n}", F.lit(0)) + F.coalesce(f"_in_{n}", F.lit(0))
-            df = df.withColumn(n, total).drop(f"_{n}", f"_in_{n}")
-        return self.with_rows(df)
+        line, names = self._valued(values)
+        out = line._added(
+            {q(f"_own_{n}"): (f"sum({q(c)})", UP_TO_HERE) for n, c in names.items()}, {q(f"_in_{n}"): f"sum({q(c)})" for n, c in names.items()},
+            {q(f"_in_{n}"): (f"sum({q(f'_in_{n}')})", BEFORE) for n in names},
+            {n: f"coalesce(d.{q(f'_own_{n}')}, 0) + coalesce(b.{q(f'_in_{n}')}, 0)" for n in names},
+        )
+        return out.with_rows(out.df.drop(*names.values()))
 
     def filter(self, condition: Column) -> Timeline:
         return self.with_rows(self.df.filter(condition))

@@ -58,7 +58,7 @@ def first_failing_steps(events: DataFrame, registry: DataFrame, polls: DataFrame
     line = Timeline.of(about.unionByName(asked), key, time)
     order = [_TURN, time, _POLL, *LINE]
     rows = line.df.drop(CUT).unionByName(_at_borders(line, [time, *LINE]))
-    swept = Timeline(rows, line.key, order, line.cuts)
+    swept = Timeline(rows, line.key, order)
     step = T.StructType().add("since", T.DateType()).add("position", listed.schema["position"].dataType).add("cell", cell.dataType)
     parts = line.parts
     out = T.StructType([swept.df.schema[c] for c in [*parts, time]]).add(FAILING, T.ArrayType(step))

@@ -74,7 +74,8 @@ def test_cuts_are_bounded(spark, split, monkeypatch):
     monkeypatch.setattr(timeline, "MOST_CUTS", 10)
     df = spark.range(3000).select((F.col("id") % 3).alias("k"), "id")
     line = Timeline.of(df, "k", "id")
-    assert line.cuts.select(F.explode("_cuts")).count() == 10
+    # Ten cuts and three keys; a cut at a key's first row leaves nothing before it.
+    assert 10 <= line.df.select("k", "_slice").distinct().count() <= 13
     assert all(r["n"] == r["id"] // 3 + 1 for r in line.running(n=F.lit(1)).rows().collect())
 
 
