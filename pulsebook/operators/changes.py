@@ -44,12 +44,12 @@ def changes_within(
     Spikes are kept as predecessors, so the way back from one is rejected too.
     Rows matching ``exempt`` skip the limit.
     """
-    out = _previous(df, key, time, tie, [value])
+    # Worked out on the given frame, whose own columns the condition may name.
+    marked = df.withColumn("_free", F.lit(False) if exempt is None else exempt)
+    out = _previous(marked, key, time, tie, [value])
     old = F.col(f"{PREV}.{value}")
-    small = within(value, old, limit)
-    if exempt is not None:
-        small = small | exempt
-    return out.filter(F.col(PREV).isNotNull() & differs(value, old) & small).drop(PREV)
+    small = within(value, old, limit) | F.col("_free")
+    return out.filter(F.col(PREV).isNotNull() & differs(value, old) & small).drop(PREV, "_free")
 
 
 def carry_forward(df: DataFrame, key, time: str, value: str, tie: str | None = None) -> DataFrame:
