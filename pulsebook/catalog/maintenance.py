@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from pulsebook.catalog import query
+from pulsebook.catalog import query, split_form
 from pulsebook.functions.timecols import recent
 from pulsebook.operators import cells, changes, current
 from pulsebook.plans import adapters as a
@@ -279,6 +279,16 @@ def a6(spark, d):
     return current.failing_list(a5(spark, d), "controller")
 
 
+@query("a6_failing_parts", "cell_status", """SELECT controller, part, string_agg(concat('БС№', cell, '=off.'), ' ' ORDER BY cell)
+    AS failing FROM (SELECT *, (row_number() OVER (PARTITION BY controller ORDER BY cell) - 1) // 50 AS part FROM cell_status
+    WHERE status = 'off') GROUP BY controller, part""")
+def a6_parts(spark, d):
+    return current.failing_parts(a5(spark, d), "controller", 50)
+
+
+split_form("a6_failing_parts")
+
+
 @query("a10_daily_counts", "ping_changes",
        "SELECT ip, CAST(time AS DATE) AS day, count(*) AS events FROM ping_changes GROUP BY ALL")
 def a10(spark, d):

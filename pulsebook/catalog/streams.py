@@ -12,8 +12,9 @@ from pulsebook.functions.values import state_word
 from pulsebook.plans import adapters as a
 from pulsebook.session import work_folder
 from pulsebook.sources import sinks
+from pulsebook.sources.logs import write_cell_log
 from pulsebook.streaming import batched, tables
-from pulsebook.streaming.sources import run_stream, stream_table
+from pulsebook.streaming.sources import run_stream, stream_cell_log, stream_table
 
 TIE = "event_id"
 CUTS = [None, datetime(2024, 1, 11), datetime(2024, 1, 21), None]
@@ -206,6 +207,18 @@ def x5(spark, d):
     return tables.CurrentTable(spark, f"{folder}/table").read()
 
 
+@query("x5_stream_cell_log", "cell_events", """SELECT controller, CAST(cell AS VARCHAR) AS cell,
+    arg_max(log_date, line_no) AS log_date, arg_max(event, line_no) AS event FROM cell_events GROUP BY controller, cell""")
+def x5_text(spark, d):
+    """The same from text files: a stretch's lines land as new files of their controllers' days."""
+    folder = work_folder(spark, "stream")
+    for part in parts_of(a.cell_log(spark, d), "time"):
+        write_cell_log(part, f"{folder}/landed", "line_no", whole=True)
+        stream = stream_cell_log(spark, f"{folder}/landed/*/*.log")
+        run_stream(tables.stream_cell_events(stream, f"{folder}/table"), f"{folder}/checkpoint")
+    return tables.CurrentTable(spark, f"{folder}/table").read().select("controller", "cell", "log_date", "event")
+
+
 @query(
     "x6_late_rows", "ping",
     """WITH taken AS (SELECT * FROM ping WHERE NOT (time >= TIMESTAMP '2024-01-11' AND time < TIMESTAMP '2024-01-21'

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from pulsebook.catalog import query
 from pulsebook.functions.timecols import dotted_date, clock, file_day, stamp
+from pulsebook.operators import cells
 from pulsebook.plans import adapters as a
+from pulsebook.session import work_folder
 from pulsebook.sources import logs, registries, replies
 
 TIE = "event_id"
@@ -40,6 +42,23 @@ def s3(spark, d):
     return logs.with_log_place(files, "path").select("controller", "log_date", "line_no", "line")
 
 
+def landed_log(spark, d):
+    """The controllers' logs as text files."""
+    folder = work_folder(spark, "cell-logs")
+    logs.write_cell_log(a.cell_log(spark, d), folder, "line_no")
+    return logs.read_cell_log(spark, f"{folder}/*/*.log")
+
+
+@query("s3_read_cell_log", "cell_log", "SELECT controller, log_date, line FROM cell_log")
+def s3_read(spark, d):
+    return landed_log(spark, d).drop("line_no")
+
+
+@query("a5_status_from_text", "cell_status", "SELECT * FROM cell_status")
+def a5_text(spark, d):
+    return cells.cell_status(landed_log(spark, d), a.cell_registry(spark, d))
+
+
 def transcripts(base):
     """Device replies: no hours line on signup, no summary line on purchase, two spacings."""
     end = F.lit(replies.ESCAPE)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsebook.functions.timecols import HOT_DAYS, recent
+from pulsebook.operators.timeline import Timeline
 
 
 def _list(key) -> list[str]:
@@ -104,6 +105,21 @@ def daily_counts(events: DataFrame, key, time: str) -> DataFrame:
     return events.groupBy(*_list(key), F.to_date(time).alias("day")).agg(F.count(F.lit(1)).alias("events"))
 
 
+def failing_parts(status: DataFrame, key, size: int, cell: str = "cell", state: str = "status") -> DataFrame:
+    """The failing cells of each key as lines of at most ``size`` cells, numbered from 0, in cell order.
+
+    Cells are counted along the cut key, so neither a task nor a line holds all cells of a key.
+    """
+    off = status.filter(F.col(state) == "off").select(*_list(key), cell, state)
+    counted = Timeline.of(off, key, cell).running(_n=F.lit(1)).rows()
+    part = F.concat(F.lit("БС№"), F.col(cell).cast("string"), F.lit("="), F.col(state), F.lit("."))
+    return (
+        counted.groupBy(*_list(key), F.floor((F.col("_n") - 1) / size).alias("part"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col(cell), part.alias("text")))).alias("_p"))
+        .select(*_list(key), "part", F.array_join("_p.text", " ").alias("failing"))
+    )
+
+
 def failing_list(status: DataFrame, key, cell: str = "cell", state: str = "status") -> DataFrame:
     """The failing cells of each key as one line of text, in cell order.
 

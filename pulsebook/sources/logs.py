@@ -22,12 +22,29 @@ VENT_ON_WORD = "включена"
 
 
 def with_log_place(lines: DataFrame, path: str) -> DataFrame:
-    """Controller from the folder and day from the file name ``yyMMdd.log``."""
-    return lines.withColumn("controller", F.regexp_extract(path, r"([^/]+)/[^/]*$", 1)).withColumn(
-        "log_date", parse_file_day(F.regexp_extract(path, r"(\d{6})\.log$", 1))
+    """Controller from the folder and day from the name ``yyMMdd.log`` of a file, or of a folder of its parts."""
+    log = F.regexp_replace(path, r"(\.log)/[^/]*$", "$1")
+    return lines.withColumn("controller", F.regexp_extract(log, r"([^/=]+)/[^/]*$", 1)).withColumn(
+        "log_date", parse_file_day(F.regexp_extract(log, r"(\d{6})\.log$", 1))
     )
 
 
+def write_cell_log(lines: DataFrame, path: str, order: str, whole: bool = False) -> None:
+    """Land lines as text, a folder ``<controller>/<yyMMdd>.log`` of parts for each controller and day.
+
+    The parts of a day follow each other by name. With ``whole`` a day is one file, for streams, which order files
+    by the time they landed. Lines without a controller or day land under an empty name.
+    """
+    named = lines.select(
+        F.coalesce("controller", F.lit("")).alias("controller"),
+        F.concat(F.coalesce(F.date_format("log_date", "yyMMdd"), F.lit("")), F.lit(".log")).alias("log"), order, "line",
+    )
+    spread = named.repartition("controller", "log") if whole else named.repartitionByRange("controller", "log", order)
+    spread.sortWithinPartitions("controller", "log", order).select("controller", "log", "line").write.mode("append").partitionBy(
+        "controller", "log"
+    ).text(path)
+
+
 def in_line_order(lines: DataFrame) -> DataFrame:
     """``line_no`` from the file block a line was read from and its place in that block.
 
@@ -40,12 +57,13 @@ def in_line_order(lines: DataFrame) -> DataFrame:
 def read_cell_log(spark: SparkSession, path: str) -> DataFrame:
     """Daily controller logs, one row per line, in an order that needs no whole file per row.
 
-    ``line_no`` grows within a file and is not dense: the start of the file block the
-    line was read from, then the line's place in that block. Large logs stay split
+    ``line_no`` grows within a log and is not dense: the file and the start of the file block
+    the line was read from, then the line's place in that block. Large logs stay split
     over tasks.
     """
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")).alias("block"),
     )
     return with_log_place(in_line_order(lines), "path").select(
         "controller", "log_date", "line_no", F.col("value").alias("line")

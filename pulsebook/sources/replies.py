@@ -31,25 +31,27 @@ SENSOR_OFFSET = -1
 PAGE_TEMPERATURE = r'\{"temperature":\{"air":\{"C":(-?[0-9]+)'
 
 
-def line_with(lines: str, word: str) -> Column:
+def line_with(text: Column, word: str) -> Column:
     """First line holding the word, null when none does."""
-    return F.get(F.filter(lines, lambda line: line.contains(word)), F.lit(0))
+    at = F.instr(text, word)
+    before = F.substring_index(F.substr(text, F.lit(1), at - 1), "\n", -1)
+    return F.when(at > 0, F.concat(before, F.substring_index(F.substr(text, at), "\n", 1)))
 
 
 def extract_dehydrator(df: DataFrame, text: str = "reply") -> DataFrame:
     """Five measures and six alarms of a reply; rows without hours are left out.
 
-    The reply is cut into lines once, so that patterns run over one short line and not
-    the reply. An alarm without its line counts as raised.
+    A line is found by its word, so that patterns run over one short line and not the reply,
+    and no list of lines is made. An alarm without its line counts as raised.
     """
-    lines = df.withColumn("_lines", F.split(F.replace(F.col(text), F.lit(ESCAPE), F.lit("\n")), "\n"))
+    lines = F.translate(F.col(text), ESCAPE, "\n")
     found = {}
     for name, (word, form) in MEASURES.items():
-        number = F.regexp_extract(line_with("_lines", word), form, 1).try_cast("decimal(10,3)")
+        number = F.regexp_extract(line_with(lines, word), form, 1).try_cast("decimal(10,3)")
         found[name] = tenths(number) if name in IN_TENTHS else F.round(number).cast("smallint")
     for name, word in ALARMS.items():
-        found[name] = alarm_raised(F.substring_index(line_with("_lines", word), "=", -1))
-    return lines.withColumns(found).filter(F.col("c_life").isNotNull()).drop("_lines")
+        found[name] = alarm_raised(F.substring_index(line_with(lines, word), "=", -1))
+    return df.withColumns(found).filter(F.col("c_life").isNotNull())
 
 
 def extract_snmp(df: DataFrame, key: list[str], metric: str, line: str, metrics: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsebook.functions.timecols import HOT_DAYS
 from pulsebook.operators.current import retain
@@ -25,10 +26,13 @@ def journal(changes: DataFrame, hot_path: str, archive_path: str, time: str, run
     """The same changes into the hot journal and the archive, by day.
 
     ``run`` names the batch: writing it again replaces what it wrote before, so a
-    repeated batch changes nothing.
+    repeated batch changes nothing. The changes are worked out once, for the archive;
+    the hot journal takes what the archive holds of the batch.
     """
-    _append_by_day(changes, hot_path, time, run)
     _append_by_day(changes, archive_path, time, run)
+    placed = T.StructType([*changes.schema, T.StructField(DAY, T.DateType()), T.StructField("run", T.StringType())])
+    landed = changes.sparkSession.read.schema(placed).parquet(archive_path).filter(F.col("run") == run)
+    _append_by_day(landed.drop(DAY, "run"), hot_path, time, run)
 
 
 def read_journal(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

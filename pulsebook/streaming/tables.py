@@ -195,11 +195,7 @@ def journal_sink(hot_path: str, archive_path: str, time: str) -> Callable[[DataF
     """Write a batch's changes into both journals, once however often it is run."""
 
     def write(batch: DataFrame, number: int) -> None:
-        kept = batch.persist()
-        try:
-            journal(kept, hot_path, archive_path, time, f"batch-{number}")
-        finally:
-            kept.unpersist()
+        journal(batch, hot_path, archive_path, time, f"batch-{number}")
 
     return write
 

@@ -131,3 +131,45 @@ def test_log_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert step("240101.log", "cell 1  off\ncell 2  off\ncell 2  on\n") == {"1": "off", "2": "on"}
     assert step("b-240101.log", "noise\ncell 3  off\n") == {"1": "off", "2": "on", "3": "off"}
     assert step("240102.log", "cell 1  on\n") == {"1": "on", "2": "on", "3": "off"}
+
+
+def test_logs_as_text_keep_the_order_of_lines(spark, tmp_path):
+    rows = [(f"ks{i % 2}", date(2024, 1, 1 + i % 3), i, f"cell {i % 5}  {'off' if i % 7 % 2 else 'on'}") for i in range(900)] + [(None, None, 7, "link ok")]
+    lines = spark.createDataFrame(rows, "controller string, log_date date, n long, line string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        logs.write_cell_log(lines, str(tmp_path / "parts"), "n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = logs.read_cell_log(spark, f"{tmp_path}/parts/*/*.log")
+    assert back.select("line_no.block.path").distinct().count() > 7  # some days are in several parts
+    for c, d in {(r[0], r[1]) for r in rows[:-1]}:
+        got = back.filter((F.col("controller") == c) & (F.col("log_date") == d)).orderBy("line_no").collect()
+        assert [r.line for r in got] == [r[3] for r in rows if r[:2] == (c, d)]
+    logs.write_cell_log(lines, str(tmp_path / "whole"), "n", whole=True)
+    whole = logs.read_cell_log(spark, f"{tmp_path}/whole/*/*.log")
+    assert whole.count() == 901 and whole.select("line_no.block.path").distinct().count() == 7
+
+
+def test_line_with_a_word(spark):
+    text = "one a\ntwo b\ntwo a\n\nlast"
+    words = ["a", "two", "two a", "last", "none", "one"]
+    df = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(*[replies.line_with(F.col("t"), w).alias(w) for w in words])
+    assert [tuple(r) for r in df.collect()] == [("one a", "two b", "two a", "last", None, "one a"), (None,) * 6, (None,) * 6]
+
+
+def test_journals_work_changes_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(1, T0), (2, datetime(2024, 1, 2))], "k long, time timestamp_ntz").mapInArrow(count, "k long, time timestamp_ntz")
+    sinks.journal(df, str(tmp_path / "hot"), str(tmp_path / "all"), "time", "1")
+    assert seen.value == 2
+    for name in ("hot", "all"):
+        assert sorted(r.k for r in sinks.read_journal(spark, str(tmp_path / name), ["k"]).collect()) == [1, 2]
+    sinks.journal(df.limit(0), str(tmp_path / "hot"), str(tmp_path / "all"), "time", "2")
+    assert sinks.read_journal(spark, str(tmp_path / "hot"), ["k"]).count() == 2
