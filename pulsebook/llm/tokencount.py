@@ -12,6 +12,7 @@ the line separator, so the files commit like any other table's and live in any s
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,9 @@ from pulsebook.session import work_folder
 KIND, END = ">u2", 50304
 BLOCK_BYTES = 1 << 20
 FILE_ROWS = 8192
+# Texts up to so many bytes go into files of at most so many documents, longer ones into files of their own: an id takes
+# two bytes and stands for one byte of text at least, so files stay below 128 MB but for a single text beyond that.
+SIZES = ((1 << 13, FILE_ROWS), (1 << 19, 128), (None, 1))
 
 
 def _encoded(kind: str, files: tuple[str, ...]):
@@ -72,7 +76,7 @@ def scan(spark: SparkSession, path: str, kind: str = KIND, end: int = END, block
     """``file``, ``number`` (of the document in its file, from 0), ``start``, ``n_tokens``, from flat token files.
 
     The end id is not counted. Ids after a file's last end id are no document. Files are in any store that Spark reads;
-    one is read by one task, so they should be of moderate size.
+    one is read by one task and must be below 2 GiB, as ``counted`` makes them.
     """
     width = np.dtype(kind).itemsize
     if block_bytes % width:
@@ -102,15 +106,25 @@ def counted(df: DataFrame, key: str = "doc_id", text: str = "text", file_rows: i
 
     Flat files hold no keys, so a document is known by its file and its number there. ``df`` must be read from files
     without a shuffle, which deals rows the same way every time; a count that finds no row, or a row no count, is an
-    error. Null and empty texts have 0 tokens; repeated rows and null keys are rows of their own; an empty
-    table gives an empty result; other columns are ignored.
+    error. Null and empty texts have 0 tokens; very long texts have files of their own (``SIZES``), which bounds a file's
+    bytes whatever the texts are; repeated rows and null keys are rows of their own; an empty table gives an empty result;
+    other columns are ignored, whatever their names.
     """
+    size, least, parts = F.coalesce(F.octet_length(F.col(text)), F.lit(0)), -1, []
+    for most, rows in SIZES:
+        within = size > least if most is None else size.between(least + 1, most)
+        parts.append(_counted(df.where(within).select(F.col(key).alias("key"), F.col(text).alias("text")), min(rows, file_rows)))
+        least = most
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _counted(df: DataFrame, file_rows: int) -> DataFrame:
     spark = df.sparkSession
     path = work_folder(spark, "flat-tokens")
-    write_flat(df, path, text, file_rows=file_rows)
+    write_flat(df, path, file_rows=file_rows)
     # Rows of a task are numbered as the writer meets them; every ``file_rows`` rows it begins a new file.
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    rows = df.select(F.col(key).alias("key"), F.spark_partition_id().alias("part"), number.alias("number"), F.lit(True).alias("row"))
+    rows = df.select("key", F.spark_partition_id().alias("part"), number.alias("number"), F.lit(True).alias("row"))
     name = F.regexp_extract("file", r"^part-(\d+)-.*-c(\d+)", 1), F.regexp_extract("file", r"^part-(\d+)-.*-c(\d+)", 2)
     found = scan(spark, path).select(
         name[0].cast("int").alias("part"), (F.col("number") + name[1].cast("long") * file_rows).alias("number"), "n_tokens"

@@ -315,3 +315,15 @@ def test_stages_keep_columns(spark, docs, nothing, tmp_path):
             path = str(tmp_path / f"{name}{i}")
             out.write.parquet(path)
             frame = spark.read.schema(frame.schema).parquet(path)
+
+
+def test_tokens_of_texts_of_all_sizes(spark, tmp_path):
+    rng = random.Random(5)
+    texts = ["", None, "a b", *("".join(rng.choices("abc de\n", k=k)) for k in (20, 8192, 8193, 40_000, 1 << 19, (1 << 19) + 1, 700_000)), "a b"]
+    path = str(tmp_path / "documents.parquet")
+    rows = [(i if i else None, t, "x", 3) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, file string, number int").repartition(3).write.parquet(path)
+    encode = packing.encoder(*packing.public_files()).slow
+    want = Counter((i if i else None, len(encode.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts))
+    assert Counter(map(tuple, tokencount.counted(spark.read.parquet(path)).collect())) == want
+    assert tokencount.counted(spark.read.parquet(path).limit(0)).count() == 0
