@@ -154,7 +154,7 @@ def test_logs_as_text_keep_the_order_of_lines(spark, tmp_path):
 def test_line_with_a_word(spark):
     text = "one a\ntwo b\ntwo a\n\nlast"
     words = ["a", "two", "two a", "last", "none", "one"]
-    df = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(*[replies.line_with(F.col("t"), w).alias(w) for w in words])
+    df = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(*[replies.line_with(F.split("t", "\n"), w).alias(w) for w in words])
     assert [tuple(r) for r in df.collect()] == [("one a", "two b", "two a", "last", None, "one a"), (None,) * 6, (None,) * 6]
 
 
