@@ -327,3 +327,34 @@ def test_tokens_of_texts_of_all_sizes(spark, tmp_path):
     want = Counter((i if i else None, len(encode.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts))
     assert Counter(map(tuple, tokencount.counted(spark.read.parquet(path)).collect())) == want
     assert tokencount.counted(spark.read.parquet(path).limit(0)).count() == 0
+
+
+def test_phases_against_a_slot_by_slot_scheduler():
+    """Every phase, slot by slot: the released block that is due first; all blocks of all phases, once each."""
+    rng = random.Random(8)
+    for _ in range(60):
+        names = [f"s{i}" for i in range(rng.randint(1, 6))]
+        blocks, weights = {n: rng.randint(0, 60) for n in names}, {n: rng.choice([0.2, 1, 1, 3, 7.5]) for n in names}
+        cycle = rng.choice([8, 10, 25])
+        plan = mixing.phases(blocks, weights, cycle)
+        taken, placed = {}, Counter()
+        for start in sorted({p["start"] for p in plan}):
+            own = [p for p in plan if p["start"] == start]
+            size, slots = own[0]["cycle"], {p["source"]: len(p["places"]) for p in own}
+            done, order = Counter(), []
+            for t in range(size):
+                ready = [n for n in slots if done[n] < slots[n] and done[n] * size // slots[n] <= t]
+                n = min(ready, key=lambda n: (-(-(done[n] + 1) * size // slots[n]), n))
+                done[n] += 1
+                order.append(n)
+                assert all(abs(done[m] - slots[m] * (t + 1) / size) < 1 for m in slots)
+            for p in own:
+                assert p["first"] == placed[p["source"]]
+                mine = [t for t, n in enumerate(order) if n == p["source"]]
+                for j in range(p["last"] - p["first"]):
+                    slot = start + j // len(mine) * size + mine[j % len(mine)]
+                    assert slot == start + j // len(p["places"]) * size + p["places"][j % len(p["places"])]
+                    assert slot not in taken
+                    taken[slot] = p["source"]
+                placed[p["source"]] = p["last"]
+        assert placed == Counter({n: b for n, b in blocks.items() if b})
