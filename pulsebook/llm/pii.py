@@ -10,6 +10,10 @@ when PMI reaches ``share`` of IC; at a share of 1 it would have to occur with th
 elsewhere do not hide it. Pairs found in fewer than ``support`` different texts tell nothing, since in one text any rare
 word occurs with one entity only. In the documents that hold the entity every occurrence of a telling term is sanitised.
 
+Entities that the same rows hold tell and are told alike, and so are terms: both are put into classes by prints of 128
+bits of their sets of rows, and what is paired in a row is its classes. A long list of addresses that two texts share,
+and all words that only these two have, are one pair.
+
 Everything is DataFrame functions; all frequencies are counted over all documents.
 """
 
@@ -98,6 +102,21 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def _prints() -> list[Column]:
+    """Two prints of the set of rows of a group; rows differ, so that equal sets alone have equal prints."""
+    return [F.bit_xor(F.xxhash64("row", F.lit(i))).alias(name) for i, name in enumerate(("first", "second"))]
+
+
+def _prints_of_prints() -> list[Column]:
+    return [F.bit_xor(name).alias(name) for name in ("first", "second")]
+
+
+def _tells(n_both: Column, share: float) -> Column:
+    """Whether PMI reaches its share of the entity's information."""
+    n_all, n_entity = F.col("n_all"), F.col("n_entity")
+    return F.log(n_all * n_both / (F.col("n_term") * n_entity)) >= share * F.log(n_all / n_entity) - 1e-9
+
+
 def detect(
     df: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, share: float = SHARE,
 ) -> tuple[DataFrame, DataFrame]:
@@ -124,28 +143,37 @@ def detect(
     # One row.
     n_all = found.agg(F.count("*").alias("n_all"))
     # What a pair of n_both = n_entity and support documents can't reach, no pair does.
-    entities = holders.groupBy("entity", "same").agg(F.count("*").alias("n")).groupBy("entity").agg(
-        F.sum("n").alias("n_entity"), F.count("*").alias("texts")
+    entities = holders.groupBy("entity", "same").agg(F.count("*").alias("n"), *_prints()).groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count("*").alias("texts"), *_prints_of_prints()
     ).where(F.col("texts") >= support).crossJoin(F.broadcast(n_all)).select(
-        "entity", "n_entity", (F.pow("n_entity", F.lit(share)) * F.pow("n_all", F.lit(1 - share)) * (1 + 1e-9)).alias("most")
+        "entity", F.struct("n_entity", "first", "second").alias("entities"), "n_entity", "n_all",
+        (F.pow("n_entity", F.lit(share)) * F.pow("n_all", F.lit(1 - share)) * (1 + 1e-9)).alias("most"),
     )
-    holders = stage(holders.join(entities, "entity"), "holders")
+    holders = stage(holders.join(entities, "entity").select("row", "same", "entities", "n_entity", "n_all", "most").distinct(), "holders")
     most = holders.agg(F.max("most").alias("limit"))
     # Counted in the tasks that read the texts; one row per task and different word moves.
     n_term = rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     rare = n_term.join(F.broadcast(most), (F.col("n_term") >= support) & (F.col("n_term") <= F.col("limit"))).select("term", "n_term")
     held = found.join(holders.select("row").distinct(), "row", "left_semi").select("row", F.explode(_terms(F.col("text"))).alias("term"))
-    pairs = stage(held.join(rare, "term").join(holders, "row").where("n_term <= most").select("row", "same", "entity", "n_entity", "term", "n_term"), "pairs")
+    held = stage(held.join(rare, "term"), "held")
+    alike = held.groupBy("term", "n_term").agg(F.count("*").alias("n_held"), *_prints()).where(F.col("n_held") >= support).select(
+        "term", "n_held", F.struct("n_term", "first", "second").alias("terms")
+    )
+    named = stage(held.join(alike, "term").select("row", "term", "terms", "n_term", "n_held"), "named")
+    pairs = stage(
+        named.select("row", "terms", "n_term", "n_held").distinct().join(holders, "row")
+        .where((F.col("n_term") <= F.col("most")) & _tells(F.least("n_held", "n_entity"), share))
+        .select("row", "same", "entities", "n_entity", "n_all", "terms", "n_term"),
+        "pairs",
+    )
     telling = (
-        pairs.groupBy("entity", "term", "same").agg(F.count("*").alias("n"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term"))
-        .groupBy("entity", "term").agg(
-            F.sum("n").alias("n_both"), F.count("*").alias("texts"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
-        ).where(F.col("texts") >= support).crossJoin(F.broadcast(n_all)).where(
-            F.log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-            >= share * F.log(F.col("n_all") / F.col("n_entity")) - 1e-9
-        )
+        pairs.groupBy("entities", "terms", "same").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("n_entity", "n_all", "n_term")))
+        .groupBy("entities", "terms").agg(
+            F.sum("n").alias("n_both"), F.count("*").alias("texts"), *(F.first(c).alias(c) for c in ("n_entity", "n_all", "n_term"))
+        ).where((F.col("texts") >= support) & _tells(F.col("n_both"), share))
     )
-    marks = stage(pairs.join(telling.select("entity", "term"), ["entity", "term"], "left_semi").select("row", "term").distinct(), "marks")
+    told = pairs.join(telling.select("entities", "terms"), ["entities", "terms"], "left_semi").select("row", "terms").distinct()
+    marks = stage(named.join(told, ["row", "terms"], "left_semi").select("row", "term"), "marks")
     values, gaps = _found(F.col("text"), TERM)
     words = found.join(marks.select("row").distinct(), "row", "left_semi").select("row", F.posexplode(F.arrays_zip(values.alias("value"), gaps.alias("gap"))).alias("i", "w"))
     places = _placed(words.select("row", "i", "w.*"), ["row"]).withColumn("term", F.lower("value")).join(marks, ["row", "term"], "left_semi")
