@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsebook.session import work_folder
 
@@ -51,6 +52,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def identified(df: DataFrame, name: str = "numbered") -> DataFrame:
+    """The rows as ``row``, with an ``id`` that is the same in every evaluation.
+
+    A row of a file is known by file and number; rows that come from elsewhere are written first.
+    """
+    packed = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+    try:
+        return df.select(packed, F.struct("_metadata.file_path", "_metadata.row_index").alias("id"))
+    except AnalysisException:
+        written = stage(df.select(packed), name)
+        return written.select("row", F.struct("_metadata.file_path", "_metadata.row_index").alias("id"))
+
+
 def discard(spark: SparkSession, paths: list[str]) -> None:
     """Remove staged tables that nothing reads any more."""
     for p in paths:

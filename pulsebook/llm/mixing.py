@@ -10,8 +10,9 @@ others go on with their weights scaled up, by a schedule of their own; so there
 source, and every document gets a place.
 
 The number of a document within its source is the sum over earlier buckets of documents plus its number in its
-bucket, buckets being hashes of the id; so a source with a third of all rows is numbered by many tasks. The order
-within a source is by bucket: a fixed shuffle.
+bucket. Buckets are hashes of the key and of the row's file and number in it, so a source with a third of all rows is
+numbered by many tasks, also where its keys are null or all alike. Only ids move for that; the rows themselves move
+once, to their ranks. The order within a source is by hash: a shuffle.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ from __future__ import annotations
 import heapq
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulsebook.llm.common import query, stage, table
+from pulsebook.llm.common import identified, query, table
 
 BLOCK_ROWS = 64
 CYCLE = 1000
-BUCKETS = 1024
+BUCKETS = 1 << 14
 NONE = ""
 
 
@@ -85,19 +86,27 @@ def phases(blocks: dict[str, int], weights: dict[str, float], cycle: int) -> lis
     return out
 
 
-def numbered(df: DataFrame, key: Column, source: Column, buckets: int) -> DataFrame:
-    """``df`` packed in ``row``, with ``source`` and its number ``rank`` within the source, from 0."""
-    rows = df.select(
-        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), source.alias("source"), F.xxhash64(key.cast("string")).alias("h")
+def bucketed(rows: DataFrame, key: str, source: str, buckets: int) -> DataFrame:
+    """The ids of ``rows`` with ``source``, hash and bucket; a file counts by its name, wherever its folder lies."""
+    return rows.select(
+        "id", F.coalesce(F.col(f"row.`{source}`").cast("string"), F.lit(NONE)).alias("source"),
+        F.xxhash64(F.col(f"row.`{key}`").cast("string"), F.substring_index("id.file_path", "/", -1), "id.row_index").alias("h"),
     ).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
-    counts = rows.groupBy("source", "bucket").agg(F.count("*").alias("n"))
+
+
+def numbered(df: DataFrame, key: str, source: str, buckets: int) -> DataFrame:
+    """``df`` packed in ``row``, with ``source`` and its number ``rank`` within the source, from 0."""
+    rows = identified(df)
+    ids = bucketed(rows, key, source, buckets)
+    counts = ids.groupBy("source", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # At most ``buckets`` rows per source.
     base = counts.select("source", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("source", "bucket").orderBy("h", "row")
-    return rows.withColumn("number", F.row_number().over(within) - 1).join(base, ["source", "bucket"]).select(
-        "row", "source", (F.col("base") + F.col("number")).alias("rank")
+    within = Window.partitionBy("source", "bucket").orderBy("h", "id")
+    ranks = ids.withColumn("number", F.row_number().over(within) - 1).join(base, ["source", "bucket"]).select(
+        "id", "source", (F.col("base") + F.col("number")).alias("rank")
     )
+    return rows.join(ranks, "id").select("row", "source", "rank")
 
 
 def mixed(
@@ -108,10 +117,10 @@ def mixed(
 
     Without ``weights`` a source weighs the square root of its number of rows. A source that has no weight, or
     one not above 0, is placed after the others. Null sources are one source, named by the empty string, and
-    null keys count as equal. Nothing is dropped or repeated; repeated rows get places of their own. A block of
+    null keys are spread like others. Nothing is dropped or repeated; repeated rows get places of their own. A block of
     fewer rows leaves the rest of its slot's places unused. An empty table gives an empty result.
     """
-    ranked = numbered(df, F.col(key), F.coalesce(F.col(source).cast("string"), F.lit(NONE)), buckets)
+    ranked = numbered(df, key, source, buckets)
     sizes = {r["source"]: r["n"] for r in df.groupBy(F.coalesce(F.col(source).cast("string"), F.lit(NONE)).alias("source")).agg(F.count("*").alias("n")).collect()}
     given = {n: (weights.get(n, 0) if weights is not None else sizes[n] ** 0.5) for n in sizes}
     blocks = {n: -(-sizes[n] // block_rows) for n in sizes}

@@ -13,6 +13,7 @@ import pytest
 import corpus_pipeline
 from compare import difference, oracle_connection
 from pulsebook.llm import components, darts, exact, mixing, neardup, packing, pii, suffix, tokencount, topk, toxicity, wrapper
+from pulsebook.llm.common import identified
 from pulsebook.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -329,6 +330,24 @@ def test_tokens_of_texts_of_all_sizes(spark, tmp_path):
     assert tokencount.counted(spark.read.parquet(path).limit(0)).count() == 0
 
 
+def test_mixing_spreads_rows_without_keys(spark, tmp_path):
+    """Null and equal keys lie in many buckets; every source's ranks are whole, and its blocks lie where the plan says."""
+    rows = [(None, "text", "a" if i % 3 else None) for i in range(4000)] + [(7, "text", "b")] * 2000
+    path = str(tmp_path / "documents")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3).write.parquet(path)
+    for frame in (spark.read.parquet(path), spark.createDataFrame(rows, "doc_id long, text string, source string")):
+        ranked = mixing.numbered(frame, "doc_id", "source", 512)
+        assert ranked.selectExpr("source", "rank").distinct().count() == 6000
+        out = mixing.mixed(frame, block_rows=8, cycle=10).collect()
+        assert len({r.place for r in out}) == 6000 and Counter(r.row for r in out) == Counter(rows)
+        ranks = defaultdict(set)
+        for r in out:
+            ranks[r.source].add((r.block, r.place % 8))
+        assert {n: len(v) for n, v in ranks.items()} == {"": 1334, "a": 2666, "b": 2000}
+        most = mixing.bucketed(identified(frame), "doc_id", "source", 512).groupBy("source", "bucket").count().agg({"count": "max"})
+        assert most.first()[0] < 30
+
+
 def test_phases_against_a_slot_by_slot_scheduler():
     """Every phase, slot by slot: the released block that is due first; all blocks of all phases, once each."""
     rng = random.Random(8)
