@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pulsebook.catalog import query, split_form
 from pulsebook.functions.values import ip_key, state_word
 from pulsebook.operators import cells, changes, current, escalation, folds, latch, runtime, snapshot, watch
+from pulsebook.operators.passes import written
 from pulsebook.plans import adapters as a
 
 TIE = "event_id"
@@ -126,10 +127,10 @@ def a9(spark, d):
 
 
 def watched(spark, d):
-    """The polls, and every poll with its failing stations, from the log lines."""
+    """Every poll with its failing stations, from the log lines: one row per poll, written once."""
     polls = a.watch_polls(spark, d)
     read = watch.seen_events(cells.cell_events(a.watch_log(spark, d)), polls)
-    return polls, watch.first_failing_steps(read, a.watch_registry(spark, d), polls)
+    return written(watch.first_failing_steps(read, a.watch_registry(spark, d), polls), "watched")
 
 
 @query(
@@ -141,9 +142,8 @@ def watched(spark, d):
       AS BIGINT) AS counter FROM marked WHERE cell IS NOT NULL""",
 )
 def w8(spark, d):
-    polls, seen = watched(spark, d)
-    first = seen.select("controller", "time", watch.first_failing_cell().alias("cell"))
-    return escalation.patience_counters(first, "controller", "time", "cell", polls)
+    first = watched(spark, d).select("controller", "time", watch.first_failing_cell().alias("cell"))
+    return escalation.patience_counters(first, "controller", "time", "cell")
 
 
 ESCALATION = """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY controller ORDER BY time) AS rn FROM watch_off),
@@ -174,8 +174,7 @@ ESCALATION = """WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY cont
 
 @query("w9_escalation", "watch_off", ESCALATION, recursive=True)
 def w9(spark, d):
-    polls, seen = watched(spark, d)
-    return escalation.escalate_watch(seen, "controller", "time", patience=2, waits=(5400, 10800), like=polls)
+    return escalation.escalate_watch(watched(spark, d), "controller", "time", patience=2, waits=(5400, 10800))
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from pulsebook.operators.timeline import Timeline
+from pulsebook.session import work_folder
 
 
 def in_order(line: Timeline) -> DataFrame:
@@ -17,6 +18,17 @@ def in_order(line: Timeline) -> DataFrame:
     return line.df.repartition(*line.parts).sortWithinPartitions(*line.parts, *line.order)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder.
+
+    What follows a Python pass reads its rows several times, under different conditions, so that no exchange is
+    shared: without the table the pass would run once for each. A lost executor then costs no pass either.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def key_at(batch: pa.RecordBatch, parts: list[str], i: int) -> tuple:
     return tuple(batch.column(c)[i].as_py() for c in parts)
 
