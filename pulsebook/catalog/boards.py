@@ -7,11 +7,11 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from pulsebook.catalog import query
-from pulsebook.catalog.histories import MARKS, a7, dehydrator_journal
+from pulsebook.catalog.histories import MARKS, dehydrator_journal
 from pulsebook.functions import bands
 from pulsebook.functions.timecols import dotted_date, ntz
 from pulsebook.functions.values import ip_key
-from pulsebook.operators import changes, current, snapshot
+from pulsebook.operators import changes, current, runtime, snapshot
 from pulsebook.plans import adapters as a
 from pulsebook.plans import reports
 
@@ -153,8 +153,9 @@ def _flag(c: str) -> str:
     LEFT JOIN averages v ON v.ip = c.ip AND v.last_hour = c.c_life""",
 )
 def r5(spark, d):
-    now = current.latest(a.dehydrator(spark, d), "ip", "time", TIE)
-    return reports.dehydrator_board(now, a7(spark, d), a.power_sites(spark, d))
+    marked = changes.marked_changes(a.dehydrator_line(spark, d), "ip", "time", a.WATCHED, TIE, null_safe=False)
+    now = runtime.latest_with_average(marked, "ip", "c_life", "time", TIE)
+    return reports.dehydrator_board(now, a.power_sites(spark, d))
 
 
 @query("r6_action_history", "ev", """SELECT controller, time, event_id, u, CAST(row_number() OVER w AS INTEGER) AS rank

@@ -26,13 +26,23 @@ def changes(
     A key's first row never counts. With ``null_safe=False`` a null on either side
     does not count as a difference. A timeline of that key and order goes on with its slices.
     """
-    out = _previous(df, key, time, tie, watched)
+    return _previous(df, key, time, tie, watched).filter(_moved(watched, null_safe)).drop(PREV)
+
+
+def _moved(watched: list[str], null_safe: bool) -> Column:
     pairs = [(F.col(c), F.col(f"{PREV}.{c}")) for c in watched]
     if null_safe:
         moved = reduce(lambda a, b: a | b, [differs(a, b) for a, b in pairs])
     else:
         moved = any_differs(pairs)
-    return out.filter(F.col(PREV).isNotNull() & moved).drop(PREV)
+    return F.col(PREV).isNotNull() & moved
+
+
+def marked_changes(
+    df: DataFrame | Timeline, key, time: str, watched: list[str], tie: str | None = None, null_safe: bool = True, name: str = "changed"
+) -> DataFrame:
+    """All rows, with whether ``changes`` would keep them."""
+    return _previous(df, key, time, tie, watched).withColumn(name, F.coalesce(_moved(watched, null_safe), F.lit(False))).drop(PREV)
 
 
 def changes_within(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsebook.functions.timecols import DAY_US, elapsed_us
@@ -37,11 +39,42 @@ def hours_per_day(journal: DataFrame, key, counter: str, time: str) -> DataFrame
         F.max(F.when(own, at)).alias("last_time"), F.max(F.when(~own, at)).alias("before_time"),
         (F.count(F.lit(1)) == 2).alias("_both"),
     )
-    days = elapsed_us("before_time", "last_time") / F.lit(float(DAY_US))
     return met.filter("_both").select(
-        *keys, F.col("last_hour").cast(journal.schema[counter].dataType).alias("last_hour"), "last_time", "before_time",
-        F.try_divide(F.lit(1.0), days).try_cast("decimal(3,2)").alias("average"),
+        *keys, F.col("last_hour").try_cast(journal.schema[counter].dataType).alias("last_hour"), "last_time", "before_time",
+        _per_day("before_time", "last_time").alias("average"),
+    )
+
+
+def _per_day(before: str, last: str) -> Column:
+    return F.try_divide(F.lit(1.0), elapsed_us(before, last) / F.lit(float(DAY_US))).try_cast("decimal(3,2)")
+
+
+def latest_with_average(marked: DataFrame, key, counter: str, time: str, tie: str, changed: str = "changed") -> DataFrame:
+    """Each key's last row, with its hour's ``average`` of ``hours_per_day``; null where that gives no row.
+
+    ``marked`` are all rows with whether they are in the change journal (``marked_changes``), so that the rows are
+    gone through once: the last row and the first change of every (key, counter), the hours that meet as in
+    ``hours_per_day``, and of these the last of the key.
+    """
+    keys = _keys(key)
+    rest = [c for c in marked.columns if c not in (*keys, changed)]
+    hours = marked.groupBy(*keys, F.col(counter).cast("bigint").alias("_hour")).agg(
+        F.min(F.when(F.col(changed), F.col(time))).alias("_at"), F.max_by(F.struct(*rest), F.struct(time, tie)).alias("_row")
+    )
+    listed = hours.select(*keys, F.inline(F.array(
+        F.struct("_hour", F.col("_at").alias("_last"), F.lit(None).cast(hours.schema["_at"].dataType).alias("_before"), "_row"),
+        F.struct(
+            F.try_add("_hour", F.lit(1)).alias("_hour"), F.lit(None).cast(hours.schema["_at"].dataType).alias("_last"),
+            F.col("_at").alias("_before"), F.lit(None).cast(hours.schema["_row"].dataType).alias("_row"),
+        ),
+    )))
+    met = listed.groupBy(*keys, "_hour").agg(
+        F.max("_last").alias("_last"), F.max("_before").alias("_before"), F.first("_row", ignorenulls=True).alias("_row")
     )
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, "_hour")])
+    now = met.filter("_row IS NOT NULL").withColumn("average", F.when(known, _per_day("_before", "_last")))
+    last = now.groupBy(*keys).agg(F.max_by(F.struct("_row", "average"), F.struct(f"_row.{time}", f"_row.{tie}")).alias("_now"))
+    return last.select(*keys, "_now._row.*", "_now.average")
 
 
 def archived_hours(transitions: DataFrame, averages: DataFrame, key, counter: str) -> DataFrame:

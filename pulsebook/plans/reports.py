@@ -99,10 +99,9 @@ def day_series(df: DataFrame, as_of: datetime, key: str, values: list[str], time
     )
 
 
-def dehydrator_board(current: DataFrame, averages: DataFrame, registry: DataFrame) -> DataFrame:
-    """Current scaled values, alarms and average hours; a device without an average stays."""
-    avg = averages.select("ip", F.col("last_hour").alias("c_life"), "average")
-    out = registry.select("ip", "location").join(current, "ip").join(avg, ["ip", "c_life"], "left")
+def dehydrator_board(current: DataFrame, registry: DataFrame) -> DataFrame:
+    """Current scaled values, alarms and average hours; ``current`` has the average, a device without one stays."""
+    out = registry.select("ip", "location").join(current, "ip")
     return out.select(
         "ip", "location", "c_life", "c_temp", "c_high",
         from_tenths("c__low").alias("c__low"), from_tenths("c_humi").alias("c_humi"),
