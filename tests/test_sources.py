@@ -173,3 +173,17 @@ def test_journals_work_changes_out_once(spark, tmp_path):
         assert sorted(r.k for r in sinks.read_journal(spark, str(tmp_path / name), ["k"]).collect()) == [1, 2]
     sinks.journal(df.limit(0), str(tmp_path / "hot"), str(tmp_path / "all"), "time", "2")
     assert sinks.read_journal(spark, str(tmp_path / "hot"), ["k"]).count() == 2
+
+
+def test_export_deals_sites_over_tasks(spark, tmp_path):
+    """Small sites are one file each, by several tasks; a busy one is several files. Nulls and equal rows stay."""
+    rows = [(f"s{i}", T0, i) for i in range(40)] + [("busy", T0, i) for i in range(200)] + [(None, T0, 1)] * 3
+    df = spark.createDataFrame(rows, "site string, at timestamp_ntz, v int")
+    sinks.export_daily(df, str(tmp_path / "out"), "site", file_rows=50)
+    files = {d.name: [f.name.split("-")[1] for f in d.glob("part-*")] for d in (tmp_path / "out").glob("site=*")}
+    assert len(files["site=busy"]) > 1 and all(len(files[f"site=s{i}"]) == 1 for i in range(40))
+    assert len({files[f"site=s{i}"][0] for i in range(40)}) > 1
+    got = spark.read.schema("at string, v string, site string").option("sep", "|").csv(str(tmp_path / "out"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(at.strftime("%Y-%m-%d %H:%M:%S"), str(v), site) for site, at, v in rows], key=str
+    )
