@@ -5,7 +5,8 @@ accepted row, or its last control state. Each batch puts these remembered rows i
 front of the new ones and runs the batch operator over both, so the answers are the
 batch operator's and a key that fills a third of a batch is cut into slices by it.
 The remembered rows live in a :class:`CurrentTable`, of which a batch writes the
-buckets of its own keys.
+buckets of its own keys. An operator takes its rows several times over, so remembered
+and new rows are written before it runs.
 
 With ``delay`` seconds rows may come that late: they wait until nothing in time can
 come before them (:class:`Waiting`), and rows later than that are refused. Without it
@@ -34,7 +35,7 @@ from pulsebook.operators.folds import accept_within
 from pulsebook.operators.latch import AUTO_OFF, AUTO_ON, latch_with_commands
 from pulsebook.operators.timeline import Timeline
 from pulsebook.operators.watch import LINE, first_failing_steps, seen_events
-from pulsebook.streaming.tables import CurrentTable
+from pulsebook.streaming.tables import CurrentTable, Records
 from pulsebook.streaming.waiting import Waiting, micros
 
 Sink = Callable[[DataFrame, int], None]
@@ -57,6 +58,20 @@ def held(*frames: DataFrame):
             f.unpersist()
 
 
+@contextmanager
+def written(frame: DataFrame, path: str):
+    """A frame that is worked out once, into a folder that is there while it is used.
+
+    Unlike a held frame it cuts the plan: an operator that takes it several times reads rows, whatever they were made of.
+    """
+    spark = frame.sparkSession
+    frame.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        Records(spark, path).delete(path)
+
+
 def not_late(batch: DataFrame, last: DataFrame, key, time: str, tie: str, late: bool = False) -> DataFrame:
     """Rows after the last one taken for their key, or with ``late`` the others."""
     seen = last.select(*_keys(key), F.struct(F.col(time), F.col(tie)).alias("_last"))
@@ -88,10 +103,10 @@ def _run(stream: DataFrame, key, time: str, tie: str, path: str, sink: Sink,
                 # Only keys with new rows have to go on.
                 mine = last.join(new.select(*_keys(key)).distinct(), _keys(key), "left_semi")
                 rows = rows.unionByName(seeds(mine).select(*new.columns).withColumn(SEED, F.lit(True)))
-            with held(rows) as taken, held(operator(taken)) as out:
+            with written(rows, f"{path}/taken") as taken, held(operator(taken)) as out:
                 sink(out.filter(~F.col(SEED)).drop(SEED), number)
-                kept = remember(taken, out)
-                table.merge(kept, number, lambda old, now: latest(old.unionByName(now.select(*old.columns)), key, time, tie))
+                with held(remember(taken, out)) as kept:
+                    table.merge(kept, number, lambda old, now: latest(old.unionByName(now.select(*old.columns)), key, time, tie))
 
     return stream.writeStream.foreachBatch(write)
 
@@ -210,20 +225,22 @@ def stream_watch(rows: DataFrame, registry: DataFrame, path: str, sink: Sink, de
             ready, refused, _ = Waiting(spark, f"{path}/waiting", time, delay).release(arrived, number)
             if late is not None:
                 late(refused, number)
-            polls = ready.filter(POLL).select(key, time)
-            events, left = cell_events(ready.filter(~F.col(POLL)).drop(POLL)), unread.read(before=number)
-            pool = events if left is None else events.unionByName(left)
-            old, start = known.read(before=number), states.read(before=number)
-            with held(pool, seen_events(pool, polls, key, time).select(*pool.columns)) as (all_events, read):
-                so_far = read if old is None else read.unionByName(old)
-                with held(first_failing_steps(so_far, registry, polls, key, time, position)) as seen:
-                    sink(escalate_watch(seen, key, time, patience, waits, watch_only, start, polls), number)
-                    ended = final_states(seen, key, time, patience, waits, watch_only, start, polls)
-                    states.merge(ended, number, lambda was, now: was.join(now.select(key), key, "left_anti").unionByName(now))
-                known.merge(read, number, lambda was, now: last_read(was.unionByName(now)))
-                last = polls.groupBy(key).agg(F.max(time).alias("_last"))
-                open_ = F.col("_last").isNull() | (F.col(time) > F.col("_last"))
-                unread.replace(all_events.join(last, key, "left").filter(open_).select(*all_events.columns), number)
+            with written(ready, f"{path}/ready") as taken:
+                polls = taken.filter(POLL).select(key, time)
+                events, left = cell_events(taken.filter(~F.col(POLL)).drop(POLL)), unread.read(before=number)
+                pool = events if left is None else events.unionByName(left)
+                old, start = known.read(before=number), states.read(before=number)
+                with (written(pool, f"{path}/pool") as all_events,
+                      written(seen_events(all_events, polls, key, time).select(*pool.columns), f"{path}/read") as read):
+                    so_far = read if old is None else read.unionByName(old)
+                    with written(first_failing_steps(so_far, registry, polls, key, time, position), f"{path}/seen") as seen:
+                        sink(escalate_watch(seen, key, time, patience, waits, watch_only, start, polls), number)
+                        with held(final_states(seen, key, time, patience, waits, watch_only, start, polls)) as ended:
+                            states.merge(ended, number, lambda was, now: was.join(now.select(key), key, "left_anti").unionByName(now))
+                    known.merge(read, number, lambda was, now: last_read(was.unionByName(now)))
+                    last = polls.groupBy(key).agg(F.max(time).alias("_last"))
+                    open_ = F.col("_last").isNull() | (F.col(time) > F.col("_last"))
+                    unread.replace(all_events.join(last, key, "left").filter(open_).select(*all_events.columns), number)
 
     return rows.writeStream.foreachBatch(write)
 
@@ -249,16 +266,17 @@ def stream_sessions(stream: DataFrame, key, time: str, gap: float, path: str, si
             rows = ready.select(*keys, F.col(time).alias("first_read"), F.col(time).alias("last_read"), F.lit(1).cast("long").alias("reads"))
             if opened is not None:
                 rows = rows.unionByName(opened)
-            line = Timeline.of(rows, keys, "first_read", "last_read").previous("_before", "last_read")
-            apart = elapsed_us("_before.last_read", "first_read") > gap_us
-            numbered = line.running(_n=F.when(apart, 1).otherwise(0)).rows()
-            stretches = numbered.groupBy(*keys, "_n").agg(
-                F.min("first_read").alias("first_read"), F.max("last_read").alias("last_read"), F.sum("reads").alias("reads")
-            ).drop("_n")
-            with held(stretches) as found:
-                over = F.lit(False) if mark is None else micros(found, "last_read") + gap_us <= mark
-                sink(found.filter(over), number)
-                table.replace(found.filter(~over), number)
+            with written(rows, f"{path}/taken") as taken:
+                line = Timeline.of(taken, keys, "first_read", "last_read").previous("_before", "last_read")
+                apart = elapsed_us("_before.last_read", "first_read") > gap_us
+                numbered = line.running(_n=F.when(apart, 1).otherwise(0)).rows()
+                stretches = numbered.groupBy(*keys, "_n").agg(
+                    F.min("first_read").alias("first_read"), F.max("last_read").alias("last_read"), F.sum("reads").alias("reads")
+                ).drop("_n")
+                with held(stretches) as found:
+                    over = F.lit(False) if mark is None else micros(found, "last_read") + gap_us <= mark
+                    sink(found.filter(over), number)
+                    table.replace(found.filter(~over), number)
 
     return stream.writeStream.foreachBatch(write)
 

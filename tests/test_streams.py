@@ -181,3 +181,19 @@ def test_a_missing_batch_is_an_error(spark, tmp_path):
         table.read(before=2)
     with pytest.raises(FileNotFoundError):
         tables.CurrentTable(spark, f"{tmp_path}/other", "k").merge(spark.createDataFrame([(1,)], "k int"), 3, lambda old, new: new)
+
+
+def test_a_batch_is_worked_out_once(spark, landed, monkeypatch):
+    """The operator reads remembered and new rows from a table of their own, and leaves none behind."""
+    stream, whole, path = landed
+    seen, operator = [], batched.changes
+
+    def spied(rows, *rest):
+        seen.append(rows.inputFiles())
+        return operator(rows, *rest)
+
+    monkeypatch.setattr(batched, "changes", spied)
+    got = result(spark, path, lambda state, sink: batched.stream_changes(stream, "k", "time", ["v"], "id", state, sink))
+    assert got == batch(operator(whole, "k", "time", ["v"], "id"))
+    assert len(seen) == 4 and all(files and all("/state/taken/" in f for f in files) for files in seen)
+    assert not (path / "state" / "taken").exists()
