@@ -5,9 +5,12 @@ they have the same tag, class and id, and the children of matching nodes are mat
 as possible agree. Siblings of one kind are one node, so a node has one child of a kind, and matching its children is
 the heaviest rising sequence of their places: exact for any width and depth, without a table.
 
-A host's wrapper is the merged tree of a few of its different pages (``CENTRES``), chosen by hash. All pages are then
-aligned to it, and what its nodes (slots) hold is counted in Spark tables: different pages, whether their texts agree,
-letters, letters in links. Copies of a page count once. From that follows per host
+A host's wrapper is the merged tree of all its different pages. Trees of one shape are merged once, the most frequent
+first, in groups, groups of groups, and then the host. A node is in the wrapper if at least one in ``RARE`` of the host's
+different pages has it, by a count over all of them: so a wrapper is at most ``RARE`` times as large as a page, and what
+stays out could not be template, which takes half of the pages. All pages are then aligned to it, and what its nodes
+(slots) hold is counted in Spark tables: different pages, whether their texts agree, letters, letters in links, and those
+outside links of nodes below that are not in the wrapper. Copies of a page count once. From that follows per host
 
 * what is template: a slot of one text on all pages that have it, which are at least LEAST_PAGES and half of the host's (but headings inside the article stay);
 * where the article is: from the root down, as long as one child holds ``SHARE`` of what varies outside links, no
@@ -33,8 +36,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulsebook.llm.common import query, slices, stage, table
 
-# Pages of a host whose trees make its wrapper; share of the varying text that the article's part holds.
-CENTRES, SHARE = 8, 0.8
+# A node that fewer than one in RARE of a host's pages have is not in its wrapper; share of the varying text that the article's part holds.
+RARE, SHARE = 8, 0.8
+# Groups in which a host's trees are merged, then groups of these.
+GROUPS = (4096, 64, 1)
 # Different pages that must agree in a text before it counts as template.
 LEAST_PAGES = 4
 
@@ -294,6 +299,30 @@ def tree(text: str) -> list[Node]:
     return nodes
 
 
+def grown(shape: str, kept: set[int] | None = None) -> Node:
+    """The tree of a flat text, or what of it is in ``kept``."""
+    kinds, parents = json.loads(shape)
+    nodes: list[Node | None] = []
+    for kind, parent, print_ in zip(kinds, parents, paths(kinds, parents)):
+        above = nodes[parent] if nodes else None
+        if nodes and (above is None or kept is not None and print_ not in kept):
+            nodes.append(None)
+            continue
+        node = Node(kind, above.depth + 1 if above else 0)
+        if above:
+            above.kids[kind] = node
+        nodes.append(node)
+    return nodes[0]
+
+
+def paths(kinds: list[str], parents: list[int]) -> list[int]:
+    """A print of each node's kinds from the root down."""
+    out: list[int] = []
+    for kind, parent in zip(kinds, parents):
+        out.append(xxhash.xxh3_64_intdigest(kind, out[parent] if out else 0) >> 1)
+    return out
+
+
 def align(wrapper: str, page: Page) -> dict[int, Node]:
     """The page's nodes by their slots of the wrapper."""
     out = {}
@@ -303,6 +332,16 @@ def align(wrapper: str, page: Page) -> dict[int, Node]:
     return out
 
 
+def unaligned(node: Node) -> int:
+    """Letters outside links below a node, in nodes that have no slot and are not marked as something else."""
+    letters, todo = 0, [c for c in node.kids.values() if c.slot < 0 and not c.other]
+    while todo:
+        x = todo.pop()
+        letters += sum(map(len, x.texts)) - x.linked
+        todo += [c for c in x.kids.values() if not c.other]
+    return letters
+
+
 def decided(wrapper: str, slots: list[dict]) -> tuple[int, list[int]]:
     """The slot of the article's part (0: none) and the slots of the template, from what was counted per slot."""
     kinds, parents = json.loads(wrapper)
@@ -320,6 +359,8 @@ def decided(wrapper: str, slots: list[dict]) -> tuple[int, list[int]]:
         kids[parents[i]].append(i)
     text = [0 if i in still or i not in seen else seen[i]["chars"] - seen[i]["linked"] for i in range(n)]
     titles = [tags[i] in ("h1", "h2") and text[i] > 0 for i in range(n)]
+    for i, s in seen.items():
+        text[i] += s["rest"]
     for i in range(n - 1, 0, -1):
         if i in seen and seen[i]["other"] and not holds[i]:
             text[i], titles[i] = 0, False
@@ -367,21 +408,47 @@ def chosen(source: str | None, wrapper: str | None, part: int = 0, fixed: Iterab
     return "marks", [b.text for b in blocks if not (b.marked or b.head or b.form)]
 
 
-def _wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One wrapper per host, from its centres."""
+def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tree of each page as text."""
+    for batch in slices(batches):
+        shapes = [flat(Page(source).root) for source in batch.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("mark"), pa.array(shapes, pa.string())], names=["host", "mark", "shape"])
+
+
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shape and node."""
+    for batch in slices(batches):
+        found = [paths(*json.loads(shape)) for shape in batch.column("shape").to_pylist()]
+        of = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
+        rows = [batch.column(c).take(of) for c in ("host", "pages")]
+        rows += [pa.array([p for f in found for p in f], pa.int64()), pa.array([not i for f in found for i in range(len(f))], pa.bool_())]
+        yield pa.RecordBatch.from_arrays(rows, names=["host", "pages", "path", "root"])
+
+
+def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shapes without the nodes that few pages have."""
+    for batch in slices(batches):
+        shapes = [flat(grown(r["shape"], set(r["kept"]))) for r in batch.select(["shape", "kept"]).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(shapes, pa.string()), batch.column("pages")], names=["host", "shape", "pages"])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One tree per group, from the most frequent shape on."""
     for batch in slices(batches):
         texts = []
-        for centres in batch.column("centres").to_pylist():
-            whole = Node("", 0)
-            for c in sorted(centres, key=lambda c: c["mark"]):
-                merge(whole, Page(c["html"]).root)
-            texts.append(flat(whole))
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(texts, pa.string())], names=["host", "wrapper"])
+        for shapes in batch.column("shapes").to_pylist():
+            first, *others = sorted(shapes, key=lambda s: (-s["pages"], s["shape"]))
+            whole = grown(first["shape"])
+            for s in others:
+                merge(whole, grown(s["shape"]))
+            texts.append(flat(whole) if others else first["shape"])
+        columns = [batch.column(c) for c in ("host", "group", "pages")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=["host", "group", "pages", "shape"])
 
 
 _COUNTED = pa.schema([
     ("host", pa.string()), ("mark", pa.int64()), ("slot", pa.int32()), ("text", pa.int64()),
-    ("chars", pa.int64()), ("linked", pa.int64()), ("other", pa.bool_()),
+    ("chars", pa.int64()), ("linked", pa.int64()), ("other", pa.bool_()), ("rest", pa.int64()),
 ])
 
 
@@ -392,7 +459,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             for slot, node in align(r["wrapper"], Page(r["html"])).items():
                 text = xxhash.xxh3_64_intdigest("\n".join(node.texts)) >> 1
-                rows.append((r["host"], r["mark"], slot, text, sum(map(len, node.texts)), node.linked, node.other))
+                rows.append((r["host"], r["mark"], slot, text, sum(map(len, node.texts)), node.linked, node.other, unaligned(node)))
         columns = list(zip(*rows)) if rows else [()] * len(_COUNTED)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _COUNTED)], schema=_COUNTED)
 
@@ -421,21 +488,31 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(rows: DataFrame) -> DataFrame:
     """``host``, ``wrapper``, ``part``, ``fixed`` of the pages (``host``, ``html``), one row per host."""
     pages = rows.select("host", "html").where("host != '' and html != ''").withColumn("mark", F.xxhash64("html"))
-    made = stage(
-        pages.groupBy("host", F.pmod("mark", F.lit(CENTRES)).alias("n"))
-        .agg(F.min_by(F.struct("mark", "html"), "mark").alias("centre"))
-        .groupBy("host").agg(F.collect_list("centre").alias("centres"))
-        .mapInArrow(_wrapped, "host string, wrapper string"),
-        "wrappers",
-    )
+    # The shape follows from the page, so copies of a page have one.
+    shaped = pages.mapInArrow(_shaped, "host string, mark long, shape string").groupBy("host", "mark").agg(F.min("shape").alias("shape"))
+    shapes = stage(shaped.groupBy("host", "shape").agg(F.count("*").alias("pages")), "shapes")
+    nodes = shapes.mapInArrow(_paths, "host string, pages long, path long, root boolean")
+    found = nodes.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.max("root").alias("root"))
+    whole = found.where("root").select("host", F.col("pages").alias("of"))
+    kept = found.join(whole, "host").where(F.col("pages") * RARE >= F.col("of")).groupBy("host").agg(F.collect_list("path").alias("kept"))
+    merged = shapes.join(kept, "host").mapInArrow(_pruned, "host string, shape string, pages long").groupBy("host", "shape").agg(F.sum("pages").alias("pages"))
+    merged = merged.withColumn("group", F.xxhash64("shape"))
+    for groups in GROUPS:
+        merged = (
+            merged.withColumn("group", F.pmod("group", F.lit(groups))).groupBy("host", "group")
+            .agg(F.collect_list(F.struct("pages", "shape")).alias("shapes"), F.sum("pages").alias("pages"))
+            .mapInArrow(_merged, "host string, group long, pages long, shape string")
+        )
+    made = stage(merged.select("host", F.col("shape").alias("wrapper")), "wrappers")
     counted = pages.join(made, "host").mapInArrow(
-        _counted, "host string, mark long, slot int, text long, chars long, linked long, other boolean"
+        _counted, "host string, mark long, slot int, text long, chars long, linked long, other boolean, rest long"
     )
     slots = counted.distinct().groupBy("host", "slot").agg(
         F.count("*").alias("pages"), (F.min("text") == F.max("text")).alias("one"),
         F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.max("other").alias("other"),
+        F.sum("rest").alias("rest"),
     )
-    listed = slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "one", "chars", "linked", "other")).alias("slots"))
+    listed = slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "one", "chars", "linked", "other", "rest")).alias("slots"))
     return stage(listed.join(made, "host").mapInArrow(_ruled, "host string, wrapper string, part int, fixed array<int>"), "rules")
 
 

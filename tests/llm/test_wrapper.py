@@ -1,6 +1,7 @@
 """Wrapper induction: what decides, what is kept, and trees of any shape."""
 
 import itertools
+import json
 import random
 
 import pytest
@@ -95,3 +96,24 @@ def test_heaviest_against_all_sequences():
         rising = (c for k in range(n + 1) for c in itertools.combinations(range(n), k) if all(places[a] < places[b] for a, b in zip(c, c[1:])))
         assert weight == max(sum(weights[i] for i in c) for c in rising) == sum(weights[i] for i in taken)
         assert all(places[a] < places[b] for a, b in zip(taken, taken[1:]))
+
+
+def test_wrapper_has_what_an_eighth_of_all_pages_has(spark):
+    """Of 64 pages each box is on eight, and one box more on a single page."""
+    boxes = ["".join(random.Random(k).sample("abcdefghijklm", 5)) for k in range(16)]
+    rows = []
+    for i in range(64):
+        own = "".join(f'<div class="{b}"><p>{words(100 * i + k, 5)}</p></div>' for k, b in enumerate(boxes) if (i + k) % 8 == 0)
+        rows.append((i, "http://h.example/", f"<body>{own}{'<div class=once><p>One</p></div>' if i == 9 else ''}<article><p>{words(i, 30)}</p></article></body>"))
+    pages = spark.createDataFrame(rows, SCHEMA).selectExpr("'h' AS host", "html")
+    kinds = json.loads(wrapper.wrappers(pages).first().wrapper)[0]
+    assert {k for k in kinds if k.startswith("div")} == {f"div.class={b}" for b in boxes}
+    assert {i: t for i, (t, _) in texts(spark, rows).items()} == {i: words(i, 30) for i in range(64)}
+
+
+def test_letters_of_nodes_outside_the_wrapper_count(spark):
+    """Each article lies in an element of a class of its own, beside a list that varies."""
+    names = ["".join(random.Random(k).sample("abcdefghijklm", 6)) for k in range(40)]
+    page = '<body><div class="x"><section><div class="{n}"><p>{p}</p></div></section></div><div class="y"><ul><li>{q}</li></ul></div></body>'
+    rows = [(i, "http://h.example/", page.format(n=n, p=words(i, 60), q=words(900 + i, 4))) for i, n in enumerate(names)]
+    assert texts(spark, rows) == {i: (words(i, 60), "wrapper") for i in range(40)}
