@@ -18,13 +18,13 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pulsebook.llm.common import query, slices, stage, table
+from pulsebook.llm.common import few_at_a_time, query, slices, stage, table
 
 ROOM = 2048
 # Places that are numbered together where the order counts.
@@ -43,10 +43,7 @@ class Encoder:
     """
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str | None):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(vocabulary)
-        self.fast = None
+        self.vocabulary, self.fast = vocabulary, None
         if ranks and pattern:
             import tiktoken
 
@@ -54,6 +51,13 @@ class Encoder:
                 merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
 
+    @cached_property
+    def slow(self):
+        """Read when a text first asks for it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary)
+
     def __call__(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
@@ -211,13 +215,14 @@ def pack(
         F.col(key).alias("key"), F.col(text).alias("text"), F.lit(None).cast("long").alias("place") if place is None else F.col(place).cast("long").alias("place"),
     ).withColumn("part", F.spark_partition_id().cast("long") if place is None else F.floor(F.col("place") / SPAN))
     kind = dict(rows.dtypes)["key"]
-    tokens = stage(
-        rows.mapInArrow(
-            _tokenised(room, end_id, files or public_files()),
-            f"key {kind}, place long, part long, n long, ordinal long, whole_before long, sums array<long>",
-        ),
-        "pieces",
-    )
+    with few_at_a_time(df.sparkSession):
+        tokens = stage(
+            rows.mapInArrow(
+                _tokenised(room, end_id, files or public_files()),
+                f"key {kind}, place long, part long, n long, ordinal long, whole_before long, sums array<long>",
+            ),
+            "pieces",
+        )
     short = (F.col("n") % room).alias("short")
     if place is not None:
         # At most SPAN documents in a part.

@@ -377,3 +377,32 @@ def test_phases_against_a_slot_by_slot_scheduler():
                     taken[slot] = p["source"]
                 placed[p["source"]] = p["last"]
         assert placed == Counter({n: b for n, b in blocks.items() if b})
+
+
+def test_packing_sends_few_texts_at_a_time(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+    name, tokenised = "spark.sql.execution.arrow.maxRecordsPerBatch", packing._tokenised
+
+    def counted(*args):
+        run = tokenised(*args)
+
+        def seen(batches):
+            for batch in batches:
+                sizes.add(batch.num_rows > 1024)
+                yield from run(iter([batch]))
+
+        return seen
+
+    monkeypatch.setattr(packing, "_tokenised", counted)
+    before = spark.conf.get(name)
+    rows = spark.range(5000).coalesce(1).selectExpr("id AS doc_id", "'a text' AS text")
+    # Sums are not asked for here: each batch counts anew.
+    packing.pack(rows)
+    assert sizes.value == 0 and spark.conf.get(name) == before
+
+
+def test_slow_tokeniser_is_read_when_needed():
+    encode = packing.Encoder(*packing.public_files())
+    plain = encode("plain words").tolist()
+    assert "slow" not in vars(encode)
+    assert encode("plain words \u4e2d").tolist()[: len(plain)] == plain and "slow" in vars(encode)
