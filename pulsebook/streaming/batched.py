@@ -125,12 +125,17 @@ def stream_changes(stream: DataFrame, key, time: str, watched: list[str], tie: s
 def stream_changes_within(stream: DataFrame, key, time: str, value: str, tie: str, path: str, sink: Sink,
                           limit: float = 5, exempt: Column | None = None, late: Sink | None = None,
                           delay: float | None = None) -> DataStreamWriter:
-    """Changes below the limit against the raw predecessor, across batches."""
+    """Changes below the limit against the raw predecessor, across batches.
+
+    The condition is worked out on the stream, whose own columns it may name.
+    """
+    free = "_exempt"
     return _run(
-        stream, key, time, tie, path, sink,
-        operator=lambda rows: changes_within(rows, key, time, value, limit, exempt, tie),
+        stream.withColumn(free, F.lit(False) if exempt is None else exempt), key, time, tie, path, sink,
+        operator=lambda rows: changes_within(rows, key, time, value, limit, F.col(free), tie).drop(free),
         seeds=lambda last: last,
-        remember=lambda rows, out: latest(rows.drop(SEED), key, time, tie), late=late, delay=delay,
+        remember=lambda rows, out: latest(rows.drop(SEED), key, time, tie),
+        late=None if late is None else lambda rows, number: late(rows.drop(free), number), delay=delay,
     )
 
 
