@@ -344,7 +344,7 @@ def s11(spark, d):
     path = work_folder(spark, "export")
     series = day_series(a.temp(spark, d), datetime(2024, 1, 20, 12), "location", ["temperature"]).drop("read_at")
     sinks.export_daily(series, path, "location")
-    return spark.read.schema("shown_at string, temperature string, location string").option("sep", "|").csv(path)
+    return sinks.read_export(spark, path, "shown_at string, temperature string", "location")
 
 
 @query("s12_dated_report", "ev", """SELECT ip, CAST(time AS DATE) AS report_date, count(*) AS polls FROM ev

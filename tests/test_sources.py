@@ -1,9 +1,12 @@
 """Text sources and sinks on files."""
 
+from collections import Counter
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from pulsebook.operators.cells import cell_status
 from pulsebook.sources import logs, registries, replies, sinks
 from pulsebook.streaming import tables
@@ -187,3 +190,65 @@ def test_export_deals_sites_over_tasks(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(
         [(at.strftime("%Y-%m-%d %H:%M:%S"), str(v), site) for site, at, v in rows], key=str
     )
+
+
+def test_export_takes_no_task_per_site(spark, tmp_path):
+    """S11 writes, lists and reads its sites in as many tasks as for one site."""
+    events = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    at = datetime(2024, 1, 19, 12, 0, 0, 500)
+    rows = [(2 * i + k, at, i, "view", None if k else i + 0.5, "{}") for i in range(600) for k in range(2)]
+    spark.createDataFrame(rows, events).write.parquet(str(tmp_path / "events.parquet"))
+    spark.sparkContext.setJobGroup("export", "export")
+    try:
+        got = driver.queries()["s11_export_daily"](spark, str(tmp_path)).collect()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("2024-01-19 12:00:00", None if k else str(i), f"loc-{i}") for i in range(600) for k in range(2)], key=str
+    )
+    seen = spark.sparkContext.statusTracker()
+    stages = {s for j in seen.getJobIdsForGroup("export") for s in seen.getJobInfo(j).stageIds}
+    assert sum(seen.getStageInfo(s).numTasks for s in stages if seen.getStageInfo(s)) < 200
+
+
+def test_export_is_what_spark_writes_and_reads(spark, tmp_path):
+    sites = [chr(c) for c in range(1, 128) if chr(c) != "/"] + ["a/b", "..", "", " ", "_x", ".x", None, "x=y", "%41", "a+b", "Ab", "ab", "Ж"]
+    texts = ["x|y", 'q"q', "", None, " lead", "tail ", "new\nline", "cr\rx", "\\", "   "]
+    wide = spark.createDataFrame([(s, T0, i, t) for s in sites for i, t in enumerate(texts)], "site string, at timestamp_ntz, v int, t string")
+    cases = {
+        "wide": (wide, "at string, v int, t string"), "none": (wide.limit(0), "at string, v int, t string"),
+        "one": (wide.select("site", "t"), "t string"),
+        "number": (wide.select(F.length("t").alias("site"), "at", F.lit(1.5).alias("d"), F.lit(True).alias("b")), "at timestamp_ntz, d double, b boolean"),
+    }
+    for name, (df, schema) in cases.items():
+        ours, theirs = tmp_path / name / "ours", tmp_path / name / "theirs"
+        sinks.export_daily(df, str(ours), "site")
+        df.coalesce(1).write.partitionBy("site").option("sep", "|").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(str(theirs))
+
+        def held(folder):
+            return {d.name: Counter(line for f in d.glob("part-*") for line in f.read_bytes().split(b"\n")[:-1]) for d in folder.glob("site=*")}
+
+        assert held(ours) == held(theirs) and (ours / "_SUCCESS").exists()
+        read, plain = sinks.read_export(spark, str(ours), schema, "site"), spark.read.schema(f"{schema}, site string").option("sep", "|").csv(str(theirs))
+        assert read.schema == plain.schema and Counter(map(tuple, read.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_export_takes_the_place_of_the_last_one_when_whole(spark, tmp_path):
+    def fail(batches):
+        yield from batches
+        raise ValueError("a lost task")
+
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "site string, v int")
+    out = tmp_path / "out"
+    sinks.export_daily(df, str(out), "site")
+    with pytest.raises(Exception, match="a lost task"):
+        sinks.export_daily(df.mapInArrow(fail, df.schema), str(out), "site")
+    assert sorted(map(tuple, sinks.read_export(spark, str(out), "v int", "site").collect())) == [(1, "a"), (2, "b")]
+    sinks.export_daily(df.filter("v = 2"), str(out), "site")
+    assert [d.name for d in out.glob("site=*")] == ["site=b"] and [d.name for d in tmp_path.iterdir()] == ["out"]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sinks.export_daily(df.filter("v = 1"), str(out), "site")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert sorted(map(tuple, sinks.read_export(spark, str(out), "v int", "site").collect())) == [(1, "a"), (2, "b")]
